@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("scoring", "texts")
+MODULES = ("scoring", "texts", "similarity")
 
 
 def all_queries():

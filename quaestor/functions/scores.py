@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from quaestor.functions import text as tx
+from quaestor.functions.binding import bind
 from quaestor.schemas import REASONING_TYPES
 
 # The only two-decimal ties in [0.75, 1.00] that round downwards
@@ -51,10 +52,8 @@ def token_f1(pred_tokens: Column, gold_tokens: Column) -> Column:
 
 def numeric_match(pred_numbers: Column, gold_numbers: Column, tolerance: float = 0.02) -> Column:
     """Share of gold numbers that some predicted number meets within the tolerance."""
-    candidates = F.array_distinct(pred_numbers)
-
     def close(gold: Column) -> Column:
-        return F.exists(candidates, lambda p: F.when(gold == 0, p == 0).otherwise(
+        return F.exists(pred_numbers, lambda p: F.when(gold == 0, p == 0).otherwise(
             F.try_divide(F.abs(p - gold), F.abs(gold)) <= tolerance))
 
     n_gold = F.size(gold_numbers)
@@ -75,8 +74,8 @@ def round_half_binary(score: Column) -> Column:
 
 def overlap_confidence(answer: Column, passage: Column) -> Column:
     """0.75 to 1.00 by the share of answer words found in the passage."""
-    words = tx.word_set(answer)
-    shared = F.size(F.array_intersect(words, tx.word_set(passage)))
+    ratio = bind(tx.word_set(answer), lambda words: F.try_divide(
+        F.size(F.array_intersect(words, tx.word_set(passage))), F.size(words)))
     blank = (answer == "") | (passage == "")
-    score = round_half_binary(F.lit(0.75) + F.lit(0.25) * F.try_divide(shared, F.size(words)))
+    score = bind(F.lit(0.75) + F.lit(0.25) * ratio, round_half_binary)
     return F.when(F.coalesce(blank, F.lit(False)), 0.8).otherwise(F.coalesce(score, F.lit(0.8)))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quaestor.functions import text as tx
+from quaestor.functions.binding import bind
 from quaestor.options import Options
 
 PIECE = "array<struct<lo:int,hi:int,start_char:int,end_char:int>>"
@@ -41,7 +42,6 @@ def _pack(lengths: Column, text_length: Column, size: int, overlap_tokens: int)
 
     def step(acc: Column, s: Column) -> Column:
         full = (acc["i"] > acc["lo"]) & (acc["tokens"] + s["tokens"] > size)
-        # A struct wrapped in an array: transform() evaluates the walk once.
         kept = F.when(full, _overlap(lengths, acc["lo"], acc["i"], overlap_tokens))
 
         def moved(k: Column) -> Column:
@@ -56,7 +56,7 @@ def _pack(lengths: Column, text_length: Column, size: int, overlap_tokens: int)
                     acc["lo"].alias("lo"), acc["i"].alias("hi"), acc["start"].alias("start_char"),
                     acc["end"].alias("end_char"))))).otherwise(acc["out"]).alias("out"))
 
-        return F.element_at(F.transform(F.array(kept), moved), 1)
+        return bind(kept, moved)
 
     zero = F.struct(F.lit(0).alias("i"), F.lit(0).alias("lo"), F.lit(0).alias("tokens"), F.lit(0).alias("start"),
                     F.lit(0).alias("pos"), F.lit(0).alias("end"), F.array().cast(PIECE).alias("out"))

@@ -26,7 +26,7 @@ def score_pairs(pairs: DataFrame, tolerance: float = 0.02) -> DataFrame:
     staged = (pairs
               .withColumn("_pt", tx.normalized_tokens(F.col("predicted_answer")))
               .withColumn("_gt", tx.normalized_tokens(F.col("ground_truth_answer")))
-              .withColumn("_pn", tx.extract_numbers(F.col("predicted_answer")))
+              .withColumn("_pn", F.array_distinct(tx.extract_numbers(F.col("predicted_answer"))))
               .withColumn("_gn", tx.extract_numbers(F.col("ground_truth_answer"))))
     scored = (staged
               .withColumn("exact_match", sc.exact_match(F.col("_pt"), F.col("_gt")))

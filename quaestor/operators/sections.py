@@ -77,11 +77,9 @@ def split_sections(filings: DataFrame, min_chars: int = 500) -> DataFrame:
     its cleaned text has more than ``min_chars`` characters. A filing without
     any such section is cut into five slices instead.
     """
-    markers = F.array_compact(F.array(*[
-        F.when(last_hit(F.col("full_text"), pattern).isNotNull(),
-               F.struct(last_hit(F.col("full_text"), pattern).alias("start_pos"), F.lit(name).alias("section")))
-        for pattern, name in SECTION_PATTERNS]))
-    marked = filings.withColumn("_marks", F.sort_array(markers))
+    hits = F.array(*[F.struct(last_hit(F.col("full_text"), pattern).alias("start_pos"), F.lit(name).alias("section"))
+                     for pattern, name in SECTION_PATTERNS])
+    marked = filings.withColumn("_marks", F.sort_array(F.filter(hits, lambda h: h["start_pos"].isNotNull())))
 
     def cut(mark: Column, i: Column) -> Column:
         following = F.get(F.col("_marks"), i + 1)["start_pos"]

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quaestor.functions import text as tx
+from quaestor.functions.binding import bind
 
 # English stop words, dropped ahead of the two-word terms.
 STOP_WORDS = tuple("""
@@ -36,13 +37,13 @@ TOP_SPLITS = 32
 
 
 def terms(text: Column) -> Column:
-    """Words of two or more characters without stop words, and pairs of neighbours among them."""
+    """Words of two or more characters without stop words."""
     words = F.regexp_extract_all(F.lower(text), F.lit(f"[{tx.WORD}]{{2,}}"), F.lit(0))
-    kept = F.filter(words, lambda w: ~w.isin(*STOP_WORDS))
-    return kept
+    return F.filter(words, lambda w: ~w.isin(*STOP_WORDS))
 
 
 def _with_pairs(words: Column) -> Column:
+    """The words and each two neighbours among them."""
     n = F.greatest(F.size(words) - 1, F.lit(0))
     pairs = F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b))
     return F.concat(words, pairs)
@@ -51,7 +52,7 @@ def _with_pairs(words: Column) -> Column:
 def term_counts(texts: DataFrame) -> DataFrame:
     """``(scope, text_id, copies, term, tf)`` from ``(scope, text_id, copies, text)``."""
     words = texts.select("scope", "text_id", "copies", terms(F.col("text")).alias("_words"))
-    spread = words.select("scope", "text_id", "copies", F.explode(_with_pairs(F.col("_words"))).alias("term"))
+    spread = words.select("scope", "text_id", "copies", F.explode(bind(F.col("_words"), _with_pairs)).alias("term"))
     return spread.groupBy("scope", "text_id", "copies", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -85,13 +86,13 @@ def vectors(texts: DataFrame, counts: DataFrame, vocab: DataFrame) -> DataFrame:
     sizes = texts.groupBy("scope").agg(F.sum("copies").alias("_rows"))
     weighted = vocab.join(sizes, "scope").select("scope", "term", "term_id", "df",
                                                  idf(F.col("_rows"), F.col("df")).alias("_idf"))
+    weight = F.col("tf") * F.col("_idf")
     raw = (counts.join(weighted, ["scope", "term"])
            .groupBy("scope", "text_id")
-           .agg(F.sort_array(F.collect_list(F.struct("df", "term_id", (F.col("tf") * F.col("_idf")).alias("w")))).alias("_raw")))
-    norm = F.sqrt(F.aggregate("_raw", F.lit(0.0), lambda acc, e: acc + e["w"] * e["w"]))
-    return (raw.withColumn("_norm", norm)
-            .select("scope", "text_id", F.transform("_raw", lambda e: F.struct(
-                e["df"].alias("df"), e["term_id"].alias("term_id"), (e["w"] / F.col("_norm")).alias("w"))).alias("vec")))
+           .agg(F.sort_array(F.collect_list(F.struct("df", "term_id", weight.alias("w")))).alias("_raw"),
+                F.sqrt(F.sum(weight * weight)).alias("_norm")))
+    return raw.select("scope", "text_id", F.transform("_raw", lambda e: F.struct(
+        e["df"].alias("df"), e["term_id"].alias("term_id"), (e["w"] / F.col("_norm")).alias("w"))).alias("vec"))
 
 
 def dot(left: Column, right: Column) -> Column:

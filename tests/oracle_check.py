@@ -68,7 +68,7 @@ def main(argv):
     import __spark_entry__ as entry
     from quaestor import build_session
     sf_dir = argv[0]
-    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"})
+    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     oracles = entry.oracle_sql()
