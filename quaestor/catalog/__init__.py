@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("scoring", "texts", "similarity")
+MODULES = ("scoring", "dataset", "texts", "similarity", "sources")
 
 
 def all_queries():

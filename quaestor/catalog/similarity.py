@@ -31,8 +31,7 @@ def tfidf_vocab(spark, sf_dir):
 
 def tfidf_weights(spark, sf_dir):
     texts, counts, vocab = _weights(spark, sf_dir)
-    return (tfidf.vectors(texts, counts, vocab).select("scope", "text_id", F.inline("vec"))
-            .select("scope", "text_id", "term_id", F.round("w", 6).alias("weight")))
+    return tfidf.weights(texts, counts, vocab).select("scope", "text_id", "term_id", F.round("w", 6).alias("weight"))
 
 
 def tfidf_similar_pairs(spark, sf_dir):
@@ -45,7 +44,11 @@ def dedup_survivors(spark, sf_dir):
 
 
 def dedup_survivors_corpus(spark, sf_dir):
-    """All documents against each other, whatever their source."""
+    """All documents against each other, whatever their source.
+
+    The oracle would take minutes on whole tables, so the tests compare this
+    one with a plain double loop.
+    """
     return dedup.survivors(_questions(spark, sf_dir)).select("ord", "difficulty_estimate")
 
 
@@ -95,8 +98,6 @@ g(step, rj, ri, i, j, gone) AS (
 gone AS (SELECT DISTINCT gone AS ord FROM g WHERE gone IS NOT NULL)"""
 
 
-# The pass starts a row i only if nothing removed it before, so rows that fell
-# (ri) are skipped as j above and as i here through their own position.
 ORACLE = {
     "tfidf_vocab": src.with_ctes(weights_sql("source"), body="SELECT scope, term, corpus_tf, df, CAST(term_id AS INTEGER) AS term_id FROM v"),
     "tfidf_weights": src.with_ctes(weights_sql("source"), body="""
@@ -104,8 +105,6 @@ SELECT scope, min(ord) AS text_id, CAST(term_id AS INTEGER) AS term_id, round(mi
 FROM x JOIN (SELECT scope, ord, question FROM q) USING (scope, ord) GROUP BY scope, question, term_id"""),
     "dedup_survivors": src.with_ctes(greedy_sql("source"), recursive=True,
                                      body="SELECT scope, ord, difficulty_estimate FROM q WHERE ord NOT IN (SELECT ord FROM gone)"),
-    "dedup_survivors_corpus": src.with_ctes(greedy_sql("''"), recursive=True,
-                                            body="SELECT ord, difficulty_estimate FROM q WHERE ord NOT IN (SELECT ord FROM gone)"),
     "tfidf_similar_pairs": src.with_ctes(
         greedy_sql("source"), "k AS (SELECT scope, ord, min(ord) OVER (PARTITION BY scope, question, rank) AS node FROM q)",
         recursive=True, body="""

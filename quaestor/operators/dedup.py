@@ -95,8 +95,8 @@ def _candidates(left: DataFrame, right: DataFrame, ranks: Column, threshold: flo
 
 def _similar(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
     """Pairs whose full inner product exceeds the threshold."""
-    left = vectors.select("scope", F.col("text_id").alias("text_id_i"), tfidf.as_map(F.col("vec")).alias("_vi"))
-    right = vectors.select("scope", F.col("text_id").alias("text_id_j"), tfidf.as_map(F.col("vec")).alias("_vj"))
+    left = vectors.select("scope", F.col("text_id").alias("text_id_i"), F.col("vec").alias("_vi"))
+    right = vectors.select("scope", F.col("text_id").alias("text_id_j"), F.col("vec").alias("_vj"))
     scored = (pairs.join(left, ["scope", "text_id_i"]).join(right, ["scope", "text_id_j"])
               .withColumn("similarity", tfidf.dot(F.col("_vi"), F.col("_vj"))))
     return scored.where(F.col("similarity") > threshold).select("scope", "i", "j", "similarity")
@@ -151,12 +151,13 @@ def resolve(df: DataFrame, order: str = "ord", text: str = "question", difficult
     texts = _pin(distinct_texts(rows), "texts")
     counts = _pin(tfidf.term_counts(texts), "terms")
     vocab = _pin(tfidf.vocabulary(counts, options.max_features), "vocabulary")
-    vectors = _pin(tfidf.vectors(texts, counts, vocab), "vectors")
-    nodes = (texts.join(vectors.select("scope", "text_id"), ["scope", "text_id"])
-             .select("scope", "text_id", F.inline("nodes")))
-    index = tfidf.prefix_entries(vectors, threshold)
-    buckets = index.groupBy("scope", "text_id").agg(F.count(F.lit(1)).alias("buckets"))
-    entries = _pin(nodes.join(buckets, ["scope", "text_id"]).join(index, ["scope", "text_id"]), "entries")
+    weights = _pin(tfidf.weights(texts, counts, vocab), "weights")
+    vectors = _pin(tfidf.vectors(weights), "vectors")
+    index = tfidf.prefix_entries(weights, threshold)
+    prefixes = index.groupBy("scope", "text_id").agg(F.count(F.lit(1)).alias("buckets"), F.min("tail").alias("end_tail"))
+    nodes = _pin(texts.join(prefixes, ["scope", "text_id"])
+                 .select("scope", "text_id", "buckets", "end_tail", F.inline("nodes")), "nodes")
+    entries = _pin(nodes.join(index, ["scope", "text_id"]), "entries")
     roots = _pin(_find_roots(entries, vectors, threshold, heads), "roots")
 
     root_entries = entries.join(roots, NODE, "left_semi")

@@ -77,22 +77,31 @@ def idf(n_rows: Column, df: Column) -> Column:
     return F.ln((n_rows + 1) / (df + 1)) + 1
 
 
-def vectors(texts: DataFrame, counts: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Unit vectors as arrays of ``(df, term_id, w)``, rarest term first.
+def weights(texts: DataFrame, counts: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Entries ``(scope, text_id, term_id, df, w, mass)`` of unit vectors.
 
-    An array holds the terms of one text. Texts without any term of the
-    vocabulary have no row.
+    ``mass`` is the squared weight of an entry and of all rarer terms of its
+    text. Texts without any term of the vocabulary have no entries. A window
+    holds the terms of one text.
     """
     sizes = texts.groupBy("scope").agg(F.sum("copies").alias("_rows"))
     weighted = vocab.join(sizes, "scope").select("scope", "term", "term_id", "df",
                                                  idf(F.col("_rows"), F.col("df")).alias("_idf"))
-    weight = F.col("tf") * F.col("_idf")
     raw = (counts.join(weighted, ["scope", "term"])
-           .groupBy("scope", "text_id")
-           .agg(F.sort_array(F.collect_list(F.struct("df", "term_id", weight.alias("w")))).alias("_raw"),
-                F.sqrt(F.sum(weight * weight)).alias("_norm")))
-    return raw.select("scope", "text_id", F.transform("_raw", lambda e: F.struct(
-        e["df"].alias("df"), e["term_id"].alias("term_id"), (e["w"] / F.col("_norm")).alias("w"))).alias("vec"))
+           .select("scope", "text_id", "term_id", "df", (F.col("tf") * F.col("_idf")).alias("_x")))
+    own = Window.partitionBy("scope", "text_id").orderBy("df", "term_id")
+    upto = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    square = F.col("_x") * F.col("_x")
+    return (raw.withColumn("_total", F.sum(square).over(whole)).withColumn("_mass", F.sum(square).over(upto))
+            .select("scope", "text_id", "term_id", "df", (F.col("_x") / F.sqrt("_total")).alias("w"),
+                    (F.col("_mass") / F.col("_total")).alias("mass")))
+
+
+def vectors(entries: DataFrame) -> DataFrame:
+    """One map from term to weight per text."""
+    pairs = F.collect_list(F.struct("term_id", "w"))
+    return entries.groupBy("scope", "text_id").agg(F.map_from_entries(pairs).alias("vec"))
 
 
 def dot(left: Column, right: Column) -> Column:
@@ -101,29 +110,15 @@ def dot(left: Column, right: Column) -> Column:
     return F.aggregate(F.map_values(products), F.lit(0.0), lambda acc, v: acc + F.coalesce(v, F.lit(0.0)))
 
 
-def as_map(vec: Column) -> Column:
-    return F.map_from_arrays(F.transform(vec, lambda e: e["term_id"]), F.transform(vec, lambda e: e["w"]))
-
-
-def prefix_entries(vecs: DataFrame, threshold: float) -> DataFrame:
-    """Index entries ``(scope, term_id, text_id, w, tail, end_tail)`` of every vector's rarest terms.
+def prefix_entries(entries: DataFrame, threshold: float) -> DataFrame:
+    """Index entries ``(scope, term_id, text_id, w, tail)`` of every vector's rarest terms.
 
     Two unit vectors with an inner product above the threshold share a term
     within both prefixes when each prefix holds more than ``1 - threshold²``
     of its vector's mass (with the same term order everywhere). ``tail`` is
-    the norm of what follows an entry, ``end_tail`` of what follows the prefix.
+    the norm of what follows an entry.
     """
     need = 1.0 - threshold * threshold + 1e-9
-
-    def step(acc: Column, e: Column) -> Column:
-        mass = acc["mass"] + e["w"] * e["w"]
-        entry = F.struct(e["term_id"].alias("term_id"), e["w"].alias("w"),
-                         F.sqrt(F.greatest(F.lit(0.0), 1 - mass)).alias("tail"))
-        return F.when(acc["mass"] >= need, acc).otherwise(F.struct(
-            mass.alias("mass"), F.concat(acc["out"], F.array(entry)).alias("out")))
-
-    zero = F.struct(F.lit(0.0).alias("mass"),
-                    F.array().cast("array<struct<term_id:int,w:double,tail:double>>").alias("out"))
-    prefix = F.aggregate("vec", zero, step, lambda acc: acc["out"])
-    return (vecs.select("scope", "text_id", prefix.alias("_prefix"))
-            .select("scope", "text_id", F.element_at("_prefix", -1)["tail"].alias("end_tail"), F.inline("_prefix")))
+    tail = F.sqrt(F.greatest(F.lit(0.0), 1 - F.col("mass")))
+    return (entries.where(F.col("mass") - F.col("w") * F.col("w") < need)
+            .select("scope", "term_id", "text_id", "w", tail.alias("tail")))
