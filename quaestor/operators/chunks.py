@@ -72,6 +72,8 @@ def _pack(lengths: Column, text_length: Column, size: int, overlap_tokens: int)
 def chunk_sections(sections: DataFrame, options: Options = Options()) -> DataFrame:
     """Overlapping chunks of whole sentences; short chunks are dropped before numbering.
 
+    Other columns of a section are repeated on its chunks.
+
     A chunk's text joins its sentences with one space, so it can differ from
     the text between its offsets.
     """
@@ -90,8 +92,9 @@ def chunk_sections(sections: DataFrame, options: Options = Options()) -> DataFra
             F.array_join(F.slice("_sentences", w["lo"] + 1, w["hi"] - w["lo"]), " ").alias("text"),
             w["start_char"].alias("start_char"), w["end_char"].alias("end_char"))),
         lambda c: tx.estimate_tokens(c["text"]) >= options.min_chunk_tokens)
-    return (packed.select("doc_id", "section", F.posexplode(chunks).alias("chunk_index", "_c"))
-            .select("doc_id", "section", "chunk_index", "_c.text", "_c.start_char", "_c.end_char"))
+    kept = [c for c in sections.columns if c != "full_text"]
+    return (packed.select(*kept, F.posexplode(chunks).alias("chunk_index", "_c"))
+            .select(*kept, "chunk_index", "_c.text", "_c.start_char", "_c.end_char"))
 
 
 def sentences(texts: DataFrame, text_col: str = "full_text") -> DataFrame:
