@@ -61,7 +61,7 @@ def distinct_sections(spark, sf_dir):
 
 
 def fake_calculation(spark, sf_dir):
-    docs = src.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ord"), tx.is_fake_calculation(F.col("text")).alias("fake"))
+    docs = src.heavy_table(spark, sf_dir, "documents", "doc_id").select(F.col("doc_id").alias("ord"), tx.is_fake_calculation(F.col("text")).alias("fake"))
     qa = src.qa_pairs(spark, sf_dir).select("ord", tx.is_fake_calculation(F.col("reasoning_steps")).alias("fake"))
     return docs.withColumn("origin", F.lit("document")).unionByName(qa.withColumn("origin", F.lit("pair")))
 
@@ -163,7 +163,7 @@ def merge_supplement(spark, sf_dir):
 
 
 def _chunks(spark, sf_dir):
-    docs = src.table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("section"), F.col("text").alias("full_text"))
+    docs = src.heavy_table(spark, sf_dir, "documents", "doc_id").select("doc_id", F.col("source").alias("section"), F.col("text").alias("full_text"))
     return ch.chunk_sections(docs)
 
 

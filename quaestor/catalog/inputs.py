@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quaestor.schemas import QUESTION_TYPES
+from quaestor.session import spread
 
 # The section names that a filing is cut into.
 SECTION_NAMES = ("Item 1: Business", "Item 1A: Risk Factors", "Item 7: MD&A",
@@ -19,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def heavy_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose rows are costly to work on; see :func:`quaestor.session.spread`."""
+    return spread(table(spark, sf_dir, name), key)
+
+
 def _pick(index, values):
     chosen = F.lit(values[-1])
     for i, value in reversed(list(enumerate(values[:-1]))):
@@ -83,7 +89,7 @@ FROM v_qa)"""
 
 def numeric_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers full of numbers, one for every order."""
-    orders = table(spark, sf_dir, "orders")
+    orders = heavy_table(spark, sf_dir, "orders", "o_orderkey")
     price = F.col("o_totalprice").cast("decimal(15,2)")
     key = F.col("o_orderkey")
     gold = F.concat(F.lit("The order total was $"), price.cast("string"), F.lit(" and "),

@@ -67,13 +67,13 @@ def _levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalize_text(spark, sf_dir):
-    return src.table(spark, sf_dir, "documents").select("doc_id", tx.normalize_text(F.col("text")).alias("normalized"))
+    return src.heavy_table(spark, sf_dir, "documents", "doc_id").select("doc_id", tx.normalize_text(F.col("text")).alias("normalized"))
 
 
 def extract_numbers(spark, sf_dir):
     orders = src.numeric_pairs(spark, sf_dir).select(
         F.lit("order").alias("origin"), "ord", tx.extract_numbers(F.col("ground_truth_answer")).alias("n"))
-    docs = src.table(spark, sf_dir, "documents").select(
+    docs = src.heavy_table(spark, sf_dir, "documents", "doc_id").select(
         F.lit("document").alias("origin"), F.col("doc_id").alias("ord"), tx.extract_numbers(F.col("text")).alias("n"))
     return (orders.unionByName(docs)
             .select("origin", "ord", F.posexplode("n").alias("pos", "value")))

@@ -35,7 +35,7 @@ def tfidf_weights(spark, sf_dir):
 
 
 def tfidf_similar_pairs(spark, sf_dir):
-    found = dedup.resolve(_questions(spark, sf_dir), scope="scope")
+    found = dedup.resolve(_questions(spark, sf_dir), scope="scope", all_removals=True)
     return dedup.duplicate_pairs(found).select("scope", "i", "j", "removed", F.round("similarity", 6).alias("similarity"))
 
 

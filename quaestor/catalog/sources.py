@@ -53,12 +53,12 @@ def cache_filename(spark, sf_dir):
 
 
 def html_extract_text(spark, sf_dir):
-    return hm.html_to_text(src.table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "text")
+    return hm.html_to_text(src.heavy_table(spark, sf_dir, "pages", "page_id").select("page_id", "html")).select("page_id", "text")
 
 
 def table_to_markdown(spark, sf_dir):
     """One page per order with a table that has a header, a spanning cell and an empty row."""
-    orders = src.table(spark, sf_dir, "orders")
+    orders = src.heavy_table(spark, sf_dir, "orders", "o_orderkey")
     cell = lambda c: F.concat(F.lit("<td> "), F.col(c).cast("string"), F.lit(" </td>"))
     html = F.concat(
         F.lit('<html><body><p>Item</p><table><tr><th>Order</th><th colspan="2">Status &amp; priority</th></tr><tr>'),

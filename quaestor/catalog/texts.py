@@ -27,7 +27,7 @@ def clean_sql(expr: str) -> str:
 
 def _doc_sections(spark, sf_dir):
     """Every document as one section named after its source."""
-    return src.table(spark, sf_dir, "documents").select(
+    return src.heavy_table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", F.col("source").alias("section"), F.col("text").alias("full_text"))
 
 
@@ -36,7 +36,7 @@ def clean_text(spark, sf_dir):
 
 
 def estimate_tokens(spark, sf_dir):
-    return src.table(spark, sf_dir, "documents").select("doc_id", tx.estimate_tokens(F.col("text")).alias("tokens"))
+    return src.heavy_table(spark, sf_dir, "documents", "doc_id").select("doc_id", tx.estimate_tokens(F.col("text")).alias("tokens"))
 
 
 def section_markers(spark, sf_dir):
@@ -49,12 +49,12 @@ def section_split(spark, sf_dir):
 
 
 def fallback_split(spark, sf_dir):
-    docs = src.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("full_text"))
+    docs = src.heavy_table(spark, sf_dir, "documents", "doc_id").select("doc_id", F.col("text").alias("full_text"))
     return se.fallback_split(docs)
 
 
 def sentence_split(spark, sf_dir):
-    return ch.sentences(src.table(spark, sf_dir, "documents"), "text")
+    return ch.sentences(src.heavy_table(spark, sf_dir, "documents", "doc_id"), "text")
 
 
 def chunk_sections(spark, sf_dir):
@@ -75,7 +75,7 @@ def chunk_stats(spark, sf_dir):
 
 
 def num_questions_bucket(spark, sf_dir):
-    return src.table(spark, sf_dir, "documents").select(
+    return src.heavy_table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", ch.question_count(F.col("text")).alias("num_questions"))
 
 

@@ -14,7 +14,7 @@ No task sees all members of a group and no pair list of a group is built:
 
 - copies (same text and difficulty) become one node up front,
 - candidates meet in buckets of rare terms, and in each bucket only its first
-  ``heads`` undecided nodes are compared with the rest. A node that is a head
+  undecided nodes (the heads) are compared with the rest. A node that is a head
   in all of its buckets knows everything ahead of it, so it can be decided.
   Groups of near copies collapse onto their roots in the first round; nodes
   behind the heads wait for the next round.
@@ -24,9 +24,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quaestor.operators import tfidf
+from quaestor.operators.skew import hot_limit, skew_join
 from quaestor.options import Options
 from quaestor.schemas import DIFFICULTY_RANK
 from quaestor.session import scratch_path
@@ -39,7 +40,7 @@ class Resolution:
     rows: DataFrame        # scope, ord, question, rank: the input
     nodes: DataFrame       # scope, node, text_id, rank, copies: those with a vector
     roots: DataFrame       # scope, node
-    removals: DataFrame    # scope, i, j, similarity: j removed by root i (its first remover)
+    removals: DataFrame    # scope, i, j, similarity: j removed by root i (its first remover), see all_removals
     falls: DataFrame       # scope, i, j, similarity: root i falls to j
     texts: DataFrame       # scope, text_id, text
     vectors: DataFrame
@@ -73,7 +74,7 @@ def distinct_texts(rows: DataFrame) -> DataFrame:
                  F.collect_list(F.struct("node", "rank", "copies")).alias("nodes")))
 
 
-def _candidates(left: DataFrame, right: DataFrame, ranks: Column, threshold: float) -> DataFrame:
+def _candidates(left: DataFrame, right: DataFrame, ranks: Column, threshold: float, hot_rows: int) -> DataFrame:
     """Pairs of entries in the same bucket that can still reach the threshold.
 
     Shared prefix terms give a part of the inner product; the rest is bounded
@@ -83,21 +84,28 @@ def _candidates(left: DataFrame, right: DataFrame, ranks: Column, threshold: flo
         return entries.select("scope", "term_id", *[F.col(c).alias(f"{c}_{tag}") for c in
                                                     ("node", "text_id", "rank", "w", "tail", "end_tail")])
 
-    met = (side(left, "i").join(side(right, "j"), ["scope", "term_id"])
+    met = (skew_join(side(right, "j"), side(left, "i"), ["scope", "term_id"], "node_j", hot_rows)
            .where((F.col("node_i") < F.col("node_j")) & ranks))
     summed = (met.groupBy("scope", "node_i", "node_j", "text_id_i", "text_id_j")
-              .agg(F.sum(F.col("w_i") * F.col("w_j")).alias("_part"),
+              .agg(F.sum(F.col("w_i") * F.col("w_j")).alias("_part_sum"),
                    F.greatest(F.min("tail_i"), F.min("tail_j")).alias("_tail"),
                    F.greatest(F.max("end_tail_i"), F.max("end_tail_j")).alias("_end")))
-    return (summed.where(F.col("_part") + F.col("_tail") * F.col("_end") > threshold - 1e-9)
+    return (summed.where(F.col("_part_sum") + F.col("_tail") * F.col("_end") > threshold - 1e-9)
             .select("scope", F.col("node_i").alias("i"), F.col("node_j").alias("j"), "text_id_i", "text_id_j"))
 
 
-def _similar(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose full inner product exceeds the threshold."""
+def _similar(candidates: DataFrame, vectors: DataFrame, threshold: float, hot_rows: int | None) -> DataFrame:
+    """Pairs whose full inner product exceeds the threshold.
+
+    One node can be the first of very many pairs, and a text the second of as
+    many, so both lookups of vectors are skew joins.
+    """
+    pairs = _pin(candidates, "candidates")
+    limit = hot_rows or hot_limit(pairs.count())
     left = vectors.select("scope", F.col("text_id").alias("text_id_i"), F.col("vec").alias("_vi"))
     right = vectors.select("scope", F.col("text_id").alias("text_id_j"), F.col("vec").alias("_vj"))
-    scored = (pairs.join(left, ["scope", "text_id_i"]).join(right, ["scope", "text_id_j"])
+    with_i = skew_join(pairs, left, ["scope", "text_id_i"], "j", limit)
+    scored = (skew_join(with_i, right, ["scope", "text_id_j"], "i", limit, counted=pairs)
               .withColumn("similarity", tfidf.dot(F.col("_vi"), F.col("_vj"))))
     return scored.where(F.col("similarity") > threshold).select("scope", "i", "j", "similarity")
 
@@ -109,47 +117,77 @@ def _settle(edges: DataFrame, informed: DataFrame) -> tuple[DataFrame, DataFrame
     its targets; removed nodes release theirs. Steps repeat until nothing is
     released any more.
     """
-    roots, dead = None, None
+    roots, dead = informed.limit(0), informed.limit(0)
     while True:
         blocked = edges.select("scope", F.col("j").alias("node"))
         new_roots = _pin(informed.join(blocked, NODE, "left_anti"), "roots")
-        roots = new_roots if roots is None else roots.unionByName(new_roots)
-        hit = (edges.join(new_roots.withColumnRenamed("node", "i"), ["scope", "i"], "left_semi")
-               .select("scope", F.col("j").alias("node")).distinct())
-        new_dead = _pin(hit, "dead")
-        dead = new_dead if dead is None else dead.unionByName(new_dead)
+        roots = roots.unionByName(new_roots)
+        hit = edges.join(new_roots.withColumnRenamed("node", "i"), ["scope", "i"], "left_semi")
+        new_dead = _pin(hit.select("scope", F.col("j").alias("node")).distinct(), "dead")
         if new_dead.isEmpty():
             return roots, dead
+        dead = dead.unionByName(new_dead)
+        informed = informed.join(new_roots, NODE, "left_anti").join(new_dead, NODE, "left_anti")
         released = edges.join(new_dead.withColumnRenamed("node", "i"), ["scope", "i"], "left_anti")
         edges = _pin(released.join(new_dead.withColumnRenamed("node", "j"), ["scope", "j"], "left_anti"), "edges")
-        informed = (informed.join(new_roots, NODE, "left_anti").join(new_dead, NODE, "left_anti"))
+        if edges.isEmpty():
+            return roots.unionByName(informed), dead
+
+
+def _heads(entries: DataFrame, wanted: int, hot_rows: int) -> DataFrame:
+    """The first entries of every bucket: about ``wanted`` of a large one, all of a small one.
+
+    Only a prefix of the bucket's order is needed, not an exact number, so a
+    quantile sketch finds the cut and no task sorts a bucket.
+    """
+    keys = ["scope", "term_id"]
+    shares = [2.0 ** -k for k in range(31)]
+    sketch = entries.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                        F.percentile_approx("node", shares).alias("_cuts"))
+    step = F.greatest(F.lit(0), F.least(F.lit(len(shares) - 1), F.floor(F.log2(F.col("_n") / wanted)))).cast("int")
+    cut = sketch.select(*keys, F.get("_cuts", step).alias("_cut"))
+    return skew_join(entries, cut, keys, "node", hot_rows).where(F.col("node") <= F.col("_cut")).drop("_cut")
 
 
-def _find_roots(entries: DataFrame, vectors: DataFrame, threshold: float, heads: int) -> DataFrame:
-    """All roots, found in rounds over the undecided nodes."""
+def _find_roots(entries: DataFrame, vectors: DataFrame, threshold: float, heads: int,
+                hot_rows: int | None) -> DataFrame:
+    """All roots, found in rounds over the undecided nodes.
+
+    The heads double with every round, so a bucket of many dissimilar nodes
+    takes few rounds.
+    """
     roots, open_entries = None, entries
+    limit = hot_rows or hot_limit(entries.count())
     while True:
-        place = F.row_number().over(Window.partitionBy("scope", "term_id").orderBy("node"))
-        head = _pin(open_entries.withColumn("_place", place).where(F.col("_place") <= heads).drop("_place"), "heads")
-        pairs = _candidates(head, open_entries, F.col("rank_i") >= F.col("rank_j"), threshold)
-        edges = _pin(_similar(pairs, vectors, threshold), "edges")
+        head = _pin(_heads(open_entries, heads, limit), "heads")
+        pairs = _candidates(head, open_entries, F.col("rank_i") >= F.col("rank_j"), threshold, limit)
+        edges = _pin(_similar(pairs, vectors, threshold, hot_rows), "edges")
         seen = head.groupBy(*NODE).agg(F.count(F.lit(1)).alias("_seen"), F.first("buckets").alias("_all"))
         informed = _pin(seen.where(F.col("_seen") == F.col("_all")).select(*NODE), "informed")
-        new_roots, dead = _settle(edges.select("scope", "i", "j"), informed)
+        new_roots, dead = ((informed, informed.limit(0)) if edges.isEmpty()
+                           else _settle(edges.select("scope", "i", "j"), informed))
         roots = new_roots if roots is None else roots.unionByName(new_roots)
         decided = new_roots.unionByName(dead)
         open_entries = _pin(open_entries.join(decided, NODE, "left_anti"), "open")
         if open_entries.isEmpty():
             return roots
+        heads *= 2
 
 
 def resolve(df: DataFrame, order: str = "ord", text: str = "question", difficulty: str = "difficulty_estimate",
-            scope: str | None = None, options: Options = Options(), heads: int = 256) -> Resolution:
-    """Decide every question of every scope."""
+            scope: str | None = None, options: Options = Options(), heads: int = 256,
+            hot_rows: int | None = None, all_removals: bool = False) -> Resolution:
+    """Decide every question of every scope.
+
+    ``heads`` is the number of nodes per bucket that the first round compares
+    with the rest of it. ``hot_rows`` replaces the measured limit of the skew joins.
+    ``all_removals`` lists the first remover of every removed node; otherwise
+    only those that decide about a fall are looked for.
+    """
     threshold = options.similarity_threshold
     rows = _rows(df, order, text, difficulty, scope)
     texts = _pin(distinct_texts(rows), "texts")
-    counts = _pin(tfidf.term_counts(texts), "terms")
+    counts = tfidf.term_counts(texts)  # taken apart twice: cheaper than storing every term of every text
     vocab = _pin(tfidf.vocabulary(counts, options.max_features), "vocabulary")
     weights = _pin(tfidf.weights(texts, counts, vocab), "weights")
     vectors = _pin(tfidf.vectors(weights), "vectors")
@@ -158,16 +196,20 @@ def resolve(df: DataFrame, order: str = "ord", text: str = "question", difficult
     nodes = _pin(texts.join(prefixes, ["scope", "text_id"])
                  .select("scope", "text_id", "buckets", "end_tail", F.inline("nodes")), "nodes")
     entries = _pin(nodes.join(index, ["scope", "text_id"]), "entries")
-    roots = _pin(_find_roots(entries, vectors, threshold, heads), "roots")
-
-    root_entries = entries.join(roots, NODE, "left_semi")
-    others = entries.join(roots, NODE, "left_anti")
-    removing = _candidates(root_entries, others, F.col("rank_i") >= F.col("rank_j"), threshold)
-    removers = _similar(removing, vectors, threshold)
+    roots = _pin(_find_roots(entries, vectors, threshold, heads, hot_rows), "roots")
+
+    limit = hot_rows or hot_limit(entries.count())
+    flagged = _pin(entries.join(roots.withColumn("is_root", F.lit(True)), NODE, "left"), "flagged")
+    root_entries = flagged.where("is_root")
+    falling = _candidates(root_entries, flagged, F.col("rank_i") < F.col("rank_j"), threshold, limit)
+    risen = _pin(_similar(falling, vectors, threshold, hot_rows), "risen")
+    removed = flagged.where("is_root IS NULL")
+    if not all_removals:
+        removed = _pin(removed.join(risen.select("scope", F.col("j").alias("node")), NODE, "left_semi"), "removed")
+    removing = _candidates(root_entries, removed, F.col("rank_i") >= F.col("rank_j"), threshold, limit)
+    removers = _similar(removing, vectors, threshold, hot_rows)
     first = _pin(removers.groupBy("scope", "j").agg(
         F.min(F.struct("i", "similarity")).alias("_f")).select("scope", "_f.i", "j", "_f.similarity"), "removals")
-    falling = _candidates(root_entries, entries, F.col("rank_i") < F.col("rank_j"), threshold)
-    risen = _similar(falling, vectors, threshold)
     blockers = first.select("scope", "j", F.col("i").alias("_remover"))
     falls = (risen.join(blockers, ["scope", "j"], "left")
              .where(F.col("_remover").isNull() | (F.col("_remover") > F.col("i")))
@@ -181,9 +223,10 @@ def kept_nodes(found: Resolution) -> DataFrame:
 
 
 def survivors(df: DataFrame, order: str = "ord", text: str = "question", difficulty: str = "difficulty_estimate",
-              scope: str | None = None, options: Options = Options(), heads: int = 256) -> DataFrame:
+              scope: str | None = None, options: Options = Options(), heads: int = 256,
+              hot_rows: int | None = None) -> DataFrame:
     """The rows that stay. Questions without any term are similar to nothing and stay as well."""
-    found = resolve(df, order, text, difficulty, scope, options, heads)
+    found = resolve(df, order, text, difficulty, scope, options, heads, hot_rows)
     silent = found.texts.join(found.vectors.select("scope", "text_id"), ["scope", "text_id"], "left_anti")
     tagged = df.withColumn("_scope", F.coalesce(F.col(scope).cast("string"), F.lit("")) if scope else F.lit(""))
     tagged = tagged.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
@@ -194,7 +237,10 @@ def survivors(df: DataFrame, order: str = "ord", text: str = "question", difficu
 
 
 def duplicate_pairs(found: Resolution) -> DataFrame:
-    """Every pair at which the pass removes a question, between nodes: who removes whom, and how similar they are."""
+    """Every pair at which the pass removes a question, between nodes: who removes whom, and how similar they are.
+
+    Needs a resolution with ``all_removals``.
+    """
     removed = found.removals.withColumn("removed", F.col("j"))
     fallen = found.falls.withColumn("removed", F.col("i"))
     return removed.unionByName(fallen).select("scope", "i", "j", "removed", "similarity")

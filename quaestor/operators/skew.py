@@ -1,0 +1,36 @@
+"""Equi-joins that stay even when one key holds a large part of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, functions as F
+
+MIN_HOT_ROWS = 100_000
+MAX_HOT_KEYS = 10_000
+
+
+def hot_limit(total_rows: int) -> int:
+    """Rows from which on a key counts as hot; at most ``MAX_HOT_KEYS`` keys can reach it."""
+    return max(MIN_HOT_ROWS, -(-total_rows // MAX_HOT_KEYS))
+
+
+def skew_join(big: DataFrame, small: DataFrame, keys: Sequence[str], spread_by: str, hot_rows: int,
+              counted: DataFrame | None = None) -> DataFrame:
+    """Inner join in which hot keys of ``big`` are cut into parts of about ``hot_rows`` rows.
+
+    Rows of a hot key are dealt out by a hash of ``spread_by``; the rows of
+    ``small`` with that key are repeated once per part. ``counted`` is a stored
+    table with the same key counts as ``big``, by default ``big`` itself. With
+    :func:`hot_limit` the table of hot keys has at most ``MAX_HOT_KEYS`` rows,
+    which is why it can be broadcast.
+    """
+    counts = (big if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = F.broadcast(counts.where(F.col("_rows") > hot_rows)
+                      .select(*keys, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1))
+    dealt = (big.join(hot, list(keys), "left")
+             .withColumn("_part", F.pmod(F.xxhash64(spread_by), parts).cast("int")).drop("_parts"))
+    repeated = (small.join(hot, list(keys), "left")
+                .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts"))
+    return dealt.join(repeated, [*keys, "_part"]).drop("_part")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 # Sections to fill, most important first, with the number of chunks to take.
 PRIORITY = (("Item 7: MD&A", None), ("Item 8: Financial Statements", 5),
@@ -22,21 +22,15 @@ def chunks_per_section(chunks: DataFrame) -> DataFrame:
 def prioritize(chunks: DataFrame) -> DataFrame:
     """Chunks of the listed sections with their priority; capped sections keep their first chunks.
 
-    Only rows of a capped section pass through the window, and Spark cuts them
-    to the cap in every task before the shuffle.
+    ``chunk_index`` counts from zero without gaps inside a section, so the
+    first chunks are those with a low index and nothing has to be ranked.
     """
     place = F.array_position(F.array(*[F.lit(s) for s, _ in PRIORITY]), F.col("section")).cast("int")
-    listed = chunks.withColumn("priority", place).where(F.col("priority") > 0)
-    capped = [(s, n) for s, n in PRIORITY if n is not None]
-    parts = [listed.where(~F.col("section").isin(*[s for s, _ in capped]))]
-    first = Window.partitionBy("doc_id").orderBy("chunk_index")
-    for section, cap in capped:
-        parts.append(listed.where(F.col("section") == section)
-                     .withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= cap).drop("_n"))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    within = F.lit(True)
+    for section, cap in PRIORITY:
+        if cap is not None:
+            within = within & ((F.col("section") != section) | (F.col("chunk_index") < cap))
+    return chunks.withColumn("priority", place).where((F.col("priority") > 0) & within)
 
 
 def merge_pairs(existing: DataFrame, added: DataFrame) -> DataFrame:

@@ -50,8 +50,13 @@ def _with_pairs(words: Column) -> Column:
 
 
 def term_counts(texts: DataFrame) -> DataFrame:
-    """``(scope, text_id, copies, term, tf)`` from ``(scope, text_id, copies, text)``."""
-    words = texts.select("scope", "text_id", "copies", terms(F.col("text")).alias("_words"))
+    """``(scope, text_id, copies, term, tf)`` from ``(scope, text_id, copies, text)``.
+
+    The texts are hashed by their id before they are taken apart, so the
+    counting per text needs no shuffle of the many terms.
+    """
+    placed = texts.repartition("scope", "text_id")
+    words = placed.select("scope", "text_id", "copies", terms(F.col("text")).alias("_words"))
     spread = words.select("scope", "text_id", "copies", F.explode(bind(F.col("_words"), _with_pairs)).alias("term"))
     return spread.groupBy("scope", "text_id", "copies", "term").agg(F.count(F.lit(1)).alias("tf"))
 

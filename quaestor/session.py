@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "quaestor", master: str | None = None, **conf: str) -> SparkSession:
@@ -56,3 +56,13 @@ def use_checkpoints(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give costly row-wise work to all cores when a scan has fewer partitions than there are cores.
+
+    A scan of many files already has enough partitions and stays as it is, so
+    nothing is shuffled at scale. Hashing by a key keeps retried tasks the same.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

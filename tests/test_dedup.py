@@ -59,16 +59,16 @@ def make_questions(seed, n):
     return questions, [rnd.choice(["easy", "medium", "hard", "odd"]) for _ in questions]
 
 
-@pytest.mark.parametrize("seed,n,heads", [(1, 60, 256), (2, 60, 2), (3, 90, 5)])
-def test_matches_double_loop(spark, seed, n, heads):
+@pytest.mark.parametrize("seed,n,heads,hot", [(1, 60, 256, None), (2, 60, 3, 4)])
+def test_matches_double_loop(spark, seed, n, heads, hot):
     questions, levels = make_questions(seed, n)
     want, flagged = naive(questions, levels)
     assert len(want) < len(questions)
     df = spark.createDataFrame([(i, q, d) for i, (q, d) in enumerate(zip(questions, levels))],
                                "ord long, question string, difficulty_estimate string")
-    got = dedup.survivors(df, heads=heads)
+    got = dedup.survivors(df, heads=heads, hot_rows=hot)
     assert sorted(r["ord"] for r in got.collect()) == want
-    found = dedup.resolve(df, heads=heads)
+    found = dedup.resolve(df, heads=heads, hot_rows=hot)
     row = dedup.summary(found).first()
     assert (row["total"], row["removed"], row["remaining"]) == (len(questions), len(questions) - len(want), len(want))
     assert row["duplicate_pairs"] == flagged
