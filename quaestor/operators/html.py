@@ -170,21 +170,27 @@ def _parsed_text(pages: pd.Series) -> pd.Series:
     return pages.map(page_text, na_action="ignore")
 
 
+SCRIPTS = r"(?is)<(script|style)\b[^>]*>.*?</\1[^>]*>"
+
+
 def needs_parser(html: Column) -> Column:
     """Markup that the expression path cannot read exactly."""
     known = "|".join(["amp", *[name for name, _ in ENTITIES]])
-    odd = "|".join([
-        "<table", "<textarea", "<title[^>]*>[^<]*</body", r"<\?", r"<!\[", r"<!(?!--|doctype)",
-        r"<(?![a-z/!])", r"&(?!(?-i:(?:" + known + r");)|[^a-z#])", r"""=\s*"[^"<>]*[<>]""", r"""=\s*'[^'<>]*[<>]""",
-        r"<(?:script|style)\b[^>]*/>", "<!-->", "<!--->", "--!>", "<plaintext", "<xmp", "<iframe", "<noembed", "<noframes",
-        r"<body\b.*<body\b", r"</body>.*</body>", r"</html>.*<body\b", r"<!--[^>]*[<&]", r"<!--[^>]*(?<!--)>", r"<!--[^>]*\z"])
-    return ~F.regexp_like(html, F.lit(r"(?is)<body\b")) | F.regexp_like(html, F.lit(rf"(?is){odd}"))
+    anywhere = "|".join([
+        "<table", "<textarea", "<plaintext", "<xmp", "<iframe", "<noembed", "<noframes", r"<\?", r"<!(?!--|doctype)",
+        r"<(?:script|style)\b[^>]*/>", r"<body\b.*<body\b", r"</body>.*</body>", r"</html>.*<body\b",
+        "<!--+>", "--!>", r"<!--[^>]*[<&]", r"<!--[^>]*(?<!--)>", r"<!--[^>]*\z"])
+    outside_scripts = "|".join([
+        r"<(?![a-z/!])", r"&(?!(?-i:(?:" + known + r");)|[^a-z#])",
+        r"""=\s*"[^"<>]*[<>]""", r"""=\s*'[^'<>]*[<>]"""])
+    return (~F.regexp_like(html, F.lit(r"(?is)<body\b")) | F.regexp_like(html, F.lit(rf"(?is){anywhere}"))
+            | F.regexp_like(F.regexp_replace(html, SCRIPTS, ""), F.lit(rf"(?is){outside_scripts}")))
 
 
 def native_text(html: Column) -> Column:
     """Text of the body of a simple page, without leaving the JVM."""
     body = F.regexp_extract(html, r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>.*|</html\s*>.*|\z)", 1)
-    body = F.regexp_replace(body, r"(?is)<(script|style)\b[^>]*>.*?</\1[^>]*>", "<br>")
+    body = F.regexp_replace(body, SCRIPTS, "<br>")
     # Comment text is a run of its own; markup inside of it stays as it is.
     pieces = F.split(body, r"(?s)<!--|-->|<[a-zA-Z/][^>]*>")
 
