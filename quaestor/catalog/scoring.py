@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from quaestor.catalog import inputs as src
 from quaestor.functions import scores as sc
 from quaestor.functions import text as tx
-from quaestor.operators import evaluate as ev
+from quaestor.operators import scoring as ev
 
 WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 

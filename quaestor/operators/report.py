@@ -76,7 +76,7 @@ def render_report(df: DataFrame, raw: int, verified: int, removed: int, seconds:
     """Markdown report. Only aggregates of closed domains and two samples per type reach the driver."""
     kinds = distribution(df, "question_type").orderBy(F.desc("count"), "question_type").collect()
     levels = fixed_distribution(df, "difficulty_estimate").orderBy("pos").collect()
-    places = distribution(df, "section").orderBy(F.desc("count"), "section").limit(100).collect()
+    places = distribution(df, "section").orderBy(F.desc("count"), "section").collect()
     lengths, cover = length_stats(df).first(), reasoning_coverage(df).first()
     picked = samples(df, order_by).orderBy("type_pos", "sample").collect()
     size, counts = df.count(), run_counts(raw, verified)

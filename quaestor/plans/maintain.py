@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quaestor.operators import cleanup as cl
-from quaestor.operators import evaluate as ev
+from quaestor.operators import scoring as ev
 from quaestor.operators import report as rp
 from quaestor.options import Options
 from quaestor.plans.build import DATASET, write_text

@@ -7,14 +7,16 @@ import re
 import string
 from collections import Counter
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from quaestor.catalog.texts import clean_sql
 from quaestor.functions import edgar
 from quaestor.functions import scores as sc
 from quaestor.functions import text as tx
 from quaestor.operators import chunks as ch
-from quaestor.operators import evaluate as ev
+from quaestor.operators import scoring as ev
 
 
 def run(spark, values, fn, kind="string"):
@@ -88,20 +90,17 @@ def test_fake_flags(spark):
                tx.is_fake_multi_step) == [True, True, False, False]
 
 
-def plain_clean(text):
-    text = re.sub(r"\n\s*\n", "\n\n", text)
-    text = re.sub(r"[^\S\n]+", " ", text)
-    text = re.sub(r"\n\s*\d+\s*\n", "\n", text)
-    text = re.sub(r"Table of Contents\s*", "", text, flags=re.I)
-    text = "\n".join(line.strip() for line in text.split("\n"))
-    return re.sub(r"\n{3,}", "\n\n", text).strip()
-
-
 def test_clean_text(spark):
+    """Random mixtures of whitespace, numbers and labels, compared with the same steps in DuckDB."""
     rnd = random.Random(5)
-    bits = ["\n", "\n", " ", "\t", "\r", " ", " ", "\x0b", "\x1c", "7", "12", "x", "Table of Contents", "TABLE OF CONTENTS", "word."]
-    texts = ["A\n \n\n\nB", "x\n 12 \ny", "p\n1\n2\nq", ""] + ["".join(rnd.choice(bits) for _ in range(rnd.randrange(25))) for _ in range(800)]
-    assert run(spark, texts, tx.clean_text) == [plain_clean(t) for t in texts]
+    bits = ["\n", "\n", " ", "\t", "\r", "\xa0", "\u2003", "\x0b", "\x1c", "7", "12", "x", "Table of Contents", "TABLE OF CONTENTS", "word."]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randrange(25))) for _ in range(800)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (i INTEGER, v VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(texts)))
+    want = [r[0] for r in con.execute(f"SELECT {clean_sql('v')} FROM t ORDER BY i").fetchall()]
+    assert run(spark, texts, tx.clean_text) == want
+    assert run(spark, ["A\n \n\n\nB", "x\n 12 \ny", "p\n1\n2\nq", ""], tx.clean_text) == ["A\n\nB", "x\ny", "p\n2\nq", ""]
 
 
 def test_small_functions(spark):
