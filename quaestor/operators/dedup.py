@@ -74,7 +74,7 @@ def distinct_texts(rows: DataFrame) -> DataFrame:
                  F.collect_list(F.struct("node", "rank", "copies")).alias("nodes")))
 
 
-def _candidates(left: DataFrame, right: DataFrame, ranks: Column, threshold: float, hot_rows: int) -> DataFrame:
+def _candidates(left: DataFrame, right: DataFrame, ranks: Column, threshold: float, hot_rows: int | None) -> DataFrame:
     """Pairs of entries in the same bucket that can still reach the threshold.
 
     Shared prefix terms give a part of the inner product; the rest is bounded
@@ -134,7 +134,7 @@ def _settle(edges: DataFrame, informed: DataFrame) -> tuple[DataFrame, DataFrame
             return roots.unionByName(informed), dead
 
 
-def _heads(entries: DataFrame, wanted: int, hot_rows: int) -> DataFrame:
+def _heads(entries: DataFrame, wanted: int, hot_rows: int | None) -> DataFrame:
     """The first entries of every bucket: about ``wanted`` of a large one, all of a small one.
 
     Only a prefix of the bucket's order is needed, not an exact number, so a

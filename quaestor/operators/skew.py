@@ -10,12 +10,15 @@ MIN_HOT_ROWS = 100_000
 MAX_HOT_KEYS = 10_000
 
 
-def hot_limit(total_rows: int) -> int:
-    """Rows from which on a key counts as hot; at most ``MAX_HOT_KEYS`` keys can reach it."""
-    return max(MIN_HOT_ROWS, -(-total_rows // MAX_HOT_KEYS))
+def hot_limit(total_rows: int) -> int | None:
+    """Rows from which on a key counts as hot; at most ``MAX_HOT_KEYS`` keys can reach it.
+
+    None for a table so small that no key can be hot.
+    """
+    return max(MIN_HOT_ROWS, -(-total_rows // MAX_HOT_KEYS)) if total_rows > MIN_HOT_ROWS else None
 
 
-def skew_join(big: DataFrame, small: DataFrame, keys: Sequence[str], spread_by: str, hot_rows: int,
+def skew_join(big: DataFrame, small: DataFrame, keys: Sequence[str], spread_by: str, hot_rows: int | None,
               counted: DataFrame | None = None) -> DataFrame:
     """Inner join in which hot keys of ``big`` are cut into parts of about ``hot_rows`` rows.
 
@@ -23,8 +26,10 @@ def skew_join(big: DataFrame, small: DataFrame, keys: Sequence[str], spread_by:
     ``small`` with that key are repeated once per part. ``counted`` is a stored
     table with the same key counts as ``big``, by default ``big`` itself. With
     :func:`hot_limit` the table of hot keys has at most ``MAX_HOT_KEYS`` rows,
-    which is why it can be broadcast.
+    which is why it can be broadcast. Without a limit it is a plain join.
     """
+    if hot_rows is None:
+        return big.join(small, list(keys))
     counts = (big if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     hot = F.broadcast(counts.where(F.col("_rows") > hot_rows)
                       .select(*keys, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_parts")))

@@ -53,9 +53,12 @@ def term_counts(texts: DataFrame) -> DataFrame:
     """``(scope, text_id, copies, term, tf)`` from ``(scope, text_id, copies, text)``.
 
     The texts are hashed by their id before they are taken apart, so the
-    counting per text needs no shuffle of the many terms.
+    counting per text needs no shuffle of the many terms. Taking apart is
+    costly, so the number of partitions is not left to their small size.
     """
-    placed = texts.repartition("scope", "text_id")
+    spark = texts.sparkSession
+    partitions = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    placed = texts.repartition(partitions, "scope", "text_id")
     words = placed.select("scope", "text_id", "copies", terms(F.col("text")).alias("_words"))
     spread = words.select("scope", "text_id", "copies", F.explode(bind(F.col("_words"), _with_pairs)).alias("term"))
     return spread.groupBy("scope", "text_id", "copies", "term").agg(F.count(F.lit(1)).alias("tf"))
