@@ -86,8 +86,9 @@ def _candidates(left: DataFrame, right: DataFrame, ranks: Column, threshold: flo
 
     met = (skew_join(side(right, "j"), side(left, "i"), ["scope", "term_id"], "node_j", hot_rows)
            .where((F.col("node_i") < F.col("node_j")) & ranks))
-    summed = (met.groupBy("scope", "node_i", "node_j", "text_id_i", "text_id_j")
-              .agg(F.sum(F.col("w_i") * F.col("w_j")).alias("_part_sum"),
+    summed = (met.groupBy("scope", "node_i", "node_j")
+              .agg(F.max("text_id_i").alias("text_id_i"), F.max("text_id_j").alias("text_id_j"),
+                   F.sum(F.col("w_i") * F.col("w_j")).alias("_part_sum"),
                    F.greatest(F.min("tail_i"), F.min("tail_j")).alias("_tail"),
                    F.greatest(F.max("end_tail_i"), F.max("end_tail_j")).alias("_end")))
     return (summed.where(F.col("_part_sum") + F.col("_tail") * F.col("_end") > threshold - 1e-9)
@@ -135,7 +136,7 @@ def _settle(edges: DataFrame, informed: DataFrame) -> tuple[DataFrame, DataFrame
 
 
 def _heads(entries: DataFrame, wanted: int, hot_rows: int | None) -> DataFrame:
-    """The first entries of every bucket: about ``wanted`` of a large one, all of a small one.
+    """The first entries of every bucket: up to ``wanted`` of a large one, all of a small one.
 
     Only a prefix of the bucket's order is needed, not an exact number, so a
     quantile sketch finds the cut and no task sorts a bucket.
@@ -144,7 +145,7 @@ def _heads(entries: DataFrame, wanted: int, hot_rows: int | None) -> DataFrame:
     shares = [2.0 ** -k for k in range(31)]
     sketch = entries.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
                                         F.percentile_approx("node", shares).alias("_cuts"))
-    step = F.greatest(F.lit(0), F.least(F.lit(len(shares) - 1), F.floor(F.log2(F.col("_n") / wanted)))).cast("int")
+    step = F.greatest(F.lit(0), F.least(F.lit(len(shares) - 1), F.ceil(F.log2(F.col("_n") / wanted)))).cast("int")
     cut = sketch.select(*keys, F.get("_cuts", step).alias("_cut"))
     return skew_join(entries, cut, keys, "node", hot_rows).where(F.col("node") <= F.col("_cut")).drop("_cut")
 
