@@ -173,8 +173,9 @@ def without_repeated_lines(rows: DataFrame, row_id: str) -> DataFrame:
     rows without id come last.
     """
     found = repeated_lines(rows.select(F.col(row_id).alias("row_id"), "doc_id", "text"))
+    # The same join at every size: broadcasting a small table of findings would only hide that the texts move once.
     info = free_name(rows, "line_dedup")
-    joined = rows.alias("r").join(found.alias("f"), F.col(f"r.{row_id}") == F.col("f.row_id"), "left")
+    joined = rows.alias("r").join(found.hint("merge").alias("f"), F.col(f"r.{row_id}") == F.col("f.row_id"), "left")
     lines = _lines(F.col("r.text"))
     left = F.array_join(F.filter(lines, lambda _, i: F.get(F.col("f.keep"), i)), "\n")
     text = F.when(F.col("f.keep").isNull(), F.col("r.text")).otherwise(left)
