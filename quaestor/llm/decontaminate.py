@@ -185,7 +185,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows, row_id = with_row_id(docs, "decontaminate-rows")
     found = contamination(rows.select(F.col(row_id).alias("row_id"), "doc_id", "text"), benchmark)
     bad = found.where("contaminated").select(F.col("row_id").alias(row_id))
-    return rows.join(pin(bad, "decontaminate-bad"), row_id, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.join(pin(bad, "decontaminate-bad").hint("merge"), row_id, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -116,7 +116,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     found = mix(rows.select(F.col(row_id).alias("row_id"), "doc_id", "source", "text"))
     kept = found.where("taken > 0").select(F.col("row_id").alias(row_id), F.expr("taken div size").alias("copies"))
     columns = [c for c in docs.columns if c.lower() != "copies"]
-    return (rows.alias("r").join(pin(kept, "mixing-kept").alias("k"), row_id)
+    return (rows.alias("r").join(pin(kept, "mixing-kept").hint("merge").alias("k"), row_id)
             .select(*[F.col(f"r.`{c}`") for c in columns], F.col("k.copies")))
 
 

@@ -158,7 +158,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     rows, row_id = with_row_id(docs, "simhash-rows")
     found = near_duplicates(rows.select(F.col(row_id).alias("row_id"), "doc_id", "text"))
     kept = found.where("keeper").select(F.col("row_id").alias(row_id))
-    return rows.join(kept, row_id, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.join(kept.hint("merge"), row_id, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
