@@ -7,6 +7,7 @@ expressions gave the same text, but took twice as long as the parser.)
 
 from __future__ import annotations
 
+from collections import defaultdict
 from html.entities import html5
 from html.parser import HTMLParser
 
@@ -45,6 +46,7 @@ class FlatText(HTMLParser):
         self.parts: list[str] = []
         self.run: list[str] = []
         self.open_tags: list[str] = []
+        self.places: dict[str, list[int]] = defaultdict(list)  # depths of the open tags of each name
         self.rows: list[tuple[int, list[_Cell]]] = []
         self.open_rows: list[tuple[int, list[_Cell]]] = []
         self.open_cells: list[tuple[int, _Cell]] = []
@@ -54,7 +56,7 @@ class FlatText(HTMLParser):
     def _flush(self) -> None:
         text = "".join(self.run).strip()
         self.run = []
-        if not text or any(t in ("script", "style") for t in self.open_tags):
+        if not text or self.places["script"] or self.places["style"]:
             return
         if self.table_depth is None:
             self.parts.append(text + " ")
@@ -70,9 +72,11 @@ class FlatText(HTMLParser):
             self._flush()
 
     def _close_to(self, depth: int) -> None:
-        del self.open_tags[depth:]
-        self.open_rows = [r for r in self.open_rows if r[0] < depth]
-        self.open_cells = [c for c in self.open_cells if c[0] < depth]
+        while len(self.open_tags) > depth:
+            self.places[self.open_tags.pop()].pop()
+        for opened in (self.open_rows, self.open_cells):
+            while opened and opened[-1][0] >= depth:
+                opened.pop()
         if self.table_depth is not None and depth <= self.table_depth:
             table = markdown_table([[w for c in cells for w in
                                      [" ".join(" ".join(c.words).split()), *[""] * (c.span - 1)]]
@@ -102,6 +106,7 @@ class FlatText(HTMLParser):
                 cells.append(cell)
             self.open_cells.append((depth, cell))
         self.open_tags.append(tag)
+        self.places[tag].append(depth)
         if tag in VOID:
             self._close_to(depth)
 
@@ -111,10 +116,8 @@ class FlatText(HTMLParser):
 
     def handle_endtag(self, tag):
         self._flush()
-        for depth in range(len(self.open_tags) - 1, -1, -1):
-            if self.open_tags[depth] == tag:
-                self._close_to(depth)
-                return
+        if self.places[tag]:
+            self._close_to(self.places[tag][-1])
 
     def handle_data(self, data):
         self.run.append(data)
@@ -123,12 +126,16 @@ class FlatText(HTMLParser):
         self.run.append(html5.get(name + ";", "&" + name))
 
     def handle_charref(self, name):
-        """Numbers below 256 mean Windows-1252 where that has a character."""
-        code = int(name[1:], 16) if name[:1] in "xX" else int(name)
-        if code < 256:
+        """Numbers below 256 mean Windows-1252 where that has a character; numbers of no character are replaced."""
+        digits, base = (name[1:], 16) if name[:1] in "xX" else (name, 10)
+        digits = digits.lstrip("0")
+        code = int(digits, base) if 0 < len(digits) <= 7 else 0
+        if code == 0 or code > 0x10FFFF or 0xD800 <= code < 0xE000:
+            self.run.append("\N{REPLACEMENT CHARACTER}")
+        elif code < 256:
             self.run.append(bytes([code]).decode("cp1252", errors="ignore") or chr(code))
         else:
-            self.run.append(chr(code) if code <= 0x10FFFF else "\N{REPLACEMENT CHARACTER}")
+            self.run.append(chr(code))
 
     def handle_comment(self, data):
         self._aside(data)
@@ -150,21 +157,27 @@ class FlatText(HTMLParser):
         return "".join(self.parts[self.body[0]:self.body[2]])
 
 
-def page_text(html: str) -> str | None:
-    """None for markup that the parser rejects, so one bad page does not end a run."""
+def page_text(html: str | bytes) -> tuple[str | None, str | None]:
+    """Text and error; one of them is None, so one bad page does not end a run. Bad bytes are replaced."""
     parser = FlatText()
     try:
-        parser.feed(html)
+        parser.feed(bytes(html).decode("utf-8", errors="replace") if not isinstance(html, str) else html)
         parser.close()
-    except AssertionError:
-        return None
-    return parser.text()
+        return parser.text(), None
+    except Exception as failure:  # whatever the parser rejects stays with its row
+        return None, f"{type(failure).__name__}: {failure}"
 
 
-@F.pandas_udf(T.StringType())
-def _parsed_text(pages: pd.Series) -> pd.Series:
-    return pages.map(page_text, na_action="ignore")
+PARSED = T.StructType([T.StructField("text", T.StringType()), T.StructField("error", T.StringType())])
 
 
-def html_to_text(pages: DataFrame, html: str = "html", name: str = "text") -> DataFrame:
-    return pages.withColumn(name, _parsed_text(F.col(html)))
+@F.pandas_udf(PARSED)
+def _parsed_text(pages: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([(None, None) if page is None else page_text(page) for page in pages], columns=["text", "error"])
+
+
+def html_to_text(pages: DataFrame, html: str = "html", name: str = "text", error: str | None = None) -> DataFrame:
+    """``html`` holds text or bytes. With ``error`` a column of that name says why a page has no text."""
+    parsed = pages.withColumn("_parsed_page", _parsed_text(F.col(html)))
+    out = parsed.withColumn(name, F.col("_parsed_page.text"))
+    return (out.withColumn(error, F.col("_parsed_page.error")) if error else out).drop("_parsed_page")

@@ -7,7 +7,7 @@ import urllib.request
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from quaestor.functions import edgar
 from quaestor.operators.html import html_to_text
@@ -43,18 +43,23 @@ def latest_filing(indexes: DataFrame) -> DataFrame:
 
 
 def read_filings(spark: SparkSession, path: str) -> DataFrame:
-    """Whole HTML files as flat text, one row per file, bad bytes replaced.
+    """Whole HTML files as they are, one row per file; the parser decodes them and replaces bad bytes.
 
-    ``doc_id`` is a hash of the path, so it does not depend on the listing.
+    ``doc_id`` is a hash of the file's name (company and accession number), so
+    it stays the same when a folder moves or is read under another scheme.
     """
     raw = spark.read.format("binaryFile").load(path)
-    html = F.decode(F.col("content"), "UTF-8")
-    return raw.select(F.xxhash64("path").alias("doc_id"), F.col("path").alias("file"),
-                      F.regexp_extract("path", r"10k_([^_/]*)_", 1).alias("cik"), html.alias("html"))
+    return raw.select(file_id(F.col("path")).alias("doc_id"), F.col("path").alias("file"),
+                      F.regexp_extract("path", r"10k_([^_/]*)_", 1).alias("cik"), F.col("content").alias("html"))
+
+
+def file_id(path: Column) -> Column:
+    return F.xxhash64(F.element_at(F.split(path, "/"), -1))
 
 
 def filing_texts(filings: DataFrame) -> DataFrame:
-    return html_to_text(filings, "html", "full_text").drop("html")
+    """Flat text of every filing; ``text_error`` tells why one has none."""
+    return html_to_text(filings, "html", "full_text", "text_error").drop("html")
 
 
 def _hadoop_path(spark: SparkSession, path: str):

@@ -7,11 +7,11 @@ import os
 import re
 import time
 import urllib.request
-from collections import deque
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, types as T
 
 from quaestor.functions.text import RETRYABLE
@@ -113,19 +113,26 @@ def provider_from_env(options: Options = Options()) -> Provider:
     raise ValueError("set OPENROUTER_API_KEY or GOOGLE_API_KEY, or use the offline provider")
 
 
+SPAN = 61.0  # seconds that hold at most a minute's requests, with one to spare
+
+
 class Throttle:
-    """At most ``rpm`` requests in any sixty seconds."""
+    """At most ``rpm`` requests in any sixty seconds by all ``tasks`` together.
+
+    Each task spaces its requests by 61 / rpm * tasks seconds and waits for
+    its own place in the first of these spans, so neither the start of a stage
+    nor that of a later wave of tasks sends more than the limit.
+    """
 
-    def __init__(self, rpm: float, clock=time.monotonic, sleep=time.sleep):
-        self.rpm, self.clock, self.sleep = rpm, clock, sleep
-        self.sent: deque[float] = deque()
+    def __init__(self, rpm: float, tasks: int = 1, task: int = 0, clock=time.monotonic, sleep=time.sleep):
+        if tasks > max(1, int(rpm)):
+            raise ValueError(f"{tasks} tasks can't share {rpm} requests per minute")
+        self.gap, self.clock, self.sleep = SPAN / rpm * tasks, clock, sleep
+        self.next = clock() + SPAN / rpm * (task % tasks + 1)
 
     def wait(self) -> None:
-        while self.sent and self.clock() - self.sent[0] >= 60:
-            self.sent.popleft()
-        if len(self.sent) >= max(1, int(self.rpm)):
-            self.sleep(max(0.0, 61 - (self.clock() - self.sent[0])))
-        self.sent.append(self.clock())
+        self.sleep(max(0.0, self.next - self.clock()))
+        self.next = max(self.next, self.clock()) + self.gap
 
 
 def ask(provider: Provider, throttle: Throttle | None, prompt: str, kind: str, temperature: float,
@@ -152,14 +159,17 @@ def complete(prompts: DataFrame, factory: Callable[[], Provider], kind: str, tem
 
     One provider per task. With ``tasks`` the rows go to that many tasks and
     each gets its share of the requests per minute; a service with a limit
-    needs it.
+    needs it, and no more tasks than requests per minute are started.
     """
+    limit = factory().rpm if tasks else None
+    tasks = min(tasks, max(1, int(limit))) if tasks and limit else tasks
     schema = T.StructType([*prompts.schema.fields, T.StructField("response", T.StringType()),
                            T.StructField("error", T.StringType()), T.StructField("requests", T.IntegerType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         provider = factory()
-        throttle = Throttle(provider.rpm / (tasks or 1)) if provider.rpm else None
+        place = TaskContext.get().partitionId() if TaskContext.get() else 0
+        throttle = Throttle(provider.rpm, tasks or 1, place) if provider.rpm else None
         for batch in batches:
             answers = [ask(provider, throttle, p, kind, temperature, options) for p in batch["prompt"]]
             yield batch.assign(response=[a[0] for a in answers], error=[a[1] for a in answers],

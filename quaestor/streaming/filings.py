@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from quaestor.options import Options
 from quaestor.plans.build import filing_chunks
+from quaestor.sources.filings import file_id
 
 _FILES = T.StructType([T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
                        T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
@@ -14,8 +15,7 @@ _FILES = T.StructType([T.StructField("path", T.StringType()), T.StructField("mod
 def filing_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
     files = (spark.readStream.format("binaryFile").schema(_FILES)
              .option("maxFilesPerTrigger", files_per_batch).load(folder))
-    return files.select(F.xxhash64("path").alias("doc_id"), F.col("path").alias("file"),
-                        F.decode("content", "UTF-8").alias("html"))
+    return files.select(file_id(F.col("path")).alias("doc_id"), F.col("path").alias("file"), F.col("content").alias("html"))
 
 
 def ingest(spark: SparkSession, folder: str, target: str, progress: str, options: Options = Options()) -> None:

@@ -5,8 +5,11 @@ from __future__ import annotations
 import json
 import random
 import re
+import shutil
+import time
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from quaestor.operators import chunks as ch
@@ -30,12 +33,12 @@ TABLE = ('<table><tr><th>Year</th><th colspan="2">Revenue</th></tr><tr><td>2025<
 
 
 def test_table_and_text():
-    assert hm.page_text(f"<body>{TABLE}</body>") == "\n\n| Year | Revenue |  |\n|---|---|---|\n| 2025 | $ | 130,497 |\n\n"
-    assert hm.page_text("<table><tr><td>one</td></tr></table>") == "\n\n| one |\n\n"
-    assert hm.page_text("<body><p>a<b> b </b><script>x()</script><!-- note -->&amp;c&#150;d</p></body>tail") == "a b note &c–d "
-    nested = hm.page_text("<table><tr><td>out<table><tr><td>in</td></tr></table></td></tr></table>")
+    assert hm.page_text(f"<body>{TABLE}</body>")[0] == "\n\n| Year | Revenue |  |\n|---|---|---|\n| 2025 | $ | 130,497 |\n\n"
+    assert hm.page_text("<table><tr><td>one</td></tr></table>")[0] == "\n\n| one |\n\n"
+    assert hm.page_text("<body><p>a<b> b </b><script>x()</script><!-- note -->&amp;c&#150;d</p></body>tail")[0] == "a b note &c–d "
+    nested = hm.page_text("<table><tr><td>out<table><tr><td>in</td></tr></table></td></tr></table>")[0]
     assert nested == "\n\n| out in | in |\n|---|---|\n| in |\n\n"
-    assert hm.page_text("<table><tr><td>a<!-- no --><script>s</script></td></tr>") == "\n\n| a |\n\n"
+    assert hm.page_text("<table><tr><td>a<!-- no --><script>s</script></td></tr>")[0] == "\n\n| a |\n\n"
 
 
 def test_pages_with_odd_markup(spark):
@@ -155,10 +158,65 @@ def test_retries_and_throttle():
         slept.append(s)
         now[0] += s
 
-    throttle = Throttle(2, lambda: now[0], sleep)
+    throttle = Throttle(2, clock=lambda: now[0], sleep=sleep)
     for _ in range(3):
         throttle.wait()
-    assert slept == [61.0]
+    assert slept == [30.5, 30.5, 30.5]
+
+
+def test_tasks_share_the_limit():
+    sent = []
+    for task in range(6):
+        now = [0.0]
+
+        def sleep(s, now=now):
+            now[0] += s
+        throttle = Throttle(18, 6, task, lambda now=now: now[0], sleep)
+        for _ in range(30):
+            throttle.wait()
+            sent.append(now[0])
+    sent.sort()
+    assert all(sum(t <= u < t + 60 for u in sent) <= 18 for t in sent)
+    with pytest.raises(ValueError):
+        Throttle(18, 30)
+
+
+def test_odd_pages_through_files_and_stream(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    pages = {"10k_1_a.htm": b"<p>caf\xe9 \xff ok</p>", "10k_2_b.htm": b"<p>&#55296;&#0;&#x110000;&#" + b"9" * 5000 + b";x</p>",
+             "10k_3_c.htm": b"<p></p>", "10k_4_d.htm": "<p>é</p>".encode()}
+    for name, body in pages.items():
+        (folder / name).write_bytes(body)
+    filings = fl.read_filings(spark, str(folder))
+    rows = {r["cik"]: r for r in fl.filing_texts(filings).collect()}
+    assert rows["1"]["full_text"] == "caf\ufffd \ufffd ok " and rows["2"]["full_text"] == "\ufffd" * 4 + "x "
+    assert rows["3"]["full_text"] == "" and rows["4"]["full_text"] == "é " and all(r["text_error"] is None for r in rows.values())
+    ingest(spark, str(folder), str(tmp_path / "out"), str(tmp_path / "progress"))
+    moved = tmp_path / "moved"
+    shutil.copytree(folder, moved)
+    assert {r["doc_id"] for r in fl.read_filings(spark, str(moved)).collect()} == {r["doc_id"] for r in rows.values()}
+
+
+def test_rejected_page_keeps_its_error(spark, monkeypatch):
+    assert hm.page_text("<![if x]>a")[0] is not None
+    monkeypatch.setattr(hm.FlatText, "feed", lambda self, html: (_ for _ in ()).throw(ValueError("no")))
+    assert hm.page_text("x") == (None, "ValueError: no")
+
+
+def test_parser_is_linear():
+    began = time.time()
+    assert len(hm.page_text("<p>x" * 100_000)[0]) == 200_000
+    assert len(hm.page_text("<div><b>x" * 100_000 + "</i>" * 100_000)[0]) == 200_000
+    assert time.time() - began < 15
+
+
+def test_rate_window_keeps_rows_without_keys(spark):
+    from quaestor.operators.rates import trailing_window
+    df = spark.sql("SELECT * FROM VALUES (1, timestamp'2024-01-01 00:00:00', 'a'), (2, timestamp'2024-01-01 00:00:01', NULL), "
+                   "(3, NULL, 'a'), (4, timestamp'2024-01-01 00:00:02', NULL) AS t(id, ts, who)")
+    got = {r["id"]: (r["in_window"], r["wait_seconds"]) for r in trailing_window(df, "ts", ("who",), rpm=1).collect()}
+    assert got == {1: (1, 0.0), 2: (1, 0.0), 3: (None, None), 4: (2, 60.0)}
 
 
 def test_latest_filing(spark):
