@@ -15,7 +15,6 @@ from quaestor.operators import report as rp
 from quaestor.operators import sections as se
 from quaestor.operators import supplement as su
 from quaestor.operators import verify as vf
-from quaestor.sources.providers import OfflineProvider
 
 QA_COLS = ["ord", "question", "ground_truth_answer", "source_passage", "question_type", "difficulty_estimate",
            "section", "confidence_score", "reasoning_steps"]
@@ -24,18 +23,19 @@ QA_COLS = ["ord", "question", "ground_truth_answer", "source_passage", "question
 def _dist(column):
     def query(spark, sf_dir):
         return rp.distribution(src.qa_pairs(spark, sf_dir), column).select(
-            column, "count", F.round("pct", 6).alias("pct"), "bar")
+            column, "count", F.round("pct", 6).alias("pct"), "label", "bar")
     return query
 
 
 def _dist_sql(column):
     return src.with_ctes(src.QA_SQL, body=f"""SELECT {column}, count(*) AS count, round(count(*) * 100.0 / (SELECT count(*) FROM v_qa), 6) AS pct,
+  format('{{:.1f}}%', count(*)::DOUBLE * 100.0 / (SELECT count(*) FROM v_qa)::DOUBLE) AS label,
   repeat('█', CAST(floor(count(*) * 100.0 / (SELECT count(*) FROM v_qa) / 5) AS INTEGER)) AS bar FROM v_qa WHERE {column} IS NOT NULL GROUP BY 1""")
 
 
 def dist_difficulty(spark, sf_dir):
     return rp.fixed_distribution(src.qa_pairs(spark, sf_dir), "difficulty_estimate").select(
-        "pos", "difficulty_estimate", "count", F.round("pct", 6).alias("pct"), "bar")
+        "pos", "difficulty_estimate", "count", F.round("pct", 6).alias("pct"), "label", "bar")
 
 
 def length_stats(spark, sf_dir):
@@ -171,29 +171,18 @@ def gen_prompt(spark, sf_dir):
     return ge.generation_prompts(_chunks(spark, sf_dir)).select("doc_id", "section", "chunk_index", "prompt")
 
 
-def generate_offline(spark, sf_dir):
-    """Pairs of the offline provider for every chunk of every document."""
-    parsed = ge.generate_pairs(_chunks(spark, sf_dir), OfflineProvider)
-    return ge.explode_generation(parsed, "doc_id", "section", "chunk_index").select(
-        "doc_id", "section", "chunk_index", "qa_pos", "answer", "source_passage", "question_type", "difficulty")
-
-
-def verify_offline(spark, sf_dir):
-    """Verdicts of the offline provider on every pair: the answer has to stand in the passage."""
-    batched = _batched(spark, sf_dir)
-    parsed = ge.verify_pairs(batched, OfflineProvider)
-    return vf.join_verdicts(batched, ge.explode_verification(parsed)).select("ord", "is_faithful", "is_answerable", "confidence")
-
-
 def _responses(spark, sf_dir):
-    """Responses as JSON text: a tenth has an unknown type, a tenth no answer, a tenth is cut off."""
+    """Responses as JSON text; of ten one each has an unknown type, no answer, a bracket ahead, its end cut off, text behind and a number as question."""
     case = F.col("ord") % 10
     kind = F.when(case == 1, "opinion").otherwise(F.col("question_type"))
     answer = F.when(case == 2, F.lit(None).cast("string")).otherwise(F.col("ground_truth_answer"))
     pair = F.struct("question", answer.alias("answer"), "source_passage", kind.alias("question_type"),
                     F.col("difficulty_estimate").alias("difficulty"), "reasoning_steps")
     text = F.to_json(F.struct(F.array(pair).alias("qa_pairs")))
-    return src.qa_pairs(spark, sf_dir).select("ord", F.when(case == 3, F.concat(F.lit("["), text)).otherwise(text).alias("response"))
+    numbered = F.to_json(F.struct(F.array(pair.withField("question", F.col("ord"))).alias("qa_pairs")))
+    response = (F.when(case == 3, F.concat(F.lit("["), text)).when(case == 4, F.substring(text, 1, F.length(text) - 3))
+                .when(case == 5, F.concat(text, F.lit(" done"))).when(case == 6, numbered).otherwise(F.concat(F.lit(" \n"), text)))
+    return src.qa_pairs(spark, sf_dir).select("ord", response.alias("response"))
 
 
 def parse_llm_json(spark, sf_dir):
@@ -201,6 +190,30 @@ def parse_llm_json(spark, sf_dir):
     return ge.explode_generation(parsed, "ord").select("ord", "question", "answer", "question_type", "difficulty", "reasoning_steps")
 
 
+def _verdict_responses(spark, sf_dir):
+    """Verdicts as JSON text: values in quotation marks, numbers for truth values, wrong words, cut ends, text behind."""
+    case = F.col("ord") % 7
+
+    def as_text(name):
+        plain = F.col(name).cast("string")
+        number = F.when(F.col(name), "1").otherwise("0.0")
+        word = F.when(F.col(name), '"Yes"').otherwise('"off"')
+        return F.when(case == 1, word).when(case == 2, number).otherwise(plain)
+    index = (F.col("ord") % 5).cast("string")
+    confidence = F.col("confidence").cast("string")
+    text = F.concat(F.lit('{"results":[{"qa_index":'), F.when(case == 2, F.concat(index, F.lit(".0"))).otherwise(index),
+                    F.lit(',"is_faithful":'), F.when(case == 3, '"maybe"').otherwise(as_text("is_faithful")),
+                    F.lit(',"is_answerable":'), as_text("is_answerable"), F.lit(',"confidence":'),
+                    F.when(case == 1, F.concat(F.lit('"'), confidence, F.lit('"'))).otherwise(confidence), F.lit(',"reasoning":"r"}]}'))
+    response = F.when(case == 4, F.concat(text, F.lit("]"))).when(case == 5, F.concat(text, F.lit(","), text)).otherwise(text)
+    return src.verdicts(spark, sf_dir).select("ord", F.col("ord").alias("batch_id"), response.alias("response"))
+
+
+def parse_verification(spark, sf_dir):
+    parsed = ge.parse_verification(_verdict_responses(spark, sf_dir))
+    return ge.explode_verification(parsed, "ord").select("ord", "qa_index", "is_faithful", "is_answerable", "confidence")
+
+
 QUERIES = {
     "dist_question_type": _dist("question_type"), "dist_section": _dist("section"), "dist_difficulty": dist_difficulty,
     "length_stats": length_stats, "reasoning_coverage": reasoning_coverage, "report_samples": report_samples,
@@ -210,8 +223,7 @@ QUERIES = {
     "verify_accept": verify_accept, "verified_projection": verified_projection, "acceptance_rate": acceptance_rate,
     "rejection_reasons": rejection_reasons, "reject_preview": reject_preview, "missing_sections": missing_sections,
     "priority_topn": priority_topn, "missing_chunk_counts": missing_chunk_counts, "merge_supplement": merge_supplement,
-    "gen_prompt": gen_prompt, "generate_offline": generate_offline, "verify_offline": verify_offline,
-    "parse_llm_json": parse_llm_json,
+    "gen_prompt": gen_prompt, "parse_llm_json": parse_llm_json, "parse_verification": parse_verification,
 }
 
 _TYPE_POS = """CASE question_type WHEN 'fact_extraction' THEN 1 WHEN 'numeric_calculation' THEN 2 WHEN 'comparison' THEN 3 ELSE 4 END"""
@@ -254,7 +266,8 @@ def _literal(text: str) -> str:
 ORACLE = {
     "dist_question_type": _dist_sql("question_type"), "dist_section": _dist_sql("section"),
     "dist_difficulty": src.with_ctes(src.QA_SQL, body="""SELECT d.pos, d.name AS difficulty_estimate, count(q.ord) AS count,
-  round(count(q.ord) * 100.0 / (SELECT count(*) FROM v_qa), 6) AS pct, repeat('█', CAST(floor(count(q.ord) * 100.0 / (SELECT count(*) FROM v_qa) / 5) AS INTEGER)) AS bar
+  round(count(q.ord) * 100.0 / (SELECT count(*) FROM v_qa), 6) AS pct,
+  format('{:.1f}%', count(q.ord)::DOUBLE * 100.0 / (SELECT count(*) FROM v_qa)::DOUBLE) AS label, repeat('█', CAST(floor(count(q.ord) * 100.0 / (SELECT count(*) FROM v_qa) / 5) AS INTEGER)) AS bar
 FROM (VALUES (0, 'easy'), (1, 'medium'), (2, 'hard')) d(pos, name) LEFT JOIN v_qa q ON q.difficulty_estimate = d.name GROUP BY 1, 2"""),
     "length_stats": src.with_ctes(src.QA_SQL, body="""SELECT round(avg(length(source_passage)), 6) AS passage_avg, CAST(min(length(source_passage)) AS INTEGER) AS passage_min,
   CAST(max(length(source_passage)) AS INTEGER) AS passage_max, round(avg(length(ground_truth_answer)), 6) AS answer_avg, round(avg(length(question)), 6) AS question_avg FROM v_qa"""),
@@ -295,13 +308,8 @@ SELECT doc_id, section, chunk_index, priority FROM (SELECT *, CASE section WHEN
     "gen_prompt": src.with_ctes(*DOC_CHUNKS, recursive=True, body=f"""SELECT doc_id, section, chunk_index, concat({_literal(ge.GENERATION_HEAD)},
   CASE WHEN length(text) // 4 > 1500 THEN 8 WHEN length(text) // 4 > 800 THEN 6 ELSE 5 END, {_literal(ge.GENERATION_MIDDLE)}, section,
   chr(10), chr(10), '<passage>', chr(10), text, chr(10), '</passage>') AS prompt FROM v_chunk"""),
-    "generate_offline": src.with_ctes(*DOC_CHUNKS, recursive=True, body=f"""SELECT doc_id, section, chunk_index, CAST(k AS INTEGER) AS qa_pos, ss[k + 1] AS answer, ss[k + 1] AS source_passage,
-  CASE k % 4 WHEN 0 THEN 'fact_extraction' WHEN 1 THEN 'numeric_calculation' WHEN 2 THEN 'comparison' ELSE 'multi_step_reasoning' END AS question_type,
-  CASE k % 3 WHEN 0 THEN 'easy' WHEN 1 THEN 'medium' ELSE 'hard' END AS difficulty
-FROM (SELECT *, unnest(range(0, least(len(ss), CASE WHEN length(text) // 4 > 1500 THEN 8 WHEN length(text) // 4 > 800 THEN 6 ELSE 5 END))) AS k
-  FROM (SELECT *, list_filter(string_split(regexp_replace(text, '([.!?]){_WS}+', '\\1' || chr(1), 'g'), chr(1)), lambda t: t <> '') AS ss FROM v_chunk))"""),
-    "verify_offline": src.with_ctes(src.QA_SQL, body="""SELECT ord, contains(source_passage, ground_truth_answer) AS is_faithful, true AS is_answerable,
-  CASE WHEN contains(source_passage, ground_truth_answer) THEN 1.0 ELSE 0.0 END::DOUBLE AS confidence FROM v_qa"""),
     "parse_llm_json": src.with_ctes(src.QA_SQL, body="""SELECT ord, question, ground_truth_answer AS answer, question_type, difficulty_estimate AS difficulty, reasoning_steps
-FROM v_qa WHERE ord % 10 NOT IN (1, 2, 3)"""),
+FROM v_qa WHERE ord % 10 NOT IN (1, 2, 3, 4, 5, 6)"""),
+    "parse_verification": src.with_ctes(src.QA_SQL, src.VERDICT_SQL, body="""SELECT ord, CAST(ord % 5 AS INTEGER) AS qa_index, is_faithful, is_answerable, confidence
+FROM v_verdict WHERE ord % 7 NOT IN (3, 4, 5)"""),
 }

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import string
+import sys
+import unicodedata
 
 from pyspark.sql import Column, functions as F
 
@@ -45,9 +47,20 @@ def normalize_text(text: Column) -> Column:
     return F.array_join(normalized_tokens(text), " ")
 
 
+# Code points of the zeros whose nine successors are the other digits of their script.
+ZEROS = tuple(c for c in range(128, sys.maxunicode) if unicodedata.decimal(chr(c), None) == 0)
+
+
+def ascii_digits(text: Column) -> Column:
+    """Decimal digits of all scripts as 0 to 9; texts without such digits are left alone."""
+    digits = "".join(chr(z + k) for z in ZEROS for k in range(10))
+    return F.when(text.rlike(r"[\p{Nd}&&[^0-9]]"), F.translate(text, digits, "0123456789" * len(ZEROS))).otherwise(text)
+
+
 def extract_numbers(text: Column) -> Column:
     """Every unsigned number in the text as an array of doubles, in order."""
-    found = F.regexp_extract_all(as_text(text), F.lit(r"[$]?\d+[,\d]*\.?\d*[%]?"), F.lit(0))
+    # Fixed value: the pattern of a number; all Unicode digits count.
+    found = F.regexp_extract_all(ascii_digits(as_text(text)), F.lit(r"[$]?\d+[,\d]*\.?\d*[%]?"), F.lit(0))
     parsed = F.transform(found, lambda m: F.translate(m, "$%,", "").try_cast("double"))
     return F.filter(parsed, lambda n: n.isNotNull())
 
@@ -108,8 +121,10 @@ def title_label(name: Column) -> Column:
 
 
 def percent_label(share: Column) -> Column:
-    """A percentage with one decimal."""
-    return F.format_string("%.1f%%", share)
+    """A percentage with one decimal; exact ties, which end in .25 or .75, go to the even digit."""
+    tie = (share * 4 == F.floor(share * 4)) & (share * 2 != F.floor(share * 2))
+    down = tie & (F.floor(share * 10) % 2 == 0)
+    return F.when(share.isNotNull(), F.format_string("%.1f%%", F.when(down, F.floor(share * 10) / 10).otherwise(share)))
 
 
 def percent_bar(share: Column) -> Column:
