@@ -44,14 +44,16 @@ def dedup_survivors(spark, sf_dir):
 
 
 def dedup_survivors_corpus(spark, sf_dir):
-    """All documents against each other, whatever their source.
-
-    The oracle would take minutes on whole tables, so the tests compare this
-    one with a plain double loop.
-    """
+    """All documents against each other, whatever their source."""
     return dedup.survivors(_questions(spark, sf_dir)).select("ord", "difficulty_estimate")
 
 
+def dedup_survivors_filings(spark, sf_dir):
+    """Fifty documents in a row as the questions of one filing: scopes grow in number, not in size."""
+    rows = _questions(spark, sf_dir).withColumn("scope", F.floor(F.col("ord") / 50))
+    return dedup.survivors(rows, scope="scope").select("scope", "ord", "difficulty_estimate")
+
+
 def dedup_summary(spark, sf_dir):
     return dedup.summary(dedup.resolve(_questions(spark, sf_dir), scope="scope"))
 
@@ -59,6 +61,7 @@ def dedup_summary(spark, sf_dir):
 QUERIES = {
     "tfidf_vocab": tfidf_vocab, "tfidf_weights": tfidf_weights, "tfidf_similar_pairs": tfidf_similar_pairs,
     "dedup_survivors": dedup_survivors, "dedup_survivors_corpus": dedup_survivors_corpus,
+    "dedup_survivors_filings": dedup_survivors_filings,
     "dedup_summary": dedup_summary,
 }
 
@@ -72,20 +75,28 @@ def weights_sql(scope: str) -> str:
 w AS (SELECT scope, ord, list_filter(regexp_extract_all(lower(question), '[\\p{{L}}\\p{{N}}_]{{2,}}'), lambda t: t NOT IN ({_STOP})) AS ws FROM q),
 t AS (SELECT scope, ord, term, count(*) AS tf FROM (
   SELECT scope, ord, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda k: ws[k] || ' ' || ws[k + 1]))) AS term FROM w) GROUP BY ALL),
-v AS (SELECT *, row_number() OVER (PARTITION BY scope ORDER BY corpus_tf DESC, term) AS term_id FROM (
+v AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY scope ORDER BY corpus_tf DESC, term) AS term_id FROM (
   SELECT scope, term, CAST(sum(tf) AS BIGINT) AS corpus_tf, count(*) AS df FROM t GROUP BY 1, 2)
   QUALIFY row_number() OVER (PARTITION BY scope ORDER BY corpus_tf DESC, term) <= 5000),
 n AS (SELECT scope, count(*) AS n FROM q GROUP BY 1),
 r AS (SELECT scope, ord, term_id, tf * (ln((1.0 + n) / (1 + df)) + 1) AS x FROM t JOIN v USING (scope, term) JOIN n USING (scope)),
-x AS (SELECT scope, ord, term_id, x / sqrt(sum(x * x) OVER (PARTITION BY scope, ord)) AS weight FROM r)"""
+x AS MATERIALIZED (SELECT scope, ord, term_id, x / sqrt(sum(x * x) OVER (PARTITION BY scope, ord)) AS weight FROM r)"""
 
 
 def greedy_sql(scope: str) -> str:
-    """The pass over similar pairs in order; ``rj`` and ``ri`` list the removed later and earlier rows."""
+    """The pass over similar pairs in order; ``rj`` and ``ri`` list the removed later and earlier rows.
+
+    Rows with an inner product above 0.85 share one of the rarest terms that
+    hold over 1 - 0.85 * 0.85 of a row's mass, so only such pairs are summed.
+    """
     return weights_sql(scope) + """,
-e AS (SELECT scope, a.ord AS i, b.ord AS j, sum(a.weight * b.weight) AS similarity FROM x a JOIN x b USING (scope, term_id)
-  WHERE a.ord < b.ord GROUP BY ALL HAVING sum(a.weight * b.weight) > 0.85),
-f AS (SELECT e.*, qi.rank >= qj.rank AS kills, row_number() OVER (ORDER BY e.scope, i, j) AS step
+p AS MATERIALIZED (SELECT scope, ord, term_id FROM (
+  SELECT scope, ord, term_id, weight, sum(weight * weight) OVER (PARTITION BY scope, ord ORDER BY df, term_id) AS mass FROM x JOIN v USING (scope, term_id))
+  WHERE mass - weight * weight < 1 - 0.85 * 0.85 + 1e-9),
+c AS MATERIALIZED (SELECT DISTINCT scope, a.ord AS i, b.ord AS j FROM p a JOIN p b USING (scope, term_id) WHERE a.ord < b.ord),
+e AS MATERIALIZED (SELECT c.scope, c.i, c.j, sum(a.weight * b.weight) AS similarity FROM c JOIN x a ON a.scope = c.scope AND a.ord = c.i
+  JOIN x b ON b.scope = c.scope AND b.ord = c.j AND b.term_id = a.term_id GROUP BY ALL HAVING sum(a.weight * b.weight) > 0.85),
+f AS MATERIALIZED (SELECT e.*, qi.rank >= qj.rank AS kills, row_number() OVER (ORDER BY e.scope, i, j) AS step
   FROM e JOIN q qi ON qi.ord = i JOIN q qj ON qj.ord = j),
 g(step, rj, ri, i, j, gone) AS (
   SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST([] AS BIGINT[]), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
@@ -105,6 +116,10 @@ SELECT scope, min(ord) AS text_id, CAST(term_id AS INTEGER) AS term_id, round(mi
 FROM x JOIN (SELECT scope, ord, question FROM q) USING (scope, ord) GROUP BY scope, question, term_id"""),
     "dedup_survivors": src.with_ctes(greedy_sql("source"), recursive=True,
                                      body="SELECT scope, ord, difficulty_estimate FROM q WHERE ord NOT IN (SELECT ord FROM gone)"),
+    "dedup_survivors_corpus": src.with_ctes(greedy_sql("''"), recursive=True,
+                                            body="SELECT ord, difficulty_estimate FROM q WHERE ord NOT IN (SELECT ord FROM gone)"),
+    "dedup_survivors_filings": src.with_ctes(greedy_sql("doc_id // 50"), recursive=True,
+                                             body="SELECT scope, ord, difficulty_estimate FROM q WHERE ord NOT IN (SELECT ord FROM gone)"),
     "tfidf_similar_pairs": src.with_ctes(
         greedy_sql("source"), "k AS (SELECT scope, ord, min(ord) OVER (PARTITION BY scope, question, rank) AS node FROM q)",
         recursive=True, body="""

@@ -17,28 +17,38 @@ No task sees all members of a group and no pair list of a group is built:
   undecided nodes (the heads) are compared with the rest. A node that is a head
   in all of its buckets knows everything ahead of it, so it can be decided.
   Groups of near copies collapse onto their roots in the first round; nodes
-  behind the heads wait for the next round.
+  behind the heads wait for the next round,
+- every entry knows its exact place in its bucket, and buckets are cut into
+  parts of ``PART`` places. Lookups go by bucket and part at every size: the
+  entries of a part are bounded, and what is compared with them is repeated
+  once per part.
+
+Order values of any size work: nodes are numbered within their scope first.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quaestor.operators import tfidf
-from quaestor.operators.skew import hot_limit, skew_join
+from quaestor.operators.ordinals import with_ordinal
 from quaestor.options import Options
 from quaestor.schemas import DIFFICULTY_RANK
-from quaestor.session import scratch_path
+from quaestor.session import pin
 
 NODE = ["scope", "node"]
+BUCKET = ["scope", "term_id"]
+PART = 4096
+FOLD = 200_000
 
 
 @dataclass
 class Resolution:
     rows: DataFrame        # scope, ord, question, rank: the input
-    nodes: DataFrame       # scope, node, text_id, rank, copies: those with a vector
+    nodes: DataFrame       # scope, node, ord, text_id, rank, copies: those with a vector; node numbers ord in its scope
     roots: DataFrame       # scope, node
     removals: DataFrame    # scope, i, j, similarity: j removed by root i (its first remover), see all_removals
     falls: DataFrame       # scope, i, j, similarity: root i falls to j
@@ -54,10 +64,7 @@ def difficulty_rank(difficulty: Column) -> Column:
 
 
 def _pin(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage and gives true sizes to the join planner."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return pin(df, label)
 
 
 def _rows(df: DataFrame, order: str, text: str, difficulty: str, scope: str | None) -> DataFrame:
@@ -74,17 +81,20 @@ def distinct_texts(rows: DataFrame) -> DataFrame:
                  F.collect_list(F.struct("node", "rank", "copies")).alias("nodes")))
 
 
-def _candidates(left: DataFrame, right: DataFrame, ranks: Column, threshold: float, hot_rows: int | None) -> DataFrame:
+def _candidates(left: DataFrame, right: DataFrame, ranks: Column, threshold: float) -> DataFrame:
     """Pairs of entries in the same bucket that can still reach the threshold.
 
-    Shared prefix terms give a part of the inner product; the rest is bounded
-    by the norms behind the last shared term and behind the shorter prefix.
+    ``left`` is repeated for each part of its buckets. Shared prefix terms
+    give a part of the inner product; the rest is bounded by the norms behind
+    the last shared term and behind the shorter prefix.
     """
     def side(entries: DataFrame, tag: str) -> DataFrame:
-        return entries.select("scope", "term_id", *[F.col(c).alias(f"{c}_{tag}") for c in
-                                                    ("node", "text_id", "rank", "w", "tail", "end_tail")])
+        return entries.select(*BUCKET, "part", *[F.col(c).alias(f"{c}_{tag}") for c in
+                                                 ("node", "text_id", "rank", "w", "tail", "end_tail")])
 
-    met = (skew_join(side(right, "j"), side(left, "i"), ["scope", "term_id"], "node_j", hot_rows)
+    lasts = right.groupBy(*BUCKET).agg(F.max("part").alias("_last"))
+    repeated = left.drop("part").join(lasts, BUCKET).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("_last"))))
+    met = (side(right, "j").join(side(repeated, "i"), [*BUCKET, "part"])
            .where((F.col("node_i") < F.col("node_j")) & ranks))
     summed = (met.groupBy("scope", "node_i", "node_j")
               .agg(F.max("text_id_i").alias("text_id_i"), F.max("text_id_j").alias("text_id_j"),
@@ -95,29 +105,68 @@ def _candidates(left: DataFrame, right: DataFrame, ranks: Column, threshold: flo
             .select("scope", F.col("node_i").alias("i"), F.col("node_j").alias("j"), "text_id_i", "text_id_j"))
 
 
-def _similar(candidates: DataFrame, vectors: DataFrame, threshold: float, hot_rows: int | None) -> DataFrame:
+def _similar(candidates: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
     """Pairs whose full inner product exceeds the threshold.
 
-    One node can be the first of very many pairs, and a text the second of as
-    many, so both lookups of vectors are skew joins.
+    A text has one vector, so a text of very many pairs leaves one side of
+    each lookup to be split by adaptive execution.
     """
     pairs = _pin(candidates, "candidates")
-    limit = hot_rows or hot_limit(pairs.count())
     left = vectors.select("scope", F.col("text_id").alias("text_id_i"), F.col("vec").alias("_vi"))
     right = vectors.select("scope", F.col("text_id").alias("text_id_j"), F.col("vec").alias("_vj"))
-    with_i = skew_join(pairs, left, ["scope", "text_id_i"], "j", limit)
-    scored = (skew_join(with_i, right, ["scope", "text_id_j"], "i", limit, counted=pairs)
+    scored = (pairs.join(left, ["scope", "text_id_i"]).join(right, ["scope", "text_id_j"])
               .withColumn("similarity", tfidf.dot(F.col("_vi"), F.col("_vj"))))
     return scored.where(F.col("similarity") > threshold).select("scope", "i", "j", "similarity")
 
 
-def _settle(edges: DataFrame, informed: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _fold(edges: pd.DataFrame) -> pd.DataFrame:
+    """One pass over the linked nodes of a scope in order: root (True) and removed (False) ones."""
+    informed = set(edges["i"][edges["i_informed"]]) | set(edges["j"][edges["j_informed"]])
+    roots, dead, blocked = [], set(), set()
+    linked = edges.sort_values("i", kind="stable")
+    targets = dict(list(linked.groupby("i")["j"]))
+    for node in sorted(set(edges["i"]) | set(edges["j"])):
+        if node in dead:
+            continue
+        if node in informed and node not in blocked:
+            roots.append(node)
+            dead.update(targets.get(node, ()))
+        else:
+            blocked.update(targets.get(node, ()))
+    gone = sorted(dead)
+    return pd.DataFrame({"scope": edges["scope"].iloc[0], "node": [*roots, *gone], "root": [True] * len(roots) + [False] * len(gone)})
+
+
+def _settle(edges: DataFrame, informed: DataFrame, fold: int = FOLD) -> tuple[DataFrame, DataFrame]:
     """Roots and removed nodes that follow from the edges of one round.
 
     An informed node without an open edge towards it is a root and removes
-    its targets; removed nodes release theirs. Steps repeat until nothing is
-    released any more.
+    its targets; removed nodes release theirs. Scopes of at most ``fold``
+    edges are decided in one pass over them, whatever the length of their
+    chains; larger ones in steps over the whole table.
     """
+    knows = informed.withColumn("_informed", F.lit(True))
+    sizes = edges.groupBy("scope").agg((F.count(F.lit(1)) <= fold).alias("_small"))
+    flagged = (edges.join(sizes, "scope")
+               .join(knows.withColumnsRenamed({"node": "i", "_informed": "i_informed"}), ["scope", "i"], "left")
+               .join(knows.withColumnsRenamed({"node": "j", "_informed": "j_informed"}), ["scope", "j"], "left")
+               .fillna(False, ["i_informed", "j_informed"]))
+    flagged = _pin(flagged, "linked")
+    ends = flagged.select("scope", F.explode(F.array("i", "j")).alias("node")).distinct()
+    alone = informed.join(ends, NODE, "left_anti")
+    kind = edges.schema["i"].dataType.simpleString()
+    decided = _pin(flagged.where("_small").groupBy("scope").applyInPandas(_fold, f"scope string, node {kind}, root boolean"), "folded")
+    roots = alone.unionByName(decided.where("root").select(*NODE))
+    dead = decided.where("NOT root").select(*NODE)
+    large = flagged.where("NOT _small").select("scope", "i", "j")
+    if large.isEmpty():
+        return roots, dead
+    more, gone = _settle_in_steps(large, informed.join(ends, NODE, "left_semi").join(large.select("scope").distinct(), "scope", "left_semi"))
+    return roots.unionByName(more), dead.unionByName(gone)
+
+
+def _settle_in_steps(edges: DataFrame, informed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The same for scopes of any size; one step for each link of the longest chain."""
     roots, dead = informed.limit(0), informed.limit(0)
     while True:
         blocked = edges.select("scope", F.col("j").alias("node"))
@@ -135,80 +184,85 @@ def _settle(edges: DataFrame, informed: DataFrame) -> tuple[DataFrame, DataFrame
             return roots.unionByName(informed), dead
 
 
-def _heads(entries: DataFrame, wanted: int, hot_rows: int | None) -> DataFrame:
+def _heads(entries: DataFrame, wanted: int) -> DataFrame:
     """The first entries of every bucket: up to ``wanted`` of a large one, all of a small one.
 
-    Only a prefix of the bucket's order is needed, not an exact number, so a
-    quantile sketch finds the cut and no task sorts a bucket.
+    Only a prefix of the bucket's order is needed, so a quantile sketch over
+    the places finds the cut and no task sorts a bucket. Places are small
+    whole numbers and the cut is one of them: at least the first open entry
+    of each bucket is a head, so each round decides something.
     """
-    keys = ["scope", "term_id"]
     shares = [2.0 ** -k for k in range(31)]
-    sketch = entries.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                        F.percentile_approx("node", shares).alias("_cuts"))
+    sketch = entries.groupBy(*BUCKET).agg(F.count(F.lit(1)).alias("_n"), F.max("part").alias("_last"),
+                                          F.percentile_approx("place", shares).alias("_cuts"))
     step = F.greatest(F.lit(0), F.least(F.lit(len(shares) - 1), F.ceil(F.log2(F.col("_n") / wanted)))).cast("int")
-    cut = sketch.select(*keys, F.get("_cuts", step).alias("_cut"))
-    return skew_join(entries, cut, keys, "node", hot_rows).where(F.col("node") <= F.col("_cut")).drop("_cut")
+    cut = sketch.select(*BUCKET, F.get("_cuts", step).alias("_cut"), F.explode(F.sequence(F.lit(0), F.col("_last"))).alias("part"))
+    return entries.join(cut, [*BUCKET, "part"]).where(F.col("place") <= F.col("_cut")).drop("_cut")
 
 
-def _find_roots(entries: DataFrame, vectors: DataFrame, threshold: float, heads: int,
-                hot_rows: int | None) -> DataFrame:
+def _find_roots(entries: DataFrame, vectors: DataFrame, threshold: float, heads: int, fold: int) -> DataFrame:
     """All roots, found in rounds over the undecided nodes.
 
     The heads double with every round, so a bucket of many dissimilar nodes
     takes few rounds.
     """
-    roots, open_entries = None, entries
-    limit = hot_rows or hot_limit(entries.count())
+    roots, open_entries, before = None, entries, None
     while True:
-        head = _pin(_heads(open_entries, heads, limit), "heads")
-        pairs = _candidates(head, open_entries, F.col("rank_i") >= F.col("rank_j"), threshold, limit)
-        edges = _pin(_similar(pairs, vectors, threshold, hot_rows), "edges")
+        head = _pin(_heads(open_entries, heads), "heads")
+        pairs = _candidates(head, open_entries, F.col("rank_i") >= F.col("rank_j"), threshold)
+        edges = _pin(_similar(pairs, vectors, threshold), "edges")
         seen = head.groupBy(*NODE).agg(F.count(F.lit(1)).alias("_seen"), F.first("buckets").alias("_all"))
         informed = _pin(seen.where(F.col("_seen") == F.col("_all")).select(*NODE), "informed")
         new_roots, dead = ((informed, informed.limit(0)) if edges.isEmpty()
-                           else _settle(edges.select("scope", "i", "j"), informed))
+                           else _settle(edges.select("scope", "i", "j"), informed, fold))
         roots = new_roots if roots is None else roots.unionByName(new_roots)
         decided = new_roots.unionByName(dead)
         open_entries = _pin(open_entries.join(decided, NODE, "left_anti"), "open")
-        if open_entries.isEmpty():
+        left = open_entries.count()
+        if not left:
             return roots
+        if left == before and heads > left:
+            raise AssertionError("no progress in a round that compared everything")
+        before = left
         heads *= 2
 
 
 def resolve(df: DataFrame, order: str = "ord", text: str = "question", difficulty: str = "difficulty_estimate",
             scope: str | None = None, options: Options = Options(), heads: int = 256,
-            hot_rows: int | None = None, all_removals: bool = False) -> Resolution:
+            fold: int = FOLD, all_removals: bool = False) -> Resolution:
     """Decide every question of every scope.
 
     ``heads`` is the number of nodes per bucket that the first round compares
-    with the rest of it. ``hot_rows`` replaces the measured limit of the skew joins.
+    with the rest of it, ``fold`` the number of similar pairs up to which a scope is
+    decided in one pass.
     ``all_removals`` lists the first remover of every removed node; otherwise
     only those that decide about a fall are looked for.
     """
     threshold = options.similarity_threshold
     rows = _rows(df, order, text, difficulty, scope)
     texts = _pin(distinct_texts(rows), "texts")
-    counts = tfidf.term_counts(texts)  # taken apart twice: cheaper than storing every term of every text
+    counts = _pin(tfidf.term_counts(texts), "terms")
     vocab = _pin(tfidf.vocabulary(counts, options.max_features), "vocabulary")
     weights = _pin(tfidf.weights(texts, counts, vocab), "weights")
     vectors = _pin(tfidf.vectors(weights), "vectors")
     index = tfidf.prefix_entries(weights, threshold)
     prefixes = index.groupBy("scope", "text_id").agg(F.count(F.lit(1)).alias("buckets"), F.min("tail").alias("end_tail"))
-    nodes = _pin(texts.join(prefixes, ["scope", "text_id"])
-                 .select("scope", "text_id", "buckets", "end_tail", F.inline("nodes")), "nodes")
-    entries = _pin(nodes.join(index, ["scope", "text_id"]), "entries")
-    roots = _pin(_find_roots(entries, vectors, threshold, heads, hot_rows), "roots")
+    nodes = (texts.join(prefixes, ["scope", "text_id"])
+             .select("scope", "text_id", "buckets", "end_tail", F.inline("nodes")).withColumnRenamed("node", "ord"))
+    nodes = _pin(with_ordinal(nodes, ["ord"], ["scope"], "node"), "nodes")
+    placed = with_ordinal(nodes.drop("ord", "copies").join(index, ["scope", "text_id"]), ["node"], BUCKET, "place")
+    entries = _pin(placed.withColumn("part", F.floor(F.col("place") / PART).cast("int")), "entries")
+    roots = _pin(_find_roots(entries, vectors, threshold, heads, fold), "roots")
 
-    limit = hot_rows or hot_limit(entries.count())
     flagged = _pin(entries.join(roots.withColumn("is_root", F.lit(True)), NODE, "left"), "flagged")
     root_entries = flagged.where("is_root")
-    falling = _candidates(root_entries, flagged, F.col("rank_i") < F.col("rank_j"), threshold, limit)
-    risen = _pin(_similar(falling, vectors, threshold, hot_rows), "risen")
+    falling = _candidates(root_entries, flagged, F.col("rank_i") < F.col("rank_j"), threshold)
+    risen = _pin(_similar(falling, vectors, threshold), "risen")
     removed = flagged.where("is_root IS NULL")
     if not all_removals:
         removed = _pin(removed.join(risen.select("scope", F.col("j").alias("node")), NODE, "left_semi"), "removed")
-    removing = _candidates(root_entries, removed, F.col("rank_i") >= F.col("rank_j"), threshold, limit)
-    removers = _similar(removing, vectors, threshold, hot_rows)
+    removing = _candidates(root_entries, removed, F.col("rank_i") >= F.col("rank_j"), threshold)
+    removers = _similar(removing, vectors, threshold)
     first = _pin(removers.groupBy("scope", "j").agg(
         F.min(F.struct("i", "similarity")).alias("_f")).select("scope", "_f.i", "j", "_f.similarity"), "removals")
     blockers = first.select("scope", "j", F.col("i").alias("_remover"))
@@ -225,26 +279,31 @@ def kept_nodes(found: Resolution) -> DataFrame:
 
 def survivors(df: DataFrame, order: str = "ord", text: str = "question", difficulty: str = "difficulty_estimate",
               scope: str | None = None, options: Options = Options(), heads: int = 256,
-              hot_rows: int | None = None) -> DataFrame:
+              fold: int = FOLD) -> DataFrame:
     """The rows that stay. Questions without any term are similar to nothing and stay as well."""
-    found = resolve(df, order, text, difficulty, scope, options, heads, hot_rows)
+    found = resolve(df, order, text, difficulty, scope, options, heads, fold)
     silent = found.texts.join(found.vectors.select("scope", "text_id"), ["scope", "text_id"], "left_anti")
     tagged = df.withColumn("_scope", F.coalesce(F.col(scope).cast("string"), F.lit("")) if scope else F.lit(""))
-    tagged = tagged.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-    kept = kept_nodes(found).select(F.col("scope").alias("_scope"), F.col("node").alias(order))
-    quiet = silent.select(F.col("scope").alias("_scope"), F.col("text").alias("_text"))
+    tagged = tagged.withColumn("_text", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    kept = (kept_nodes(found).join(found.nodes, NODE)
+            .select(F.col("scope").alias("_scope"), F.col("ord").alias(order)))
+    quiet = silent.select(F.col("scope").alias("_scope"), F.xxhash64("text").alias("_text")).distinct()
     return (tagged.join(kept, ["_scope", order], "left_semi")
             .unionByName(tagged.join(quiet, ["_scope", "_text"], "left_semi")).drop("_scope", "_text"))
 
 
 def duplicate_pairs(found: Resolution) -> DataFrame:
-    """Every pair at which the pass removes a question, between nodes: who removes whom, and how similar they are.
+    """Every pair at which the pass removes a question: the order values of both, of the removed one, and the similarity.
 
     Needs a resolution with ``all_removals``.
     """
-    removed = found.removals.withColumn("removed", F.col("j"))
-    fallen = found.falls.withColumn("removed", F.col("i"))
-    return removed.unionByName(fallen).select("scope", "i", "j", "removed", "similarity")
+    removed = found.removals.withColumn("_falls", F.lit(False))
+    pairs = removed.unionByName(found.falls.withColumn("_falls", F.lit(True)))
+    for end in ("i", "j"):
+        named = found.nodes.select("scope", F.col("node").alias(end), F.col("ord").alias(f"_{end}"))
+        pairs = pairs.join(named, ["scope", end]).drop(end)
+    return pairs.select("scope", F.col("_i").alias("i"), F.col("_j").alias("j"),
+                        F.when(F.col("_falls"), F.col("_i")).otherwise(F.col("_j")).alias("removed"), "similarity")
 
 
 def summary(found: Resolution) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quaestor.functions import text as tx
 from quaestor.functions.binding import bind
+from quaestor.session import pin
 
 # English stop words, dropped ahead of the two-word terms.
 STOP_WORDS = tuple("""
@@ -33,8 +34,6 @@ wherein whereupon wherever whether which while whither who whoever whole whom wh
 yet you your yours yourself yourselves
 """.split())
 
-TOP_SPLITS = 32
-
 
 def terms(text: Column) -> Column:
     """Words of two or more characters without stop words."""
@@ -67,17 +66,20 @@ def term_counts(texts: DataFrame) -> DataFrame:
 def vocabulary(counts: DataFrame, max_features: int = 5000) -> DataFrame:
     """The most frequent terms of every scope with their document counts; ties go by the term.
 
-    The top is found within hashed parts of a scope first, so no task sorts
-    all terms of a scope. ``term_id`` is the rank.
+    A histogram of the counts, summed ahead of its shuffle, tells from which
+    count on the terms are enough; only those are sorted. ``term_id`` is the
+    rank.
     """
     stats = counts.groupBy("scope", "term").agg(
         F.sum(F.col("tf") * F.col("copies")).alias("corpus_tf"), F.sum("copies").alias("df"))
     best = [F.desc("corpus_tf"), F.asc("term")]
-    split = F.pmod(F.xxhash64("term"), F.lit(TOP_SPLITS))
-    local = (stats.withColumn("_split", split)
-             .withColumn("_n", F.row_number().over(Window.partitionBy("scope", "_split").orderBy(*best)))
-             .where(F.col("_n") <= max_features).drop("_n", "_split"))
-    return (local.withColumn("term_id", F.row_number().over(Window.partitionBy("scope").orderBy(*best)))
+    stats = pin(stats, "term-stats")
+    from_top = Window.partitionBy("scope").orderBy(F.desc("corpus_tf"))
+    histogram = stats.groupBy("scope", "corpus_tf").agg(F.count(F.lit(1)).alias("_terms"))
+    cut = (histogram.withColumn("_before", F.sum("_terms").over(from_top) - F.col("_terms"))
+           .where(F.col("_before") < max_features).groupBy("scope").agg(F.min("corpus_tf").alias("_cut")))
+    enough = stats.join(cut, "scope").where(F.col("corpus_tf") >= F.col("_cut")).drop("_cut")
+    return (enough.withColumn("term_id", F.row_number().over(Window.partitionBy("scope").orderBy(*best)))
             .where(F.col("term_id") <= max_features))
 
 

@@ -59,16 +59,16 @@ def make_questions(seed, n):
     return questions, [rnd.choice(["easy", "medium", "hard", "odd"]) for _ in questions]
 
 
-@pytest.mark.parametrize("seed,n,heads,hot", [(1, 60, 256, None), (2, 60, 3, 4)])
-def test_matches_double_loop(spark, seed, n, heads, hot):
+@pytest.mark.parametrize("seed,n,heads,fold", [(1, 60, 256, dedup.FOLD), (2, 60, 3, 0)])
+def test_matches_double_loop(spark, seed, n, heads, fold):
     questions, levels = make_questions(seed, n)
     want, flagged = naive(questions, levels)
     assert len(want) < len(questions)
     df = spark.createDataFrame([(i, q, d) for i, (q, d) in enumerate(zip(questions, levels))],
                                "ord long, question string, difficulty_estimate string")
-    got = dedup.survivors(df, heads=heads, hot_rows=hot)
+    got = dedup.survivors(df, heads=heads, fold=fold)
     assert sorted(r["ord"] for r in got.collect()) == want
-    found = dedup.resolve(df, heads=heads, hot_rows=hot)
+    found = dedup.resolve(df, heads=heads, fold=fold)
     row = dedup.summary(found).first()
     assert (row["total"], row["removed"], row["remaining"]) == (len(questions), len(questions) - len(want), len(want))
     assert row["duplicate_pairs"] == flagged
@@ -93,3 +93,27 @@ def test_copies_of_one_question(spark):
     want, flagged = naive(questions, levels)
     assert sorted(r["ord"] for r in dedup.survivors(df).collect()) == want
     assert dedup.summary(dedup.resolve(df)).first()["duplicate_pairs"] == flagged
+
+
+def drifting(n, order=lambda i: i):
+    """Each question is similar to its neighbours only."""
+    rows = [(order(i), " ".join(f"word{k:04d}" for k in range(i, i + 24)), "easy") for i in range(n)]
+    return rows, "ord long, question string, difficulty_estimate string"
+
+
+def test_large_order_values(spark):
+    rows, schema = drifting(6, lambda i: (1 << 60) + i)
+    want = naive([r[1] for r in rows], [r[2] for r in rows])[0]
+    got = dedup.survivors(spark.createDataFrame(rows, schema))
+    assert sorted(r["ord"] - (1 << 60) for r in got.collect()) == want
+
+
+def test_steps_do_not_follow_the_chain(spark, monkeypatch):
+    rows, schema = drifting(500)
+    written = []
+    plain = dedup._pin
+    monkeypatch.setattr(dedup, "_pin", lambda df, label: written.append(label) or plain(df, label))
+    options = Options(max_features=20000, similarity_threshold=0.7)
+    got = sorted(r["ord"] for r in dedup.survivors(spark.createDataFrame(rows, schema), options=options).collect())
+    assert got == naive([r[1] for r in rows], ["easy"] * 500, k=20000, threshold=0.7)[0] and len(got) < 400
+    assert len(written) <= 30, written

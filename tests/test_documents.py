@@ -18,7 +18,6 @@ from quaestor.operators import html as hm
 from quaestor.operators import sections as se
 from quaestor.operators import verify as vf
 from quaestor.operators.ordinals import with_ordinal
-from quaestor.operators.skew import skew_join
 from quaestor.options import Options
 from quaestor.plans import build as bd
 from quaestor.plans import maintain as mt
@@ -106,13 +105,6 @@ def test_ordinals_per_scope(spark):
         assert [r["ordinal"] for r in sorted((r for r in rows if r["s"] == scope), key=lambda r: r["ord"])] == list(range(sum(d[0] == scope for d in data)))
 
 
-def test_skew_join_is_a_join(spark):
-    big = spark.createDataFrame([(0 if i % 3 == 0 else i, i) for i in range(300)], "k long, v long")
-    small = spark.createDataFrame([(i, f"n{i}") for i in range(0, 300, 2)] + [(0, "again")], "k long, n string")
-    want = sorted(map(tuple, big.join(small, "k").collect()))
-    assert sorted(map(tuple, skew_join(big, small, ["k"], "v", 10).select("k", "v", "n").collect())) == want
-
-
 def test_batches_and_odd_verdicts(spark):
     pairs = spark.createDataFrame([(i, f"q{i}") for i in range(7)], "ord long, question string")
     batched = vf.assign_batches(pairs)
