@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Row, Window, functions as F
 
 from quaestor.functions import text as tx
+from quaestor.operators.sections import SECTION_NAMES
 from quaestor.schemas import DIFFICULTIES, QUESTION_TYPES, REASONING_TYPES
 
 
@@ -71,55 +72,69 @@ def _table(head: list[str], rows: list[list]) -> str:
     return "\n".join(lines + ["| " + " | ".join(str(c) for c in row) + " |" for row in rows])
 
 
+def totals(df: DataFrame, sections: tuple[str, ...] = SECTION_NAMES) -> DataFrame:
+    """One row with every number of the report, from one pass over the dataset.
+
+    Counts go by the closed domains of type, difficulty and section; what lies
+    outside of them is what is left of ``rows``.
+    """
+    domains = {"type": ("question_type", QUESTION_TYPES), "level": ("difficulty_estimate", DIFFICULTIES), "place": ("section", sections)}
+    counts = [F.count_if(F.col(column) == value).alias(f"{name}_{k}")
+              for name, (column, values) in domains.items() for k, value in enumerate(values)]
+    passage = F.length("source_passage")
+    return df.agg(F.count(F.lit(1)).alias("rows"), *counts, F.avg(passage).alias("passage_avg"), F.min(passage).alias("passage_min"),
+                  F.max(passage).alias("passage_max"), F.avg(F.length("ground_truth_answer")).alias("answer_avg"),
+                  F.avg(F.length("question")).alias("question_avg"), F.count("reasoning_steps").alias("has_reasoning"),
+                  F.count_if(F.col("question_type").isin(*REASONING_TYPES)).alias("needs_reasoning"))
+
+
+def shares(row: Row, name: str, values: tuple[str, ...]) -> list[tuple[str, int, str, str]]:
+    """Value, rows, percentage and bar of each value that occurs, the most frequent first, then the rest."""
+    found = [(value, row[f"{name}_{k}"]) for k, value in enumerate(values)]
+    found.append(("(other or none)", row["rows"] - sum(n for _, n in found)))
+    out = []
+    for value, n in sorted((f for f in found if f[1]), key=lambda f: -f[1]):
+        share = 100.0 * n / row["rows"]
+        out.append((value, n, f"{share:.1f}%", "█" * int(share // 5)))
+    return out
+
+
 def render_report(df: DataFrame, raw: int, verified: int, removed: int, seconds: float, calls: int,
                   cik: str, order_by: str = "ord") -> str:
-    """Markdown report. Only aggregates of closed domains and two samples per type reach the driver."""
-    kinds = distribution(df, "question_type").orderBy(F.desc("count"), "question_type").collect()
-    levels = fixed_distribution(df, "difficulty_estimate").orderBy("pos").collect()
-    places = distribution(df, "section").orderBy(F.desc("count"), "section").collect()
-    lengths, cover = length_stats(df).first(), reasoning_coverage(df).first()
+    """Markdown report. One row of numbers and two samples per type reach the driver."""
+    row = totals(df).first()
     picked = samples(df, order_by).orderBy("type_pos", "sample").collect()
-    size, counts = df.count(), run_counts(raw, verified)
+    counts = run_counts(raw, verified)
 
     parts = [
-        "# Quality Analysis Report",
-        f"*Generated: {datetime.now():%Y-%m-%d %H:%M:%S}*",
-        f"*Source: 10-K filing (CIK {cik})*",
-        "## Pipeline Statistics",
-        _table(["Metric", "Value"], [
-            ["Total raw QA pairs generated", raw], ["Passed verification", verified],
-            ["Removed as duplicates", removed], ["**Final dataset size**", f"**{size}**"],
-            ["Acceptance rate", f"{counts['acceptance_rate']:.1f}%"], ["API calls used", calls],
-            ["Total runtime", f"{seconds:.0f}s ({seconds / 60:.1f} min)"]]),
-        "## Question Type Distribution",
-        _table(["Question Type", "Count", "Percentage"],
-               [[r["question_type"], r["count"], f"{r['label']} {r['bar']}"] for r in kinds]),
-        "## Difficulty Distribution",
-        _table(["Difficulty", "Count", "Percentage"],
-               [[r["difficulty_estimate"], r["count"], f"{r['label'] or 'n/a'} {r['bar'] or ''}"] for r in levels]),
-        "## Source Section Distribution",
-        _table(["Section", "Count", "Percentage"], [[r["section"], r["count"], r["label"]] for r in places]),
-        "## Verification Analysis",
-        f"Verification rejected **{counts['rejected']} out of {raw}** generated QA pairs "
-        f"({counts['rejection_rate']:.1f}% rejection rate). A pair is kept only when its answer is backed by "
-        "the source passage and its question can be answered from that passage alone; the two are judged apart.",
-        "## Sample QA Pairs by Type",
+        f"# Dataset report, company {cik}",
+        f"Written {datetime.now():%Y-%m-%d %H:%M}.",
+        "## The run in numbers",
+        _table(["Step", "Pairs"], [
+            ["Generated", raw], ["Accepted by verification", f"{verified} ({counts['acceptance_rate']:.1f}%)"],
+            ["Turned down", f"{counts['rejected']} ({counts['rejection_rate']:.1f}%)"],
+            ["Dropped as near-duplicates", removed], ["In the dataset", row["rows"]]]),
+        f"The run took {seconds:.0f} seconds and {calls} requests. A pair is accepted if its passage backs the answer and "
+        "is enough to answer the question; the two are judged apart.",
     ]
-    for row in picked:
-        if row["sample"] == 1:
-            parts.append(f"### {row['title']}")
-        parts += [f"**Q:** {row['question']}", f"**A:** {row['ground_truth_answer']}"]
-        if row["reasoning_steps"]:
-            parts.append(f"**Reasoning:** {row['reasoning_steps']}")
-        parts += [f"*Difficulty: {row['difficulty_estimate']} | Section: {row['section']}*", "---"]
-    parts.append("## Quality Observations")
-    if lengths["passage_avg"] is not None:
-        parts.append("\n".join([
-            f"- **Source passage length**: avg {lengths['passage_avg']:.0f} chars "
-            f"(min: {lengths['passage_min']}, max: {lengths['passage_max']})",
-            f"- **Answer length**: avg {lengths['answer_avg']:.0f} chars",
-            f"- **Question length**: avg {lengths['question_avg']:.0f} chars"]))
-    if cover["needs_reasoning"]:
-        parts.append(f"- **Reasoning steps provided**: {cover['has_reasoning']}/{cover['needs_reasoning']} "
-                     f"({cover['pct']:.0f}% of calculation/reasoning questions)")
-    return "\n\n".join(parts)
+    for title, name, values in (("Kinds of question", "type", QUESTION_TYPES), ("Levels", "level", DIFFICULTIES),
+                                ("Filing sections", "place", SECTION_NAMES)):
+        parts += [f"## {title}", _table(["Value", "Pairs", "Share"], [[v, n, f"{label} {bar}".strip()] for v, n, label, bar in shares(row, name, values)])]
+    parts.append("## Examples")
+    for pair in picked:
+        if pair["sample"] == 1:
+            parts.append(f"### {pair['title']}")
+        lines = [f"- Question: {pair['question']}", f"- Answer: {pair['ground_truth_answer']}"]
+        if pair["reasoning_steps"]:
+            lines.append(f"- Steps: {pair['reasoning_steps']}")
+        parts.append("\n".join([*lines, f"- From {pair['section']}, {pair['difficulty_estimate']}"]))
+    parts.append("## Lengths and steps")
+    lines = []
+    if row["passage_avg"] is not None:
+        lines = [f"- Passages: {row['passage_avg']:.0f} characters on average, {row['passage_min']} to {row['passage_max']}",
+                 f"- Answers: {row['answer_avg']:.0f} characters on average",
+                 f"- Questions: {row['question_avg']:.0f} characters on average"]
+    if row["needs_reasoning"]:
+        lines.append(f"- {row['has_reasoning']} pairs have steps, {row['needs_reasoning']} are of a kind that needs them "
+                     f"({100.0 * row['has_reasoning'] / row['needs_reasoning']:.0f}%)")
+    return "\n\n".join([*parts, "\n".join(lines)])

@@ -23,6 +23,8 @@ SECTION_PATTERNS = (
 )
 UNRESOLVED_PATTERN = (r"item\s*1b[.\s:]*unresolved\s*staff", "Item 1B: Unresolved Staff Comments")
 
+SECTION_NAMES = tuple(name for _, name in SECTION_PATTERNS)
+
 FALLBACK_PARTS = 5
 
 

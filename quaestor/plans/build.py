@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -36,6 +37,12 @@ class Run:
     options: Options = Options()
     resume: bool = False
     provider_tasks: int | None = None
+    waves: int = 1  # parts in which requests are sent and stored
+    single_file: bool = False
+
+    @property
+    def outputs(self) -> tuple[str, str]:
+        return f"{self.output_dir}/qa_pairs.csv", f"{self.output_dir}/qa_pairs.jsonl"
 
 
 def filing_chunks(html_filings: DataFrame, options: Options = Options()) -> DataFrame:
@@ -44,10 +51,22 @@ def filing_chunks(html_filings: DataFrame, options: Options = Options()) -> Data
     return ch.chunk_sections(se.split_sections(texts, options.min_section_chars), options)
 
 
+def _in_waves(spark: SparkSession, run: Run, rows: DataFrame, keys: list[str], stage: str,
+              send: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Answers to all rows, sent in ``run.waves`` parts.
+
+    Each part is stored before the next is sent and before anything uses it,
+    so a failure costs the requests of one part at most.
+    """
+    part = F.pmod(F.xxhash64(*keys), F.lit(run.waves))
+    done = [st.run_stage(spark, run.stage_dir, f"{stage}_answers-{k}", lambda k=k: send(rows.where(part == k)), run.resume)
+            for k in range(run.waves)]
+    return reduce(DataFrame.unionByName, done)
+
+
 def _generate(spark: SparkSession, run: Run, chunks: DataFrame, stage: str) -> DataFrame:
-    """Answers are stored before they are used, so no request is sent twice."""
-    answers = st.run_stage(spark, run.stage_dir, f"{stage}_answers", lambda: ge.generate_pairs(
-        chunks, run.provider, run.options, run.provider_tasks), run.resume)
+    answers = _in_waves(spark, run, chunks, ["doc_id", "start_pos", "chunk_index"], stage, lambda rows: ge.generate_pairs(
+        rows, run.provider, run.options, run.provider_tasks))
     pairs = ge.explode_generation(answers, "doc_id", "section", "start_pos", "chunk_index")
     return st.run_stage(spark, run.stage_dir, stage, lambda: with_ordinal(pairs, ORDER, name="ord"), run.resume)
 
@@ -55,33 +74,39 @@ def _generate(spark: SparkSession, run: Run, chunks: DataFrame, stage: str) -> D
 def _verify(spark: SparkSession, run: Run, pairs: DataFrame, stage: str) -> DataFrame:
     batched = st.run_stage(spark, run.stage_dir, f"{stage}_batches", lambda: vf.assign_batches(
         pairs, ["ord"], ["doc_id"], run.options.verification_batch_size), run.resume)
-    answers = st.run_stage(spark, run.stage_dir, f"{stage}_answers", lambda: ge.verify_pairs(
-        batched, run.provider, ["doc_id"], run.options, run.provider_tasks), run.resume)
+    answers = _in_waves(spark, run, batched, ["doc_id", "batch_id"], stage, lambda rows: ge.verify_pairs(
+        rows, run.provider, ["doc_id"], run.options, run.provider_tasks))
     verdicts = ge.explode_verification(answers, "doc_id").drop("reasoning")
-    return st.run_stage(spark, run.stage_dir, stage, lambda: vf.accepted(
-        vf.join_verdicts(batched, verdicts, ["doc_id"], wrap_negative=True)), run.resume)
+    judged = vf.join_verdicts(batched, verdicts, ["doc_id"], wrap_negative=True)
+    st.run_stage(spark, run.stage_dir, "rejected", lambda: vf.rejected(judged), run.resume)
+    return st.run_stage(spark, run.stage_dir, stage, lambda: vf.accepted(judged), run.resume)
 
 
-def _requests(spark: SparkSession, run: Run, *stages: str) -> int:
-    total = 0
-    for stage in stages:
-        answers = st.load_stage(spark, run.stage_dir, f"{stage}_answers")
-        total += answers.agg(F.coalesce(F.sum("requests"), F.lit(0))).first()[0] if answers is not None else 0
-    return total
+def _requests(spark: SparkSession, run: Run, *stages: str) -> tuple[int, int]:
+    """Requests sent, and batches that failed or had an invalid answer; their reasons are stored as ``failed``."""
+    answers = [found.select("requests", "error", "is_valid") for stage in stages for k in range(run.waves)
+               if (found := st.load_stage(spark, run.stage_dir, f"{stage}_answers-{k}")) is not None]
+    if not answers:
+        return 0, 0
+    every = reduce(DataFrame.unionByName, answers)
+    failed = st.save_stage(ge.failed_batches(every), run.stage_dir, "failed")
+    return (every.agg(F.coalesce(F.sum("requests"), F.lit(0))).first()[0],
+            failed.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0])
 
 
-def _finish(spark: SparkSession, run: Run, pairs: DataFrame, verified: DataFrame, started: float, calls: int,
+def _finish(spark: SparkSession, run: Run, pairs: DataFrame, verified: DataFrame, started: float, sent: tuple[int, int],
             scope: str | None = "doc_id") -> dict:
     """Deduplicate within each filing, write the dataset and its report."""
     dataset = vf.verified_dataset(verified)
     kept = dedup.survivors(dataset, scope=scope, options=run.options)
-    final = st.save_stage(kept, run.stage_dir, "final")
-    ds.write_csv(final.select(*DATASET), f"{run.output_dir}/qa_pairs.csv")
-    ds.write_jsonl(final.select(*DATASET), f"{run.output_dir}/qa_pairs.jsonl")
+    final = st.run_stage(spark, run.stage_dir, "final", lambda: kept, run.resume)
+    calls, failed = sent
+    ds.write_csv(final.select(*DATASET), run.outputs[0], run.single_file, run.resume)
+    ds.write_jsonl(final.select(*DATASET), run.outputs[1], run.single_file, run.resume)
     raw, accepted, size = pairs.count(), verified.count(), final.count()
     text = rp.render_report(final, raw, accepted, accepted - size, time.time() - started, calls, run.options.cik)
     write_text(spark, text, f"{run.output_dir}/quality_report.md")
-    return {"raw": raw, "verified": accepted, "removed": accepted - size, "final": size, "requests": calls,
+    return {"raw": raw, "verified": accepted, "removed": accepted - size, "final": size, "requests": calls, "failed_batches": failed,
             "enough": size >= run.options.min_qa_pairs}
 
 
@@ -94,6 +119,7 @@ def write_text(spark: SparkSession, text: str, path: str) -> None:
 
 
 def build_dataset(spark: SparkSession, html_filings: DataFrame, run: Run, scope: str | None = "doc_id") -> dict:
+    ds.check_target(spark, *run.outputs, resume=run.resume)
     started = time.time()
     chunks = filing_chunks(html_filings, run.options)
     pairs = _generate(spark, run, chunks, "generation")
@@ -106,6 +132,7 @@ def supplement_dataset(spark: SparkSession, html_filings: DataFrame, run: Run, e
 
     The earlier stages are read from their own folder and stay as they are.
     """
+    ds.check_target(spark, *run.outputs, resume=run.resume)
     started = time.time()
     chunks = filing_chunks(html_filings, run.options)
     existing = st.load_stage(spark, earlier_stages, "generation")

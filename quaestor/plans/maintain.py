@@ -8,6 +8,7 @@ from quaestor.operators import cleanup as cl
 from quaestor.operators import scoring as ev
 from quaestor.operators import report as rp
 from quaestor.options import Options
+from quaestor.schemas import DIFFICULTIES, QUESTION_TYPES
 from quaestor.plans.build import DATASET, write_text
 from quaestor.sources import datasets as ds
 from quaestor.sources import stages as st
@@ -16,10 +17,12 @@ from quaestor.sources import stages as st
 def cleanup_dataset(spark: SparkSession, source: str, target: str, stage_dir: str, raw: int = 0, verified: int = 0,
                     removed: int = 0, seconds: float = 0.0, requests: int = 0, options: Options = Options()) -> dict:
     """Relabel a stored dataset into a new folder. Without counts of the original run the rows read stand in for them."""
+    outputs = f"{target}/qa_pairs.csv", f"{target}/qa_pairs.jsonl"
+    ds.check_target(spark, *outputs)
     rows = ds.read_qa_pairs(spark, source).withColumn("ord", F.monotonically_increasing_id())
     cleaned = st.save_stage(cl.clean_taxonomy(rows), stage_dir, "cleaned")
-    ds.write_csv(cleaned.select(*DATASET), f"{target}/qa_pairs.csv")
-    ds.write_jsonl(cleaned.select(*DATASET), f"{target}/qa_pairs.jsonl")
+    ds.write_csv(cleaned.select(*DATASET), outputs[0])
+    ds.write_jsonl(cleaned.select(*DATASET), outputs[1])
     size = cleaned.count()
     write_text(spark, rp.render_report(cleaned, raw or size, verified or size, removed, seconds, requests, options.cik),
                f"{target}/quality_report.md")
@@ -31,9 +34,16 @@ def score_files(spark: SparkSession, dataset: str, predictions: str) -> DataFram
     return ev.all_levels(ev.collapsed_scores(ds.read_qa_pairs(spark, dataset), ds.read_predictions(spark, predictions)))
 
 
+def match_counts(spark: SparkSession, dataset: str, predictions: str) -> tuple[int, int]:
+    """Rows of the dataset joined with predictions, and rows of the dataset."""
+    truth = ds.read_qa_pairs(spark, dataset)
+    return ev.matched_count(truth, ds.read_predictions(spark, predictions)).first()["matched"], truth.count()
+
+
 def format_scores(levels: DataFrame) -> str:
-    """At most one row per question type and difficulty reaches the driver."""
-    rows = levels.orderBy("level", "value").collect()
+    """At most one row per known question type and difficulty reaches the driver; other values are left out."""
+    known = (F.col("level") == "overall") | F.col("value").isin(*QUESTION_TYPES, *DIFFICULTIES)
+    rows = levels.where(known).orderBy("level", "value").collect()
     lines = ["EVALUATION RESULTS"]
     for row in (r for r in rows if r["level"] == "overall"):
         if not row["count"]:

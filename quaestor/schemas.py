@@ -15,12 +15,6 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields.items()])
 
 
-SECTIONS = _struct(doc_id=T.LongType(), section=T.StringType(), start_pos=T.LongType(),
-                   full_text=T.StringType())
-
-CHUNKS = _struct(doc_id=T.LongType(), section=T.StringType(), chunk_index=T.IntegerType(),
-                 text=T.StringType(), start_char=T.IntegerType(), end_char=T.IntegerType())
-
 GENERATED_QA = _struct(question=T.StringType(), answer=T.StringType(), source_passage=T.StringType(),
                        question_type=T.StringType(), difficulty=T.StringType(),
                        reasoning_steps=T.StringType())

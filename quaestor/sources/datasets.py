@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from quaestor.schemas import PREDICTIONS, QA_PAIRS
+from quaestor.sources.filings import path_exists
 
 # Texts that a CSV cell uses for a missing value.
 NA_VALUES = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -40,10 +41,26 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, PREDICTIONS)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+def check_target(spark: SparkSession, *paths: str, resume: bool = False) -> None:
+    """Refuse finished outputs before any work is done for them, unless a run is resumed."""
+    for path in () if resume else paths:
+        if path_exists(spark, f"{path}/_SUCCESS"):
+            raise FileExistsError(f"{path} is finished; choose another folder or resume")
+
+
+def _open(df: DataFrame, path: str, single_file: bool, resume: bool) -> DataFrame | None:
+    """What is still to be written: nothing for a finished output of a resumed run; unfinished ones are replaced."""
+    check_target(df.sparkSession, path, resume=resume)
+    if path_exists(df.sparkSession, f"{path}/_SUCCESS"):
+        return None
+    return df.coalesce(1) if single_file else df
+
+
+def write_csv(df: DataFrame, path: str, single_file: bool = False, resume: bool = False) -> None:
     """One file per task unless ``single_file`` asks for the layout of a small export."""
-    out = df.coalesce(1) if single_file else df
-    (out.write.mode("errorifexists").options(header=True, quote='"', escape='"', encoding="UTF-8", emptyValue="",
+    out = _open(df, path, single_file, resume)
+    if out is not None:
+        (out.write.mode("overwrite").options(header=True, quote='"', escape='"', encoding="UTF-8", emptyValue="",
                                              nullValue="", **_KEEP).csv(path))
 
 
@@ -51,7 +68,8 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = QA_PAIRS)
     return spark.read.schema(schema).json(path)
 
 
-def write_jsonl(df: DataFrame, path: str, single_file: bool = False) -> None:
+def write_jsonl(df: DataFrame, path: str, single_file: bool = False, resume: bool = False) -> None:
     """Missing values are written as null rather than left out."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("errorifexists").option("ignoreNullFields", False).json(path)
+    out = _open(df, path, single_file, resume)
+    if out is not None:
+        out.write.mode("overwrite").option("ignoreNullFields", False).json(path)

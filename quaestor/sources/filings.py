@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 import urllib.request
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -13,6 +14,7 @@ from quaestor.functions import edgar
 from quaestor.operators.html import html_to_text
 from quaestor.options import Options
 from quaestor.schemas import EDGAR_SUBMISSIONS
+from quaestor.session import pin
 
 
 def read_submissions(spark: SparkSession, path: str) -> DataFrame:
@@ -62,6 +64,59 @@ def filing_texts(filings: DataFrame) -> DataFrame:
     return html_to_text(filings, "html", "full_text", "text_error").drop("html")
 
 
+def _downloads(data_dir: str) -> str:
+    return f"{data_dir.rstrip('/')}/downloaded"
+
+
+def stored_filings(spark: SparkSession, data_dir: str, ciks: DataFrame) -> DataFrame:
+    """``doc_id, file, cik, html`` of the stored filings of the given companies: files of their own, else downloads.
+
+    A company's number is looked up as it was given; of several filings the
+    first by name counts.
+    """
+    found = []
+    if any_path(spark, f"{data_dir.rstrip('/')}/10k_*_*.htm*"):
+        found.append(read_filings(spark, f"{data_dir.rstrip('/')}/10k_*_*.htm*").withColumn("_rank", F.lit(0)))
+    if path_exists(spark, f"{_downloads(data_dir)}/_SUCCESS"):
+        loaded = spark.read.parquet(_downloads(data_dir)).where(F.col("html").isNotNull())
+        found.append(loaded.select(file_id(F.col("file")).alias("doc_id"), "file", "cik", F.col("html").cast("binary").alias("html"),
+                                   F.lit(1).alias("_rank")))
+    if not found:
+        return spark.createDataFrame([], "doc_id long, file string, cik string, html binary")
+    rows = reduce(DataFrame.unionByName, found).join(ciks.select("cik").distinct(), "cik", "left_semi")
+    first = rows.groupBy("cik").agg(F.min(F.struct("_rank", "file")).alias("_first"))
+    return (rows.join(first.select("cik", "_first.*"), ["cik", "_rank", "file"], "left_semi")
+            .select("doc_id", "file", "cik", "html"))
+
+
+def download(spark: SparkSession, data_dir: str, ciks: DataFrame, options: Options = Options(), fetch=None,
+             pause: float = 0.2) -> DataFrame:
+    """Fetch the latest annual report of each company that has none stored; ``cik, error`` of those that failed.
+
+    Index and filing are each written before they are used, so nothing is
+    fetched twice, and a later run finds the filings.
+    """
+    fetch = fetch or fetch_text
+    have = stored_filings(spark, data_dir, ciks).select("cik").distinct()
+    todo = ciks.select("cik").distinct().join(have, "cik", "left_anti")
+    urls = todo.select(F.col("cik").alias("key"), edgar.submissions_url(F.col("cik")).alias("url"))
+    answers = pin(fetch_all(urls, options, fetch, pause=pause), "indexes")
+    indexes = parse_submissions(answers.where("body IS NOT NULL").select(F.col("key").alias("cik"), F.col("body").alias("submissions")))
+    latest = pin(latest_filing(indexes.drop("submissions")).select("cik", "url", "file_name"), "latest")
+    pages = fetch_all(latest.where("url IS NOT NULL").select(F.col("cik").alias("key"), "url"), options, fetch, pause=pause)
+    pages = pin(pages.withColumnRenamed("key", "cik"), "pages")
+    filings = pages.where("body IS NOT NULL").join(latest.select("cik", "file_name"), "cik")
+    filings.select("cik", F.col("file_name").alias("file"), F.col("body").alias("html")).write.mode("append").parquet(_downloads(data_dir))
+    return (answers.where("body IS NULL").select(F.col("key").alias("cik"), "error")
+            .unionByName(latest.where("url IS NULL").select("cik", F.lit("no annual report in the index").alias("error")))
+            .unionByName(pages.where("body IS NULL").select("cik", "error")))
+
+
+def any_path(spark: SparkSession, pattern: str) -> bool:
+    target, fs = _hadoop_path(spark, pattern)
+    return bool(fs.globStatus(target))
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)

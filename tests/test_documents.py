@@ -271,7 +271,7 @@ def test_whole_run_supplement_cleanup_and_stream(spark, tmp_path):
     result = bd.build_dataset(spark, filings, run)
     assert result["raw"] > 0 and result["raw"] == result["verified"] == result["removed"] + result["final"]
     report = (tmp_path / "out" / "quality_report.md").read_text(encoding="utf-8")
-    assert f"| **Final dataset size** | **{result['final']}** |" in report
+    assert f"| In the dataset | {result['final']} |" in report
     stored = ds.read_qa_pairs(spark, str(tmp_path / "out" / "qa_pairs.csv"))
     assert stored.count() == result["final"]
 
@@ -306,3 +306,53 @@ def test_no_matching_questions(spark):
     nulls = spark.createDataFrame([(None, "a", "comparison", "easy")] * 2, truth.schema)
     assert ev.join_predictions(nulls, spark.createDataFrame([(None, "a")] * 3, pred.schema)).count() == 6
     assert ev.overall(ev.collapsed_scores(nulls, spark.createDataFrame([(None, "a")] * 3, pred.schema))).first()["total_evaluated"] == 6
+
+
+def test_broken_run_is_resumed_and_finished_outputs_are_refused(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "filings"
+    folder.mkdir()
+    (folder / "10k_7_0.htm").write_text(make_filing(7), encoding="utf-8")
+    filings, asked = fl.read_filings(spark, str(folder)), []
+    base = dict(stage_dir=str(tmp_path / "stages"), output_dir=str(tmp_path / "out"), waves=2)
+    plain = ds.write_jsonl
+    monkeypatch.setattr(ds, "write_jsonl", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        bd.build_dataset(spark, filings, bd.Run(provider=OfflineProvider, **base))
+    monkeypatch.setattr(ds, "write_jsonl", plain)
+    with pytest.raises(FileExistsError):
+        bd.build_dataset(spark, filings, bd.Run(provider=lambda: asked.append(1), **base))
+    result = bd.build_dataset(spark, filings, bd.Run(provider=OfflineProvider, resume=True, **base))
+    assert not asked and result["failed_batches"] == 0
+    assert ds.read_qa_pairs(spark, str(tmp_path / "out" / "qa_pairs.csv")).count() == result["final"] > 0
+    assert ds.read_jsonl(spark, str(tmp_path / "out" / "qa_pairs.jsonl")).count() == result["final"]
+    assert st.load_stage(spark, base["stage_dir"], "rejected").count() == 0
+
+
+def test_download_feeds_a_build_and_is_cached(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def fake(url, agent):
+        (calls / str(random.random())).write_text(url)
+        if "submissions" in url:
+            number = re.search(r"CIK0*(\d+)", url)[1]
+            form = "10-Q" if number == "9" else "10-K"
+            return json.dumps({"name": "N", "filings": {"recent": {"form": [form], "accessionNumber": [f"0-{number}"], "primaryDocument": ["a.htm"]}}})
+        if "/0000000008/" in url:
+            raise OSError("HTTP 404")
+        return make_filing(3)
+    companies = spark.createDataFrame([("3",), ("8",), ("9",), ("5",)], "cik string")
+    data = tmp_path / "data"
+    data.mkdir()
+    (data / "10k_5_x.htm").write_text(make_filing(5), encoding="utf-8")
+    failed = {r["cik"]: r["error"] for r in fl.download(spark, str(data), companies, fetch=fake, pause=0.0).collect()}
+    assert failed == {"8": "HTTP 404", "9": "no annual report in the index"}
+    first = len(list(calls.iterdir()))
+    assert first == 5 and not any("0000000005" in p.read_text() for p in calls.iterdir())
+    ours = companies.where("cik IN ('3', '5')")
+    stored = fl.stored_filings(spark, str(data), ours)
+    assert {r["file"].split("/")[-1] for r in stored.collect()} == {"10k_3_0-3.htm", "10k_5_x.htm"}
+    result = bd.build_dataset(spark, stored, bd.Run(str(tmp_path / "stages"), str(tmp_path / "out"), OfflineProvider))
+    assert result["final"] > 0
+    assert fl.download(spark, str(data), ours, fetch=fake, pause=0.0).count() == 0
+    assert len(list(calls.iterdir())) == first
