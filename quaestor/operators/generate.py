@@ -176,7 +176,7 @@ def distribution_of_raw(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.inline(kinds)).groupBy("field", "value").agg(F.count(F.lit(1)).alias("count"))
 
 
-def failed_batches(answers: DataFrame, length: int = 80) -> DataFrame:
+def failed_batches(answers: DataFrame, length: int = Options().error_preview) -> DataFrame:
     """Why batches brought nothing: the start of each error, or ``invalid response``, with the number of batches."""
     reason = F.when(F.col("error").isNotNull(), tx.preview(F.col("error"), length)).when(~F.col("is_valid"), "invalid response")
     return answers.withColumn("reason", reason).where("reason IS NOT NULL").groupBy("reason").agg(F.count(F.lit(1)).alias("count"))

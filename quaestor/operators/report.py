@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Row, Window, functions as F
 
 from quaestor.functions import text as tx
 from quaestor.operators.sections import SECTION_NAMES
+from quaestor.options import Options
 from quaestor.schemas import DIFFICULTIES, QUESTION_TYPES, REASONING_TYPES
 
 
@@ -49,7 +50,7 @@ def reasoning_coverage(df: DataFrame) -> DataFrame:
             .withColumn("pct", F.try_divide(F.col("has_reasoning") * F.lit(100.0), F.col("needs_reasoning"))))
 
 
-def samples(df: DataFrame, order_by: str = "ord", per_type: int = 2) -> DataFrame:
+def samples(df: DataFrame, order_by: str = "ord", per_type: int = Options().samples_per_type) -> DataFrame:
     """The first rows of every question type.
 
     Spark keeps only ``per_type`` rows per type and task ahead of the shuffle.

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Sections to fill, most important first, with the number of chunks to take.
-PRIORITY = (("Item 7: MD&A", None), ("Item 8: Financial Statements", 5),
-            ("Item 1A: Risk Factors", None), ("Item 7A: Market Risk Disclosures", None))
+from quaestor.options import Options
+
+# Sections to fill, most important first.
+PRIORITY = ("Item 7: MD&A", "Item 8: Financial Statements", "Item 1A: Risk Factors", "Item 7A: Market Risk Disclosures")
+STATEMENTS = PRIORITY[1]
 
 
 def missing_sections(chunks: DataFrame, existing: DataFrame) -> DataFrame:
@@ -19,17 +21,14 @@ def chunks_per_section(chunks: DataFrame) -> DataFrame:
     return chunks.groupBy("section").agg(F.count(F.lit(1)).alias("n_chunks"))
 
 
-def prioritize(chunks: DataFrame) -> DataFrame:
-    """Chunks of the listed sections with their priority; capped sections keep their first chunks.
+def prioritize(chunks: DataFrame, options: Options = Options()) -> DataFrame:
+    """Chunks of the listed sections with their priority; of the statements the first ``options.statement_chunks``.
 
     ``chunk_index`` counts from zero without gaps inside a section, so the
     first chunks are those with a low index and nothing has to be ranked.
     """
-    place = F.array_position(F.array(*[F.lit(s) for s, _ in PRIORITY]), F.col("section")).cast("int")
-    within = F.lit(True)
-    for section, cap in PRIORITY:
-        if cap is not None:
-            within = within & ((F.col("section") != section) | (F.col("chunk_index") < cap))
+    place = F.array_position(F.array(*map(F.lit, PRIORITY)), F.col("section")).cast("int")
+    within = (F.col("section") != STATEMENTS) | (F.col("chunk_index") < options.statement_chunks)
     return chunks.withColumn("priority", place).where((F.col("priority") > 0) & within)
 
 

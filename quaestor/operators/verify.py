@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from quaestor.functions import text as tx
 from quaestor.operators.ordinals import batch_of, with_ordinal
+from quaestor.options import Options
 
 
 def assign_batches(pairs: DataFrame, order_by: Sequence[str] = ("ord",), scope: Sequence[str] = (),
@@ -58,10 +59,10 @@ def with_reasons(judged: DataFrame) -> DataFrame:
     return judged.withColumn("reasons", F.array_join(reasons, ", "))
 
 
-def rejected(judged: DataFrame) -> DataFrame:
+def rejected(judged: DataFrame, length: int = Options().question_preview) -> DataFrame:
     """Rejected pairs with their reasons and a short form of the question."""
     return (with_reasons(judged).where(F.col("reasons") != "")
-            .withColumn("question_preview", tx.preview(F.col("question"), 60)))
+            .withColumn("question_preview", tx.preview(F.col("question"), length)))
 
 
 def rejection_reasons(judged: DataFrame) -> DataFrame:

@@ -23,6 +23,10 @@ class Options:
     similarity_threshold: float = 0.85
     max_features: int = 5000
     numeric_tolerance: float = 0.02
+    statement_chunks: int = 5  # chunks taken from the financial statements when sections are filled
+    samples_per_type: int = 2  # pairs shown per question type in the report
+    question_preview: int = 60  # characters of a rejected question
+    error_preview: int = 80  # characters of an error
     max_retries: int = 3
     retry_base_delay_sec: int = 10
     gemini_rpm: int = 6

@@ -78,7 +78,7 @@ def _verify(spark: SparkSession, run: Run, pairs: DataFrame, stage: str) -> Data
         rows, run.provider, ["doc_id"], run.options, run.provider_tasks))
     verdicts = ge.explode_verification(answers, "doc_id").drop("reasoning")
     judged = vf.join_verdicts(batched, verdicts, ["doc_id"], wrap_negative=True)
-    st.run_stage(spark, run.stage_dir, "rejected", lambda: vf.rejected(judged), run.resume)
+    st.run_stage(spark, run.stage_dir, "rejected", lambda: vf.rejected(judged, run.options.question_preview), run.resume)
     return st.run_stage(spark, run.stage_dir, stage, lambda: vf.accepted(judged), run.resume)
 
 
@@ -89,7 +89,7 @@ def _requests(spark: SparkSession, run: Run, *stages: str) -> tuple[int, int]:
     if not answers:
         return 0, 0
     every = reduce(DataFrame.unionByName, answers)
-    failed = st.save_stage(ge.failed_batches(every), run.stage_dir, "failed")
+    failed = st.save_stage(ge.failed_batches(every, run.options.error_preview), run.stage_dir, "failed")
     return (every.agg(F.coalesce(F.sum("requests"), F.lit(0))).first()[0],
             failed.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0])
 
@@ -139,7 +139,7 @@ def supplement_dataset(spark: SparkSession, html_filings: DataFrame, run: Run, e
     if existing is None:
         pairs = _generate(spark, run, chunks, "generation")
     else:
-        missing = su.prioritize(su.missing_sections(chunks, existing)).drop("priority")
+        missing = su.prioritize(su.missing_sections(chunks, existing), run.options).drop("priority")
         added = _generate(spark, run, missing, "added")
         behind = existing.agg(F.coalesce(F.max("ord"), F.lit(-1)) + 1).scalar()
         merged = su.merge_pairs(existing, added.withColumn("ord", F.col("ord") + behind)).drop("src_rank")

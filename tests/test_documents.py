@@ -328,6 +328,12 @@ def test_broken_run_is_resumed_and_finished_outputs_are_refused(spark, tmp_path,
     assert st.load_stage(spark, base["stage_dir"], "rejected").count() == 0
 
 
+def test_spread_changes_no_rows(spark):
+    from quaestor.session import spread
+    df = spark.range(100).coalesce(1).withColumn("k", F.col("id") % 7)
+    assert sorted(r.id for r in spread(df, "k").collect()) == list(range(100))
+
+
 def test_download_feeds_a_build_and_is_cached(spark, tmp_path):
     calls = tmp_path / "calls"
     calls.mkdir()
