@@ -169,8 +169,8 @@ def without_repeated_lines(rows: DataFrame, row_id: str) -> DataFrame:
     """``rows`` with shortened texts and the columns ``n_lines, n_removed, n_partners`` as a struct ``line_dedup``.
 
     A null text stays null and has no lines. Repeated rows and repeated ids
-    are documents of their own, the row written first being the earlier one;
-    rows without id come last.
+    are documents of their own, in the order of ``row_id``; rows without id
+    come last.
     """
     found = repeated_lines(rows.select(F.col(row_id).alias("row_id"), "doc_id", "text"))
     # The same join at every size: broadcasting a small table of findings would only hide that the texts move once.
@@ -197,8 +197,8 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, row_id = with_row_id(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "lines-rows")
-    done = without_repeated_lines(rows, row_id)
+    rows, row_id = with_row_id(read_table(spark, sf_dir, "documents"), "lines-rows")
+    done = without_repeated_lines(rows.select(row_id, "doc_id", "text"), row_id)
     return done.select("doc_id", "line_dedup.*", F.length("text").cast("long").alias("n_chars"),
                        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 

@@ -134,8 +134,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     bits; equal fingerprints meet in one node first, so a group of copies
     costs one row. ``component_id`` is the smallest doc_id that a row reaches
     (null if none of them has an id), ``keeper`` marks one row of each
-    component: that of the smallest doc_id, among repeated ids the row written
-    first. Null and empty texts, and texts of white space, have fingerprint 0
+    component: that of the smallest doc_id, among repeated ids the one with the
+    smallest row_id. Null and empty texts, and texts of white space, have fingerprint 0
     and are linked like all others.
     """
     if shingle != SHINGLE:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quaestor.session import scratch_path
@@ -32,12 +33,19 @@ def free_name(df: DataFrame, base: str) -> str:
 
 
 def with_row_id(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """The pinned rows of ``df`` with a number of their own, and the name of its column.
+    """The rows of ``df`` with an id of their own, and the name of its column.
 
-    Numbers are made while the rows are written, so later reads agree even for
-    rows that are equal or have no id.
+    Later reads agree on it even for rows that are equal or have no id. Rows
+    straight from files that number them are known by file and place, and
+    nothing is written; all others are pinned with a number each.
     """
     name = free_name(df, "row_id")
+    if df._jdf.queryExecution().analyzed().children().isEmpty():
+        try:
+            place = df.metadataColumn("_metadata")
+            return df.select("*", F.struct(F.xxhash64(place["file_path"]).alias("file"), place["row_index"].alias("row")).alias(name)), name
+        except AnalysisException:
+            pass  # not from such files
     return pin(df.withColumn(name, F.monotonically_increasing_id()), label), name
 
 
