@@ -208,7 +208,8 @@ def _find_roots(entries: DataFrame, vectors: DataFrame, threshold: float, heads:
     """
     roots, open_entries, before = None, entries, None
     while True:
-        head = _pin(_heads(open_entries, heads), "heads")
+        # While nothing is decided, places say which entries are the first.
+        head = open_entries.where(F.col("place") < heads) if before is None else _pin(_heads(open_entries, heads), "heads")
         pairs = _candidates(head, open_entries, F.col("rank_i") >= F.col("rank_j"), threshold)
         edges = _pin(_similar(pairs, vectors, threshold), "edges")
         seen = head.groupBy(*NODE).agg(F.count(F.lit(1)).alias("_seen"), F.first("buckets").alias("_all"))
