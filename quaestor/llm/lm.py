@@ -9,14 +9,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import arrow_udf
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from quaestor.llm.tables import pin, read_table
+from quaestor.llm.tables import pin, read_table, with_row_id
 from quaestor.llm.words import Piece, find_words, folded, hash_spans, pieces
 
-CLASSES = 64  # of CLASSES words each
+CLASSES = 64  # of as many words each, at least
 VOCABULARY = CLASSES * CLASSES
-UNKNOWN, PAD = VOCABULARY - 1, VOCABULARY
+GROWTH = 16  # the network knows so many words times the root of the number of different words
+UNKNOWN, PAD = 0, -1
 OFFSETS = (-2, -1, 1, 2)
 WIDTH = 24
 TRAIN_PART = 32  # one text in so many is learned from, so training grows with the corpus
@@ -30,31 +31,37 @@ BLOCKS = 32  # parts in which parameters are averaged
 class Network:
     """Embeddings of the words around a place, scaled by place, give a hidden layer; a class and a word in it are predicted."""
 
-    SHAPES = {"embed": (VOCABULARY + 1, WIDTH), "place": (len(OFFSETS), WIDTH), "bias": (WIDTH,), "top": (WIDTH, CLASSES),
-              "top_bias": (CLASSES,), "word": (CLASSES, WIDTH, CLASSES), "word_bias": (CLASSES, CLASSES)}
-
     def __init__(self, flat: np.ndarray):
         self.flat = flat
+        square, linear = 2 * WIDTH + 1, WIDTH + 1  # the size is a quadratic function of the number of classes
+        self.classes = c = round((math.sqrt(linear ** 2 + 4 * square * (len(flat) - self.size(0))) - linear) / (2 * square))
         at = 0
-        for name, shape in self.SHAPES.items():
+        for name, shape in self.shapes(c).items():
             size = math.prod(shape)
             setattr(self, name, flat[at:at + size].reshape(shape))
             at += size
 
+    @staticmethod
+    def shapes(classes: int) -> dict[str, tuple[int, ...]]:
+        """The last row of ``embed`` is that of ``PAD``."""
+        return {"embed": (classes * classes + 1, WIDTH), "place": (len(OFFSETS), WIDTH), "bias": (WIDTH,), "top": (WIDTH, classes),
+                "top_bias": (classes,), "word": (classes, WIDTH, classes), "word_bias": (classes, classes)}
+
     @classmethod
-    def size(cls) -> int:
-        return sum(math.prod(s) for s in cls.SHAPES.values())
+    def size(cls, classes: int) -> int:
+        return sum(math.prod(s) for s in cls.shapes(classes).values())
 
     @classmethod
     def initial(cls, counts: np.ndarray) -> Network:
         """Small random weights; the biases hold the counts of the vocabulary, so it starts as a unigram model."""
         rng = np.random.default_rng(7)
-        net = cls(np.zeros(cls.size(), np.float32))
+        classes = math.isqrt(len(counts))
+        net = cls(np.zeros(cls.size(classes), np.float32))
         net.embed[:] = rng.normal(0, 0.3, net.embed.shape)
         net.place[:] = 1 + rng.normal(0, 0.3, net.place.shape)
         net.top[:] = rng.normal(0, 0.1, net.top.shape)
         net.word[:] = rng.normal(0, 0.1, net.word.shape)
-        smoothed = (counts + 0.5).reshape(CLASSES, CLASSES)
+        smoothed = (counts + 0.5).reshape(classes, classes)
         net.top_bias[:] = np.log(smoothed.sum(axis=1) / smoothed.sum())
         net.word_bias[:] = np.log(smoothed / smoothed.sum(axis=1, keepdims=True))
         return net
@@ -68,12 +75,12 @@ class Network:
     def log_probability(self, around: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Of each word, given the words around it."""
         h = self.hidden(around)
-        top, inner = np.divmod(word, CLASSES)
+        top, inner = np.divmod(word, self.classes)
         logits = h @ self.top + self.top_bias
         out = logits[np.arange(len(word)), top] - _log_sum(logits)
         order = np.argsort(top, kind="stable")
-        bounds = np.searchsorted(top[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
+        bounds = np.searchsorted(top[order], np.arange(self.classes + 1))
+        for c in range(self.classes):
             mine = order[bounds[c]:bounds[c + 1]]
             if len(mine):
                 logits = h[mine] @ self.word[c] + self.word_bias[c]
@@ -85,14 +92,14 @@ class Network:
         n = len(word)
         gradient = Network(np.zeros_like(self.flat))
         h = self.hidden(around)
-        top, inner = np.divmod(word, CLASSES)
+        top, inner = np.divmod(word, self.classes)
         p = _softmax(h @ self.top + self.top_bias)
         p[np.arange(n), top] -= 1
         gradient.top[:], gradient.top_bias[:] = h.T @ p, p.sum(axis=0)
         back = p @ self.top.T
         order = np.argsort(top, kind="stable")
-        bounds = np.searchsorted(top[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
+        bounds = np.searchsorted(top[order], np.arange(self.classes + 1))
+        for c in range(self.classes):
             mine = order[bounds[c]:bounds[c + 1]]
             if len(mine):
                 p = _softmax(h[mine] @ self.word[c] + self.word_bias[c])
@@ -126,11 +133,11 @@ def word_hashes(piece: Piece) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Vocabulary:
-    """The most frequent words of the corpus by hash; other words share one id."""
+    """The most frequent words of the corpus by hash; other words share one id, of which ``rare`` occur."""
 
-    def __init__(self, hashes: np.ndarray):
+    def __init__(self, hashes: np.ndarray, rare: float = 0):
         order = np.argsort(hashes)
-        self.hashes, self.ids = hashes[order], order
+        self.hashes, self.ids, self.rare = hashes[order], order + UNKNOWN + 1, rare
 
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.hashes):
@@ -156,15 +163,26 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts.astype(np.int64))], ["word", "n"])
 
 
-def vocabulary(docs: DataFrame) -> tuple[Vocabulary, np.ndarray]:
-    """The ``VOCABULARY - 1`` most frequent words of all texts, and the counts of all ids."""
+def count_words(docs: DataFrame) -> DataFrame:
+    """Pinned ``word, n`` of all different words of the texts, by hash."""
     counted = docs.select("text").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counted = pin(counted, "lm-words")
-    best = counted.orderBy(F.desc("n"), "word").limit(UNKNOWN).collect()
-    counts = np.zeros(VOCABULARY)
-    counts[:len(best)] = [r["n"] for r in best]
-    counts[UNKNOWN] = (counted.agg(F.sum("n")).first()[0] or 0) - counts.sum()
-    return Vocabulary(np.array([r["word"] for r in best], np.int64).view(np.uint64)), counts
+    return pin(counted, "lm-words")
+
+
+def vocabulary(docs: DataFrame, counted: DataFrame | None = None) -> tuple[Vocabulary, np.ndarray]:
+    """The most frequent words of all texts, and the counts of all ids.
+
+    There are ``VOCABULARY`` ids, or ``GROWTH`` times the root of the number of
+    different words if that is more, rounded up to a square.
+    """
+    counted = count_words(docs) if counted is None else counted
+    types, total = counted.agg(F.count(F.lit(1)), F.sum("n")).first()
+    size = max(CLASSES, math.isqrt(GROWTH * math.isqrt(types)) + 1) ** 2
+    best = counted.orderBy(F.desc("n"), "word").limit(size - 1).collect()
+    counts = np.zeros(size)
+    counts[UNKNOWN + 1:UNKNOWN + 1 + len(best)] = [r["n"] for r in best]
+    counts[UNKNOWN] = (total or 0) - counts.sum()
+    return Vocabulary(np.array([r["word"] for r in best], np.int64).view(np.uint64), counts[UNKNOWN]), counts
 
 
 def _trainer(words: Vocabulary, start: np.ndarray, seed: int):
@@ -201,15 +219,16 @@ def _average(rows: pa.Table) -> pa.Table:
                      "values": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
 
-def train(docs: DataFrame) -> tuple[Vocabulary, Network]:
+def train(docs: DataFrame, counted: DataFrame | None = None) -> tuple[Vocabulary, Network]:
     """Vocabulary of the whole corpus, and a network trained on one text in ``TRAIN_PART``.
 
     Each task trains on the texts of its partition, then the parameters are
     averaged by words seen: block by block, in two steps, so that no group
     holds more than about the square root of the number of tasks. Only the
-    averaged network, of a fixed size, reaches the driver.
+    averaged network, which grows with the root of the number of different
+    words, reaches the driver.
     """
-    words, counts = vocabulary(docs)
+    words, counts = vocabulary(docs, counted)
     net = Network.initial(counts)
     schema = "block int, task int, weight double, values binary"
     texts = pin(docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(TRAIN_PART)) == 0), "lm-sample")
@@ -224,14 +243,16 @@ def train(docs: DataFrame) -> tuple[Vocabulary, Network]:
     return words, net
 
 
-RESULT = StructType([StructField("n_tokens", LongType()), StructField("log_likelihood", DoubleType())])
+RESULT = StructType([StructField("n_tokens", LongType()), StructField("log_likelihood", DoubleType()), StructField("rare", ArrayType(LongType()))])
 
 
 def pseudo_likelihood(text: Column, words: Vocabulary, net: Network) -> Column:
-    """Struct of the number of words and the sum of their log-probabilities, each given the words on both sides; null counts as empty."""
+    """Struct of the number of words, the sum of the log-probabilities of their ids, each given the ids on both sides, and the
+    hashes of the words that share the id ``UNKNOWN``; null counts as empty."""
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            number, total = np.zeros(len(batch), np.int64), np.zeros(len(batch))
+            number, total, n_rare = np.zeros(len(batch), np.int64), np.zeros(len(batch)), np.zeros(len(batch), np.int64)
+            rare = [np.zeros(0, np.uint64)]
             for piece in pieces(batch):
                 doc, h = word_hashes(piece)
                 ids = words.lookup(h)
@@ -240,24 +261,39 @@ def pseudo_likelihood(text: Column, words: Vocabulary, net: Network) -> Column:
                 own = slice(piece.first, piece.first + piece.count)
                 number[own] = np.bincount(doc, minlength=piece.count)
                 total[own] = np.bincount(doc, np.concatenate(scores), minlength=piece.count) if scores else 0
-            yield pa.StructArray.from_arrays([pa.array(number), pa.array(total)], ["n_tokens", "log_likelihood"])
+                n_rare[own] = np.bincount(doc[ids == UNKNOWN], minlength=piece.count)
+                rare.append(h[ids == UNKNOWN])
+            ends = np.concatenate(([0], np.cumsum(n_rare))).astype(np.int32)
+            hashes = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rare).view(np.int64)))
+            yield pa.StructArray.from_arrays([pa.array(number), pa.array(total), hashes], ["n_tokens", "log_likelihood", "rare"])
     return arrow_udf(run, RESULT)(text)
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, log_likelihood, mean_log_likelihood`` per row of ``docs(doc_id, text)``.
 
-    The mean is null for a text without words. Rows are scored alone; repeated
-    rows count as often in the vocabulary as they stand.
+    The network predicts the id of a word; a word that shares the id
+    ``UNKNOWN`` adds the log-probability of being that one of them, from the
+    counts of the whole corpus, which are joined by word. So each word of a
+    text is predicted, and the probabilities of all words of the corpus add up
+    to one. The mean is null for a text without words. Rows are scored alone;
+    repeated rows count as often in the vocabulary as they stand.
     """
-    words, net = train(docs)
-    rows = docs.select("doc_id", pseudo_likelihood(F.col("text"), words, net).alias("s")).select("doc_id", "s.*")
+    rows, row_id = with_row_id(docs, "lm-rows")
+    counted = count_words(rows)
+    words, net = train(rows, counted)
+    scored = pin(rows.select(F.col(row_id).alias("row_id"), "doc_id", pseudo_likelihood(F.col("text"), words, net).alias("s"))
+                 .select("row_id", "doc_id", "s.*"), "lm-scores")
+    rare = scored.select("row_id", F.explode("rare").alias("word")).join(counted.hint("merge"), "word")
+    rare = rare.groupBy("row_id").agg(F.sum(F.log(F.col("n") / F.lit(float(words.rare or 1)))).alias("more"))
+    rows = scored.drop("rare").join(rare.hint("merge"), "row_id", "left")
+    rows = rows.select("doc_id", "n_tokens", (F.col("log_likelihood") + F.coalesce("more", F.lit(0.0))).alias("log_likelihood"))
     mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
     return rows.withColumn("mean_log_likelihood", mean)
 
 
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return score_documents(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {"op7_lm_score": op7_lm_score}

@@ -91,3 +91,30 @@ def test_query_and_odd_rows(spark):
     got = sorted((str(r.doc_id), r.n_tokens, r.mean_log_likelihood is None) for r in score_documents(docs).collect())
     assert got == [("1", 0, True), ("2", 2, False), ("2", 2, False), ("None", 0, True)]
     assert score_documents(docs.limit(0)).count() == 0
+
+
+def test_rare_words_are_predicted_from_whole_counts(spark):
+    docs = read_table(spark, SF_DIR, "documents")
+    (piece,) = pieces(pa.array(["\n".join(r.text for r in docs.collect())]), 1 << 40)
+    n = Counter(word_hashes(piece)[1].tolist())
+    words, net = train(docs)
+    net_only = {r.doc_id: r.s.log_likelihood for r in docs.select("doc_id", pseudo_likelihood(F.col("text"), words, net).alias("s")).collect()}
+    rare_total = sum(k for h, k in n.items() if words.lookup(np.array([h], np.uint64))[0] == UNKNOWN)
+    got = {r.doc_id: r.log_likelihood for r in score_documents(docs).collect()}
+    shares = 0.0
+    for r in docs.orderBy("doc_id").limit(20).collect():
+        (piece,) = pieces(pa.array([r.text]))
+        h = word_hashes(piece)[1]
+        rare = h[words.lookup(h) == UNKNOWN].tolist()
+        shares += len(rare)
+        assert abs(got[r.doc_id] - net_only[r.doc_id] - sum(np.log(n[x] / rare_total) for x in rare)) < 1e-2 * len(h)
+    assert shares > 0
+
+
+def test_vocabulary_grows_with_the_number_of_words(spark):
+    docs = spark.range(40).selectExpr("array_join(transform(sequence(id * 10000, id * 10000 + 9999), x -> concat('w', x)), ' ') AS text")
+    words, counts = vocabulary(docs)
+    assert len(counts) == len(words.hashes) + 1 > 2 * VOCABULARY and counts.sum() == 400000
+    net = Network.initial(counts)
+    every = net.log_probability(np.full((len(counts), len(OFFSETS)), PAD), np.arange(len(counts)))
+    assert abs(np.exp(every).sum() - 1) < 1e-3 and Network(net.flat.copy()).classes ** 2 == len(counts)
