@@ -20,8 +20,7 @@ GROWTH = 16  # the network knows so many words times the root of the number of d
 UNKNOWN, PAD = 0, -1
 OFFSETS = (-2, -1, 1, 2)
 WIDTH = 24
-TRAIN_PART = 32  # one text in so many is learned from, so training grows with the corpus
-ROUNDS = 2
+ROUNDS = 1  # over all texts
 BATCH = 2048
 CHUNK = 8192
 RATE = 0.05
@@ -108,9 +107,11 @@ class Network:
                 back[mine] += p @ self.word[c].T
         back *= 1 - h * h
         gradient.bias[:] = back.sum(axis=0)
+        flat_embed = gradient.embed.reshape(-1)
         for k in range(len(OFFSETS)):
             gradient.place[k] = (back * self.embed[around[:, k]]).sum(axis=0)
-            np.add.at(gradient.embed, around[:, k], back * self.place[k])
+            at = np.where(around[:, k] < 0, len(self.embed) - 1, around[:, k])[:, None] * WIDTH + np.arange(WIDTH)
+            np.add.at(flat_embed, at.ravel(), (back * self.place[k]).ravel())
         gradient.flat /= n
         squares.flat += gradient.flat ** 2
         self.flat -= RATE * gradient.flat / (np.sqrt(squares.flat) + 1e-5)
@@ -220,7 +221,7 @@ def _average(rows: pa.Table) -> pa.Table:
 
 
 def train(docs: DataFrame, counted: DataFrame | None = None) -> tuple[Vocabulary, Network]:
-    """Vocabulary of the whole corpus, and a network trained on one text in ``TRAIN_PART``.
+    """Vocabulary of the whole corpus, and a network trained on all of its texts.
 
     Each task trains on the texts of its partition, then the parameters are
     averaged by words seen: block by block, in two steps, so that no group
@@ -231,8 +232,7 @@ def train(docs: DataFrame, counted: DataFrame | None = None) -> tuple[Vocabulary
     words, counts = vocabulary(docs, counted)
     net = Network.initial(counts)
     schema = "block int, task int, weight double, values binary"
-    texts = pin(docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(TRAIN_PART)) == 0), "lm-sample")
-    texts = texts.withColumn("task", F.spark_partition_id())
+    texts = docs.select("text").withColumn("task", F.spark_partition_id())
     fan = max(1, math.isqrt(texts.rdd.getNumPartitions()))
     for step in range(ROUNDS):
         rows = pin(texts.mapInArrow(_trainer(words, net.flat, step), schema), "lm-parameters")

@@ -118,3 +118,11 @@ def test_vocabulary_grows_with_the_number_of_words(spark):
     net = Network.initial(counts)
     every = net.log_probability(np.full((len(counts), len(OFFSETS)), PAD), np.arange(len(counts)))
     assert abs(np.exp(every).sum() - 1) < 1e-3 and Network(net.flat.copy()).classes ** 2 == len(counts)
+
+
+def test_copies_of_any_one_text_train_the_network(spark):
+    for text in ("red wine glass", "deep blue sea", "new york city", "one more text"):
+        docs = spark.createDataFrame([(k, " ".join([text] * 50)) for k in range(40)], "doc_id long, text string")
+        words, net = train(docs)
+        assert not np.array_equal(net.flat, Network.initial(vocabulary(docs)[1]).flat)
+        assert docs.select(pseudo_likelihood(F.col("text"), words, net).alias("s")).agg(F.avg(F.expr("s.log_likelihood / s.n_tokens"))).first()[0] > -1
