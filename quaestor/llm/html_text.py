@@ -8,14 +8,16 @@ from html import unescape
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import StringType
 
 from quaestor.llm.tables import pin, read_table
 from quaestor.llm.url_rules import split_url
+from quaestor.llm.words import MULTIPLIER, mix
 
-SHARD_PAGES = 256  # pages of a host that share one suffix array, about
+SHARD_PAGES = 256  # pages of a host that one task reads, about
 RUN_TOKENS = 6  # shortest repeated run that counts
 COVERED = 0.8  # share of a block's tokens in such runs that makes it boilerplate
 COMMON_SHARE, COMMON_PAGES = 0.5, 4  # inside an article a run has to be on that many pages
@@ -164,8 +166,8 @@ def repeated_runs(tokens: np.ndarray, page: np.ndarray, length: int = RUN_TOKENS
     return pages
 
 
-def main_texts(pages: list[list[str]]) -> list[str]:
-    """Main text of each page of a host, from its marked blocks."""
+def _stream(pages: list[list[str]]) -> tuple[list[str], np.ndarray, np.ndarray, list[list[int]]]:
+    """The different tokens of the pages, the number of each token in order, its page, and the bounds of each page's blocks."""
     ids: dict[str, int] = {}
     tokens: list[int] = []
     owner: list[int] = []
@@ -177,9 +179,43 @@ def main_texts(pages: list[list[str]]) -> list[str]:
             marks.append(len(tokens))
         owner += [k] * (len(tokens) - len(owner))
         bounds.append(marks)
-    held = repeated_runs(np.array(tokens, np.int64), np.array(owner, np.int64))
+    return list(ids), np.array(tokens, np.int64), np.array(owner, np.int64), bounds
+
+
+def hashed_runs(words: list[str], tokens: np.ndarray, page: np.ndarray, length: int = RUN_TOKENS) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the runs of ``length`` tokens that lie in one page, and a hash of each that all tasks agree on."""
+    if len(tokens) < length:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    known = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words], np.uint64)
+    starts = np.flatnonzero(page[:len(tokens) - length + 1] == page[length - 1:])
+    hashes = np.zeros(len(starts), np.uint64)
+    for k in range(length):
+        hashes = mix(hashes * np.uint64(MULTIPLIER) + known[tokens[starts + k]])
+    return starts, hashes.view(np.int64)
+
+
+def main_texts(pages: list[list[str]], repeated: tuple[np.ndarray, np.ndarray] | None = None, size: int | None = None) -> list[str]:
+    """Main text of each page, from its marked blocks.
+
+    The pages are those of a host, or some of its ``size`` pages; then
+    ``repeated`` has the hashes, in order, of the runs that distinct pages of
+    the whole host share, and the numbers of these pages.
+    """
+    words, tokens, owner, bounds = _stream(pages)
+    if repeated is None:
+        held = repeated_runs(tokens, owner)
+    else:
+        held = np.zeros(len(tokens), np.int64)
+        runs, numbers = repeated
+        starts, hashes = hashed_runs(words, tokens, owner)
+        if len(runs) and len(starts):
+            at = np.minimum(np.searchsorted(runs, hashes), len(runs) - 1)
+            on = np.where(runs[at] == hashes, numbers[at], 0)
+            for k in range(RUN_TOKENS):
+                np.maximum.at(held, starts + k, on)
+    size = len(pages) if size is None else size
     anywhere = np.concatenate(([0], np.cumsum(held > 1)))
-    common = np.concatenate(([0], np.cumsum((held >= COMMON_PAGES) & (held >= COMMON_SHARE * len(pages)))))
+    common = np.concatenate(([0], np.cumsum((held >= COMMON_PAGES) & (held >= COMMON_SHARE * size))))
     out = []
     for blocks, marks in zip(pages, bounds, strict=True):
         has_article = any(b[0] == ARTICLE for b in blocks)
@@ -201,8 +237,34 @@ def _marked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array(["\n".join(blocks_of(x.as_py())) for x in batch], pa.string())
 
 
+def _blocks(pages: pa.Table) -> list[list[str]]:
+    return [x.split("\n") if x else [] for x in pages["marked"].to_pylist()]
+
+
 def _host_texts(pages: pa.Table) -> pa.Table:
-    texts = main_texts([x.split("\n") if x else [] for x in pages["marked"].to_pylist()])
+    return pages.select(["page_id", "url"]).append_column("text", pa.array(main_texts(_blocks(pages)), pa.string()))
+
+
+def _shard_runs(pages: pa.Table) -> pa.Table:
+    """Each different run of a shard's pages with the number of pages that hold it."""
+    words, tokens, owner, _ = _stream(_blocks(pages))
+    starts, hashes = hashed_runs(words, tokens, owner)
+    order = np.lexsort((owner[starts], hashes))
+    hashes, page = hashes[order], owner[starts][order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (page[1:] != page[:-1])
+    runs, numbers = np.unique(hashes[new], return_counts=True)
+    host, shard = pages["host"][0].as_py(), pages["shard"][0].as_py()
+    return pa.table({"host": pa.array([host] * len(runs), pa.string()), "shard": pa.array(np.full(len(runs), shard, np.int64)),
+                     "run": pa.array(runs), "n_pages": pa.array(numbers.astype(np.int64))})
+
+
+def _shard_texts(pages: pa.Table, found: pa.Table) -> pa.Table:
+    if not pages.num_rows:
+        return pages.select(["page_id", "url"]).append_column("text", pa.array([], pa.string()))
+    runs, numbers = found["run"].to_numpy(), found["held"].to_numpy()
+    order = np.argsort(runs)
+    texts = main_texts(_blocks(pages), (runs[order], numbers[order]), pages["n"][0].as_py())
     return pages.select(["page_id", "url"]).append_column("text", pa.array(texts, pa.string()))
 
 
@@ -218,17 +280,27 @@ def extract(pages: DataFrame) -> DataFrame:
     copies. A page with an article consists of its blocks only.
 
     A host of many pages is dealt out to shards of about 256 by a hash of the
-    page, so each has as many of the host's pages as it takes to see what
-    repeats, and no task grows with the host. Null pages have an empty text;
+    page, so no task grows with the host. Its runs are counted over all
+    shards: each shard emits the hashes of its runs with their numbers of
+    pages, these are summed by host and run, and the runs of two or more pages
+    go back to the shards that hold them. Null pages have an empty text;
     null urls form a host of their own; repeated rows stay, each counting as a
     page.
     """
     rows = pages.select("page_id", "url", "html").withColumn("host", split_url(F.col("url"))[0])
     sizes = pin(rows.groupBy("host").agg(F.count(F.lit(1)).alias("n")), "html-hosts")
     shard = F.pmod(F.xxhash64("page_id", "url"), F.ceil(F.col("n") / SHARD_PAGES).cast("long"))
-    marked = rows.join(sizes, "host").select("page_id", "url", "host", shard.alias("shard"), arrow_udf(_marked, StringType())("html").alias("marked"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in marked.select("page_id", "url").schema)
-    return marked.groupBy("host", "shard").applyInArrow(_host_texts, f"{kinds}, text string")
+    marked = rows.join(sizes, "host").select("page_id", "url", "host", "n", shard.alias("shard"), arrow_udf(_marked, StringType())("html").alias("marked"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in marked.select("page_id", "url").schema) + ", text string"
+    small = marked.where(F.col("n") <= SHARD_PAGES).groupBy("host").applyInArrow(_host_texts, kinds)
+    if sizes.where(F.col("n") > SHARD_PAGES).isEmpty():
+        return small
+    large = pin(marked.where(F.col("n") > SHARD_PAGES), "html-large")
+    runs = pin(large.groupBy("host", "shard").applyInArrow(_shard_runs, "host string, shard long, run long, n_pages long"), "html-runs")
+    held = runs.groupBy("host", "run").agg(F.sum("n_pages").alias("held")).where("held > 1")
+    found = runs.select("host", "shard", "run").join(held, ["host", "run"])
+    parts = large.groupBy("host", "shard").cogroup(found.groupBy("host", "shard"))
+    return small.unionByName(parts.applyInArrow(_shard_texts, kinds))
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,3 +91,15 @@ def test_odd_rows(spark):
     assert extract(spark.createDataFrame([], PAGES)).count() == 0
     wider = spark.createDataFrame([(1, "u", "<p>x", "t", 5)], PAGES + ", text string, host int")
     assert [tuple(r) for r in extract(wider).collect()] == [(1, "u", "x")]
+
+
+def test_runs_of_a_large_host_are_counted_over_all_its_pages(spark):
+    n, notice = 1500, "this site sells your data to each of its many partners"
+    own = [" ".join(f"w{k}x{j}" for j in range(12)) for k in range(n)]
+    rows = [(k, f"http://big/{k}", f"<div>{notice}</div><div>{own[k]}</div>" if k in (3, 900) else f"<div>{own[k]}</div>") for k in range(n)]
+    inside = "a line that stands on more than half of the pages"
+    rows += [(n + k, f"http://art/{k}", f"<article><p>{own[k]}</p><p>{inside if k % 5 < 3 else 'other'}</p></article>") for k in range(600)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert len(got) == len(rows) and all(got[k] == own[k] for k in range(n))
+    assert all(got[n + k] == (own[k] if k % 5 < 3 else own[k] + "\nother") for k in range(600))
+    assert main_texts([blocks_of(h) for _, _, h in rows[:n]]) == own
