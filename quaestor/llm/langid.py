@@ -12,7 +12,7 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import BinaryType, DoubleType, StringType, StructField, StructType
 
 from quaestor.llm.tables import held_back, pin, read_table
-from quaestor.llm.training import bounded_sample
+from quaestor.llm.training import bounded_sample, one_text
 from quaestor.llm.words import Piece, folded, letters, pieces
 
 SIZES = (1, 2, 3, 4)  # bytes in an n-gram
@@ -105,7 +105,7 @@ def train(docs: DataFrame, learn: Column | None = None) -> LanguageModel | None:
     number = rows.select("lang").distinct().count()
     ids = pin(bounded_sample(rows, "lang", min(LANGUAGE_CAP, max(TOTAL_CAP // max(number, 1), 1))).distinct(), "langid-sample")
     texts = docs.select("doc_id", "text", F.col("lang").alias("own")).where(F.col("text").isNotNull())
-    sample = texts.join(F.broadcast(ids), "doc_id").where(F.col("own") == F.col("lang"))
+    sample = one_text(texts.join(F.broadcast(ids), "doc_id").where(F.col("own") == F.col("lang")), "lang")
     found = sample.select("doc_id", "lang", arrow_udf(_packed, BinaryType())("text").alias("bits")).toPandas()
     if not len(found):
         return None

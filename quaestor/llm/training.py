@@ -25,16 +25,24 @@ def bounded_sample(rows: DataFrame, label: str, cap: int) -> DataFrame:
     return rows.where(place <= limit)
 
 
+def one_text(rows: DataFrame, label: str) -> DataFrame:
+    """``doc_id, label, text``: of the rows of each id and label the one whose text has the smallest hash."""
+    least = rows.groupBy("doc_id", label).agg(F.min(F.struct(F.xxhash64("text").alias("place"), "text")).alias("least"))
+    return least.select("doc_id", label, F.col("least.text").alias("text"))
+
+
 def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, cap: int, learn: Column | None = None) -> DataFrame:
     """Pinned ``doc_id, text, label`` of a bounded sample of ``labels(doc_id, label)``; values 0 and 1 only.
 
     The sample is bounded by ``cap`` per label, which is why it is broadcast
-    to the scan of the texts.
+    to the scan of the texts. Of rows that repeat an id, one stands for all, so
+    the bound holds for rows, too.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
     known = known.select("doc_id", F.col(label).cast("int").alias("label"))
     chosen = pin(bounded_sample(known if learn is None else known.where(learn), "label", cap).distinct(), "labels")
-    return pin(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "labelled")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return pin(one_text(rows, "label").select("doc_id", "text", "label"), "labelled")
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, strength: float, steps: int = 50) -> np.ndarray:
