@@ -28,9 +28,6 @@ GROUP = 4096  # different contexts of a gram that one task orders at once; large
 BATCH = 20_000  # strings that are sorted together, about
 
 _SPAN = pa.struct([("from", pa.int64()), ("to", pa.int64())])
-_ANCHOR = pa.struct([("pos", pa.int64()), ("n", pa.int32()), ("gram", pa.int64()), ("context", pa.binary()), ("spans", pa.list_(_SPAN))])
-ANCHOR_TYPE = "array<struct<pos:bigint,n:int,gram:bigint,context:binary,spans:array<struct<from:bigint,to:bigint>>>>"
-AROUND_TYPE = "array<struct<pos:bigint,hot:boolean,key:string,before:binary,after:binary>>"
 KEPT_TYPE = "struct<spans:array<struct<from:bigint,to:bigint>>,kept:binary>"
 
 
@@ -77,57 +74,85 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _binary(texts: pa.Array) -> pa.Array:
-    return texts.cast(pa.large_binary())
+def _texts(batch: pa.Array) -> list[bytes]:
+    return [t or b"" for t in batch.cast(pa.large_binary()).to_pylist()]
 
 
-def _text_anchors(text: bytes, places: list[int], hashes: list[int], window: int, gram: int) -> list[tuple]:
-    """One row per context; one that the text holds several times carries the spans that this settles."""
-    before, found = window - gram, {}
-    for place, value in zip(places, hashes, strict=True):
-        start = max(0, place - before)
-        context = xxhash.xxh3_128_digest(bytes((place - start,)) + text[start:place + window])
+def _text_anchors(text: bytes, places: list[int], hashes: list[int], window: int, gram: int) -> Iterator[tuple[int, int | None, int]]:
+    """Place, gram and context of each anchor. Of a context that the text holds several times the first two places are
+    enough; what it covers is known and follows as begin, null and end."""
+    before = window - gram
+    contexts = [xxhash.xxh3_64_intdigest(text[max(0, p - before):p + window], min(p, before)) - (1 << 63) for p in places]
+    if len(set(hashes)) == len(hashes):
+        yield from zip(places, hashes, contexts, strict=True)
+        return
+    found: dict[tuple[int, int], list[int]] = {}
+    for place, value, context in zip(places, hashes, contexts, strict=True):
         found.setdefault((value, context), []).append(place)
-    return [(at[0], len(at), value, context,
-             _merged([(max(0, p - before), min(len(text), p + window)) for p in at]) if len(at) > 1 else None)
-            for (value, context), at in found.items()]
-
-
-def _anchor_batch(texts: pa.Array, window: int, gram: int) -> pa.Array:
-    """Anchors of each text. Texts are taken in runs of about a megabyte; longer ones in blocks that overlap by a window."""
-    texts = _binary(texts)
-    rows: list[list[tuple] | None] = [[] for _ in range(len(texts))]
-    run: list[tuple[int, bytes]] = []
-
-    def flush() -> None:
-        data = np.frombuffer(b"".join(t for _, t in run), np.uint8)
-        offsets = np.cumsum([0, *(len(t) for _, t in run)])
-        places, hashes = anchors_of(data, offsets, window, gram)
-        bounds = np.searchsorted(places, offsets)
-        for k, (i, text) in enumerate(run):
-            own = slice(bounds[k], bounds[k + 1])
-            rows[i] = _text_anchors(text, (places[own] - offsets[k]).tolist(), hashes[own].tolist(), window, gram)
-        run.clear()
-
-    size = 0
-    for i, value in enumerate(texts):
-        text = value.as_py() or b""
-        if len(text) > BLOCK:
-            found: dict[int, int] = {}
-            for start in range(0, len(text), BLOCK):
-                block = np.frombuffer(text[start:start + BLOCK + window - 1], np.uint8)
-                places, hashes = anchors_of(block, np.array([0, len(block)]), window, gram)
-                found |= zip((places + start).tolist(), hashes.tolist(), strict=True)
-            rows[i] = _text_anchors(text, list(found), list(found.values()), window, gram)
-        elif len(text) >= window:
-            run.append((i, text))
-            size += len(text)
-            if size > BLOCK:
-                flush()
-                size = 0
-    flush()
-    return pa.array([[dict(zip(("pos", "n", "gram", "context", "spans"), (*a[:4], a[4] and [{"from": f, "to": t} for f, t in a[4]]), strict=True))
-                      for a in row] for row in rows], pa.list_(_ANCHOR))
+    for (value, context), at in found.items():
+        yield from ((p, value, context) for p in at[:2])
+    covered = [(max(0, p - before), min(len(text), p + window)) for at in found.values() if len(at) > 1 for p in at]
+    yield from ((begin, None, end) for begin, end in _merged(covered))
+
+
+def _anchor_rows(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """Anchors of texts, in runs of about a megabyte; longer texts in blocks that overlap by a window."""
+    for batch in batches:
+        owners, found, run, size = [], [], [], 0
+
+        def flush() -> None:
+            data = np.frombuffer(b"".join(t for _, t in run), np.uint8)
+            offsets = np.cumsum([0, *(len(t) for _, t in run)])
+            places, hashes = anchors_of(data, offsets, window, gram)
+            bounds = np.searchsorted(places, offsets).tolist()
+            for (i, text), first, last, offset in zip(run, bounds, bounds[1:], offsets.tolist()):
+                rows = list(_text_anchors(text, (places[first:last] - offset).tolist(), hashes[first:last].tolist(), window, gram))
+                owners.extend([i] * len(rows))
+                found.extend(rows)
+            run.clear()
+
+        def out() -> pa.RecordBatch:
+            pos, grams, contexts = zip(*found, strict=True) if found else ((), (), ())
+            made = pa.record_batch({"row_id": batch.column(0).take(pa.array(owners, pa.int64())), "pos": pa.array(pos, pa.int64()),
+                                    "gram": pa.array(grams, pa.int64()), "context": pa.array(contexts, pa.int64())})
+            owners.clear()
+            found.clear()
+            return made
+
+        for i, value in enumerate(batch.column(1).cast(pa.large_binary())):
+            text = value.as_py() or b""
+            if len(text) > BLOCK:
+                chosen: dict[int, int] = {}
+                for start in range(0, len(text), BLOCK):
+                    block = np.frombuffer(text[start:start + BLOCK + window - 1], np.uint8)
+                    places, hashes = anchors_of(block, np.array([0, len(block)]), window, gram)
+                    chosen |= zip((places + start).tolist(), hashes.tolist(), strict=True)
+                rows = list(_text_anchors(text, list(chosen), list(chosen.values()), window, gram))
+                owners.extend([i] * len(rows))
+                found.extend(rows)
+            elif len(text) >= window:
+                run.append((i, text))
+                size += len(text)
+                if size > BLOCK:
+                    flush()
+                    size = 0
+                    yield out()
+        flush()
+        yield out()
+
+
+def _around_rows(batches: Iterator[pa.RecordBatch], window: int, before: int) -> Iterator[pa.RecordBatch]:
+    """What stands before and behind each wanted place."""
+    for batch in batches:
+        texts, places = _texts(batch.column(1)), batch.column(2).to_pylist()
+        for start in range(0, len(texts), 256):
+            rows = [(i, p, texts[i]) for i in range(start, min(start + 256, len(texts))) for p in places[i]]
+            yield pa.record_batch({
+                "row_id": batch.column(0).take(pa.array([i for i, _, _ in rows], pa.int64())),
+                "pos": pa.array([p["pos"] for _, p, _ in rows], pa.int64()), "hot": pa.array([p["hot"] for _, p, _ in rows], pa.bool_()),
+                "key": pa.array([str(p["gram"]) for _, p, _ in rows], pa.string()),
+                "before": pa.array([t[max(0, p["pos"] - before):p["pos"]] for _, p, t in rows], pa.binary()),
+                "after": pa.array([t[p["pos"]:p["pos"] + window] for _, p, t in rows], pa.binary())})
 
 
 def _repeats(keys: np.ndarray, before: list[bytes], after: list[bytes], low: np.ndarray, high: np.ndarray,
@@ -242,24 +267,13 @@ def repeated_spans(docs: DataFrame, text: str = "text", window: int = WINDOW, gr
     gram, before = window // 2, window - window // 2
     given = docs
     docs, key = with_row_id(given, "suffix-docs")
+    kind = docs.schema[key].dataType.simpleString()
     texts = docs.select(F.col(key).alias("row_id"), F.col(text).alias("text"))
 
-    @arrow_udf(ANCHOR_TYPE)
-    def anchors(values: pa.Array) -> pa.Array:
-        return _anchor_batch(values, window, gram)
-
-    @arrow_udf(AROUND_TYPE)
-    def around(values: pa.Array, places: pa.Array) -> pa.Array:
-        out = [[{"pos": p["pos"], "hot": p["hot"], "key": str(p["gram"]), "before": t[max(0, p["pos"] - before):p["pos"]],
-                 "after": t[p["pos"]:p["pos"] + window]} for p in at]
-               for t, at in zip(_binary(values).to_pylist(), places.to_pylist(), strict=True)]
-        return pa.array(out, pa.list_(pa.struct([("pos", pa.int64()), ("hot", pa.bool_()), ("key", pa.string()),
-                                                 ("before", pa.binary()), ("after", pa.binary())])))
-
     @arrow_udf(KEPT_TYPE)
     def cut(values: pa.Array, spans: pa.Array) -> pa.Array:
         out = []
-        for value, found in zip(_binary(values), spans.to_pylist(), strict=True):
+        for value, found in zip(values.cast(pa.large_binary()), spans.to_pylist(), strict=True):
             body = value.as_py() or b""
             merged = _merged([(max(0, s["from"]), min(len(body), s["to"])) for s in found or ()])
             edges = [0, *(e for s in merged for e in s), len(body)]
@@ -267,18 +281,21 @@ def repeated_spans(docs: DataFrame, text: str = "text", window: int = WINDOW, gr
                         "kept": b"".join(body[f:t] for f, t in zip(edges[::2], edges[1::2], strict=True))})
         return pa.array(out, pa.struct([("spans", pa.list_(_SPAN)), ("kept", pa.binary())]))
 
-    found = pin(texts.where(F.octet_length("text") >= window).select("row_id", F.inline(anchors("text"))), "suffix-anchors")
-    grams = found.groupBy("gram").agg(F.sum("n").alias("_n")).where("_n > 1").select("gram")
-    shared = pin(found.join(grams, "gram", "left_semi"), "suffix-shared")
-    contexts = pin(shared.groupBy("gram", "context").agg(F.sum("n").alias("n"), F.min(F.struct("row_id", "pos")).alias("at")),
+    found = pin(texts.where(F.octet_length("text") >= window).mapInArrow(
+        lambda b: _anchor_rows(b, window, gram), f"row_id {kind}, pos bigint, gram bigint, context bigint"), "suffix-anchors")
+    anchors = found.where(F.col("gram").isNotNull())
+    grams = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("gram")
+    shared = pin(anchors.join(grams, "gram", "left_semi"), "suffix-shared")
+    contexts = pin(shared.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row_id", "pos")).alias("at")),
                    "suffix-contexts")
-    whole = F.array(F.struct((F.col("pos") - before).alias("from"), (F.col("pos") + window).alias("to")))
-    spans = [shared.join(contexts.where("n > 1").select("gram", "context"), ["gram", "context"])
-             .select("row_id", F.inline(F.coalesce("spans", whole)))]
+    spans = [found.where(F.col("gram").isNull()).select("row_id", F.col("pos").alias("from"), F.col("context").alias("to")),
+             shared.join(contexts.where("n > 1").select("gram", "context"), ["gram", "context"])
+             .select("row_id", (F.col("pos") - before).alias("from"), (F.col("pos") + window).alias("to"))]
     sizes = contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("_size")).where("_size > 1")
     wanted = (contexts.join(sizes, "gram").select("at.row_id", F.struct("at.pos", "gram", (F.col("_size") > group).alias("hot")).alias("_place"))
               .groupBy("row_id").agg(F.collect_list("_place").alias("places")))
-    entries = pin(texts.join(wanted, "row_id").select("row_id", F.inline(around("text", "places")))
+    entries = pin(texts.join(wanted, "row_id").select("row_id", "text", "places").mapInArrow(
+        lambda b: _around_rows(b, window, before), f"row_id {kind}, pos bigint, hot boolean, key string, before binary, after binary")
                   .withColumns({"low": F.lit(0), "high": F.lit(before + 1)}), "suffix-entries")
     spans.append(_settled(entries.where("NOT hot"), window))
     large = entries.where("hot").drop("hot")
@@ -295,7 +312,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", window: int = WINDOW, gr
 
 
 def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = read_table(spark, sf_dir, "documents")
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     return repeated_spans(docs).select(
         "doc_id", n_bytes.alias("n_bytes"), (n_bytes - F.octet_length("kept")).alias("n_removed"),
