@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("scoring", "dataset", "texts", "similarity", "sources")
+MODULES = ("scoring", "dataset", "texts", "borders", "similarity", "sources")
 
 
 def all_queries():

@@ -107,6 +107,12 @@ def verify_join(spark, sf_dir):
     return _judged(spark, sf_dir).select("ord", "batch_id", "qa_index", "is_faithful", "is_answerable", "confidence", "copy")
 
 
+def verify_rejects(spark, sf_dir):
+    batched = _batched(spark, sf_dir)
+    audit = vf.verdict_audit(batched, _verdict_rows(spark, sf_dir, batched), order_by=["copy"])
+    return audit.select("batch_id", "qa_index", "ord", "copy", "outcome")
+
+
 def verify_accept(spark, sf_dir):
     return vf.accepted(_judged(spark, sf_dir)).select("ord", "copy", "confidence")
 
@@ -220,7 +226,7 @@ QUERIES = {
     "gen_distribution": gen_distribution, "distinct_sections": distinct_sections, "fake_calculation": fake_calculation,
     "fake_multi_step": fake_multi_step, "taxonomy_cleanup": taxonomy_cleanup, "cleanup_counters": cleanup_counters,
     "verify_batches": verify_batches, "verify_batch_text": verify_batch_text, "verify_join": verify_join,
-    "verify_accept": verify_accept, "verified_projection": verified_projection, "acceptance_rate": acceptance_rate,
+    "verify_rejects": verify_rejects, "verify_accept": verify_accept, "verified_projection": verified_projection, "acceptance_rate": acceptance_rate,
     "rejection_reasons": rejection_reasons, "reject_preview": reject_preview, "missing_sections": missing_sections,
     "priority_topn": priority_topn, "missing_chunk_counts": missing_chunk_counts, "merge_supplement": merge_supplement,
     "gen_prompt": gen_prompt, "parse_llm_json": parse_llm_json, "parse_verification": parse_verification,
@@ -290,6 +296,10 @@ UNION ALL SELECT ord, {_FAKE_CALC.format('reasoning_steps')}, 'pair' FROM v_qa""
   'Question: ', question, chr(10), 'Answer: ', ground_truth_answer, chr(10), 'Source Passage: ', source_passage, chr(10), 'Question Type: ', question_type, chr(10)), chr(10) ORDER BY qa_index) AS qa_pairs_text
 FROM v_batch GROUP BY 1"""),
     "verify_join": src.with_ctes(*JUDGED, body="SELECT ord, batch_id, qa_index, is_faithful, is_answerable, confidence, copy FROM v_judged"),
+    "verify_rejects": src.with_ctes(*JUDGED, body="""SELECT coalesce(b.batch_id, r.batch_id) AS batch_id, coalesce(b.qa_index, r.qa_index) AS qa_index, b.ord, r.copy,
+  CASE WHEN r.batch_id IS NULL THEN 'without verdict' WHEN b.ord IS NULL THEN 'out of range' WHEN r.turn > 1 THEN 'repeated' ELSE 'matched' END AS outcome
+FROM v_batch b FULL JOIN (SELECT *, row_number() OVER (PARTITION BY batch_id, qa_index ORDER BY copy) AS turn FROM v_rows) r
+  ON r.batch_id = b.batch_id AND r.qa_index = b.qa_index"""),
     "verify_accept": src.with_ctes(*JUDGED, body="SELECT ord, copy, confidence FROM v_judged WHERE is_faithful AND is_answerable"),
     "verified_projection": src.with_ctes(*JUDGED, body="""SELECT ord, question, ground_truth_answer, source_passage, question_type, difficulty_estimate, section,
   coalesce(nullif(confidence, 0.0), 1.0) AS confidence_score, reasoning_steps FROM v_judged WHERE is_faithful AND is_answerable"""),

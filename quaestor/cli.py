@@ -33,6 +33,7 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--provider-tasks", type=int, default=1)
         sub.add_argument("--request-waves", type=int, default=1, help="parts in which requests are sent and stored")
         sub.add_argument("--single-file", action="store_true", help="one file per output")
+        sub.add_argument("--plain-sentences", action="store_true", help="end sentences at every end mark, learn nothing from the filings")
         if name == "supplement":
             sub.add_argument("--earlier-stages", required=True)
     sub = commands.add_parser("cleanup")
@@ -42,6 +43,7 @@ def _parser() -> argparse.ArgumentParser:
     sub = commands.add_parser("score")
     sub.add_argument("--predictions", required=True)
     sub.add_argument("--dataset", default=f"{defaults.dataset_dir}/qa_pairs.csv")
+    sub.add_argument("--infer-types", action="store_true", help="read predicted answers by the type that their whole column has")
     return parser
 
 
@@ -50,7 +52,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session()
     if args.command == "score":
         print("Matched %d / %d" % mt.match_counts(spark, args.dataset, args.predictions))
-        print(mt.format_scores(mt.score_files(spark, args.dataset, args.predictions)))
+        print(mt.format_scores(mt.score_files(spark, args.dataset, args.predictions, args.infer_types)))
         return
     if args.command == "cleanup":
         print(mt.cleanup_dataset(spark, args.dataset, args.output, args.stages))
@@ -58,7 +60,7 @@ def main(argv: list[str] | None = None) -> None:
     options = Options(cik=args.cik, min_qa_pairs=args.min_pairs)
     provider = OfflineProvider if args.offline else lambda: provider_from_env(options)
     run = bd.Run(args.stages, args.output, provider, options, args.resume,
-                 None if args.offline else args.provider_tasks, args.request_waves, args.single_file)
+                 None if args.offline else args.provider_tasks, args.request_waves, args.single_file, not args.plain_sentences)
     if args.filings:
         filings = fl.read_filings(spark, args.filings)
     else:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quaestor.functions import text as tx
 from quaestor.functions.binding import bind
+from quaestor.operators.borders import Borders, with_sentences
 from quaestor.options import Options
 
 PIECE = "array<struct<lo:int,hi:int,start_char:int,end_char:int>>"
@@ -69,18 +70,24 @@ def _pack(lengths: Column, text_length: Column, size: int, overlap_tokens: int)
     return F.aggregate(lengths, zero, step, finish)
 
 
-def chunk_sections(sections: DataFrame, options: Options = Options()) -> DataFrame:
+def _with_sentences(texts: DataFrame, text: str, borders: Borders | None) -> DataFrame:
+    """Arrays ``_sentences`` and ``_gaps``, by learned borders or by the plain pattern."""
+    if borders is not None:
+        return with_sentences(texts, borders, text, "_sentences", "_gaps")
+    return texts.withColumns({"_sentences": tx.split_sentences(F.col(text)), "_gaps": tx.sentence_gaps(F.col(text))})
+
+
+def chunk_sections(sections: DataFrame, options: Options = Options(), borders: Borders | None = None) -> DataFrame:
     """Overlapping chunks of whole sentences; short chunks are dropped before numbering.
 
-    Other columns of a section are repeated on its chunks.
+    Sentences end where ``borders`` (see :mod:`quaestor.operators.borders`) has
+    learned, or at every end mark before white space. Other columns of a section are repeated on its chunks.
 
     A chunk's text joins its sentences with one space, so it can differ from
     the text between its offsets.
     """
     text = F.col("full_text")
-    split = (sections
-             .withColumn("_sentences", tx.split_sentences(text))
-             .withColumn("_gaps", tx.sentence_gaps(text)))
+    split = _with_sentences(sections, "full_text", borders)
     lengths = F.transform("_sentences", lambda s, i: F.struct(
         tx.estimate_tokens(s).alias("tokens"), F.length(s).alias("chars"),
         (F.length(s) + F.coalesce(F.length(F.get(F.col("_gaps"), i)), F.lit(0))).alias("reach")))
@@ -97,9 +104,9 @@ def chunk_sections(sections: DataFrame, options: Options = Options()) -> DataFra
             .select(*kept, "chunk_index", "_c.text", "_c.start_char", "_c.end_char"))
 
 
-def sentences(texts: DataFrame, text_col: str = "full_text") -> DataFrame:
+def sentences(texts: DataFrame, text_col: str = "full_text", borders: Borders | None = None) -> DataFrame:
     """One row per sentence."""
-    return texts.select("doc_id", F.posexplode(tx.split_sentences(F.col(text_col))).alias("pos", "sentence"))
+    return _with_sentences(texts, text_col, borders).select("doc_id", F.posexplode("_sentences").alias("pos", "sentence"))
 
 
 def chunk_stats(chunks: DataFrame) -> DataFrame:

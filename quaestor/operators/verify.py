@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from quaestor.functions import text as tx
 from quaestor.operators.ordinals import batch_of, with_ordinal
@@ -32,6 +32,14 @@ def batch_texts(batched: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
                     F.array_join(F.transform("_blocks", lambda b: b["block"]), "\n").alias("qa_pairs_text")))
 
 
+def _wrapped(batched: DataFrame, verdicts: DataFrame, scope: Sequence[str]) -> DataFrame:
+    """Verdicts with indices below zero counted from the end of their batch."""
+    keys = [*scope, "batch_id"]
+    sizes = batched.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    index = F.when((F.col("qa_index") < 0) & F.col("_size").isNotNull(), F.col("qa_index") + F.col("_size")).otherwise(F.col("qa_index"))
+    return verdicts.join(sizes, keys, "left").withColumn("qa_index", index.cast("int")).drop("_size")
+
+
 def join_verdicts(batched: DataFrame, verdicts: DataFrame, scope: Sequence[str] = (),
                   wrap_negative: bool = False) -> DataFrame:
     """Attach verdicts by batch and index.
@@ -40,13 +48,29 @@ def join_verdicts(batched: DataFrame, verdicts: DataFrame, scope: Sequence[str]
     pairs without a verdict drop out. With ``wrap_negative`` an index below
     zero counts from the end of its batch.
     """
-    keys = [*scope, "batch_id"]
     if wrap_negative:
-        sizes = batched.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-        verdicts = (verdicts.join(sizes, keys)
-                    .withColumn("qa_index", F.when(F.col("qa_index") < 0, F.col("qa_index") + F.col("_size"))
-                                .otherwise(F.col("qa_index")).cast("int")).drop("_size"))
-    return batched.join(verdicts, [*keys, "qa_index"], "inner")
+        verdicts = _wrapped(batched, verdicts, scope)
+    return batched.join(verdicts, [*scope, "batch_id", "qa_index"], "inner")
+
+
+def verdict_audit(batched: DataFrame, verdicts: DataFrame, scope: Sequence[str] = (), wrap_negative: bool = False,
+                  order_by: Sequence[str] = ()) -> DataFrame:
+    """Every verdict and every pair once, with what has become of it as ``outcome``.
+
+    ``matched`` is the first verdict on a pair (in the order of ``order_by``),
+    ``repeated`` a further one, ``out of range`` a verdict without a pair, and
+    ``without verdict`` a pair without one. Verdicts of one batch are few, so
+    a window over batch and index stays small.
+    """
+    keys = [*scope, "batch_id", "qa_index"]
+    if wrap_negative:
+        verdicts = _wrapped(batched, verdicts, scope)
+    same = Window.partitionBy(*keys).orderBy(*order_by) if order_by else Window.partitionBy(*keys).orderBy(F.lit(1))
+    told = verdicts.withColumn("_turn", F.row_number().over(same))
+    pairs = batched.withColumn("_pair", F.lit(True))
+    outcome = (F.when(F.col("_turn").isNull(), "without verdict").when(F.col("_pair").isNull(), "out of range")
+               .when(F.col("_turn") > 1, "repeated").otherwise("matched"))
+    return pairs.join(told, keys, "full_outer").withColumn("outcome", outcome).drop("_turn", "_pair")
 
 
 def accepted(judged: DataFrame) -> DataFrame:
@@ -65,6 +89,13 @@ def rejected(judged: DataFrame, length: int = Options().question_preview) -> Dat
             .withColumn("question_preview", tx.preview(F.col("question"), length)))
 
 
+def rejects(judged: DataFrame, audit: DataFrame, length: int = Options().question_preview) -> DataFrame:
+    """The reject table of a run: rejected pairs, and what the audit could not match, with its outcome as the reason."""
+    unmatched = (audit.where(F.col("outcome") != "matched").withColumnRenamed("outcome", "reasons")
+                 .withColumn("question_preview", tx.preview(F.col("question"), length)))
+    return rejected(judged, length).unionByName(unmatched, allowMissingColumns=True)
+
+
 def rejection_reasons(judged: DataFrame) -> DataFrame:
     return rejected(judged).groupBy("reasons").agg(F.count(F.lit(1)).alias("count"))
 

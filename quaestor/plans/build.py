@@ -16,8 +16,10 @@ from quaestor.operators import report as rp
 from quaestor.operators import sections as se
 from quaestor.operators import supplement as su
 from quaestor.operators import verify as vf
+from quaestor.operators.borders import train
 from quaestor.operators.ordinals import with_ordinal
 from quaestor.options import Options
+from quaestor.session import pin
 from quaestor.sources import datasets as ds
 from quaestor.sources import filings as fl
 from quaestor.sources import stages as st
@@ -39,16 +41,25 @@ class Run:
     provider_tasks: int | None = None
     waves: int = 1  # parts in which requests are sent and stored
     single_file: bool = False
+    trained_sentences: bool = True  # learn abbreviations and sentence starters from the filings
 
     @property
     def outputs(self) -> tuple[str, str]:
         return f"{self.output_dir}/qa_pairs.csv", f"{self.output_dir}/qa_pairs.jsonl"
 
 
-def filing_chunks(html_filings: DataFrame, options: Options = Options()) -> DataFrame:
-    """Chunks of every section of every filing, without a shuffle."""
+def filing_chunks(html_filings: DataFrame, options: Options = Options(), trained: bool = False) -> DataFrame:
+    """Chunks of every section of every filing, without a shuffle.
+
+    With ``trained``, sentences end where the sections of all filings together
+    teach (see :mod:`quaestor.operators.borders`); sections are stored then.
+    """
     texts = fl.filing_texts(html_filings).select("doc_id", "full_text")
-    return ch.chunk_sections(se.split_sections(texts, options.min_section_chars), options)
+    sections = se.split_sections(texts, options.min_section_chars)
+    if not trained:
+        return ch.chunk_sections(sections, options)
+    sections = pin(sections, "sections")
+    return ch.chunk_sections(sections, options, train(sections, "full_text"))
 
 
 def _in_waves(spark: SparkSession, run: Run, rows: DataFrame, keys: list[str], stage: str,
@@ -78,7 +89,8 @@ def _verify(spark: SparkSession, run: Run, pairs: DataFrame, stage: str) -> Data
         rows, run.provider, ["doc_id"], run.options, run.provider_tasks))
     verdicts = ge.explode_verification(answers, "doc_id").drop("reasoning")
     judged = vf.join_verdicts(batched, verdicts, ["doc_id"], wrap_negative=True)
-    st.run_stage(spark, run.stage_dir, "rejected", lambda: vf.rejected(judged, run.options.question_preview), run.resume)
+    audit = vf.verdict_audit(batched, verdicts, ["doc_id"], wrap_negative=True)
+    st.run_stage(spark, run.stage_dir, "rejected", lambda: vf.rejects(judged, audit, run.options.question_preview), run.resume)
     return st.run_stage(spark, run.stage_dir, stage, lambda: vf.accepted(judged), run.resume)
 
 
@@ -121,7 +133,7 @@ def write_text(spark: SparkSession, text: str, path: str) -> None:
 def build_dataset(spark: SparkSession, html_filings: DataFrame, run: Run, scope: str | None = "doc_id") -> dict:
     ds.check_target(spark, *run.outputs, resume=run.resume)
     started = time.time()
-    chunks = filing_chunks(html_filings, run.options)
+    chunks = filing_chunks(html_filings, run.options, run.trained_sentences)
     pairs = _generate(spark, run, chunks, "generation")
     verified = _verify(spark, run, pairs, "verification")
     return _finish(spark, run, pairs, verified, started, _requests(spark, run, "generation", "verification"), scope)
@@ -134,7 +146,7 @@ def supplement_dataset(spark: SparkSession, html_filings: DataFrame, run: Run, e
     """
     ds.check_target(spark, *run.outputs, resume=run.resume)
     started = time.time()
-    chunks = filing_chunks(html_filings, run.options)
+    chunks = filing_chunks(html_filings, run.options, run.trained_sentences)
     existing = st.load_stage(spark, earlier_stages, "generation")
     if existing is None:
         pairs = _generate(spark, run, chunks, "generation")
