@@ -98,6 +98,18 @@ def csv_roundtrip(spark, sf_dir):
     return ds.read_csv(spark, path, QA_STORED)
 
 
+def csv_inferred(spark, sf_dir):
+    """Orders as a file of texts: whole numbers, floats, blanks, mixed cells, truth values, and nothing at all."""
+    key, path = F.col("o_orderkey"), scratch_path(spark, "csv")
+    price = F.col("o_totalprice").cast("decimal(15,2)").cast("string")
+    ds.write_csv(src.table(spark, sf_dir, "orders").select(
+        key.cast("string").alias("whole"), price.alias("price"), F.when(key % 7 != 0, key.cast("string")).otherwise("NA").alias("gaps"),
+        F.when(key % 9 == 0, F.concat(F.lit("about "), price)).otherwise(price).alias("mixed"), (key % 2 == 0).cast("string").alias("truth"),
+        F.when(key % 5 == 0, F.lit("")).otherwise((key % 2 == 0).cast("string")).alias("truth_gaps"), F.lit("").alias("nothing"),
+        F.concat(key.cast("string"), F.lit("000000000000000000")).alias("long_number"), F.concat((key % 90).cast("string"), F.lit("e2")).alias("power")), path)
+    return ds.read_csv_inferred(spark, path)
+
+
 def jsonl_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "jsonl")
     ds.write_jsonl(src.qa_pairs(spark, sf_dir).select(*QA_COLS), path)
@@ -119,7 +131,7 @@ QUERIES = {
     "cik_pad": cik_pad, "edgar_latest_filing": edgar_latest_filing, "cache_filename": cache_filename,
     "html_extract_text": html_extract_text, "table_to_markdown": table_to_markdown, "rate_window": rate_window,
     "rate_window_per_client": rate_window_per_client, "retryable_error": retryable_error,
-    "backoff_schedule": backoff_schedule, "csv_roundtrip": csv_roundtrip, "jsonl_roundtrip": jsonl_roundtrip,
+    "backoff_schedule": backoff_schedule, "csv_roundtrip": csv_roundtrip, "csv_inferred": csv_inferred, "jsonl_roundtrip": jsonl_roundtrip,
     "checkpoint_resume": checkpoint_resume,
 }
 
@@ -158,5 +170,10 @@ ORACLE = {
     "retryable_error": r"""SELECT event_id, regexp_matches(e, '429|500|503|rate_limit|overloaded|timeout') AS openrouter, regexp_matches(e, '429|500|503|RESOURCE_EXHAUSTED') AS gemini
 FROM (SELECT event_id, 'HTTP ' || (CAST(regexp_extract(props, '"k": ?(\d+)', 1) AS INTEGER) + 420) || ' ' || event_type AS e FROM events)""",
     "backoff_schedule": "SELECT event_id, CAST(10 * pow(2, user_id % 3) AS INTEGER) AS delay FROM events",
+    "csv_inferred": """SELECT o_orderkey AS whole, CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS DOUBLE) AS price,
+  CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderkey AS DOUBLE) END AS gaps,
+  CASE WHEN o_orderkey % 9 = 0 THEN 'about ' ELSE '' END || CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS mixed, o_orderkey % 2 = 0 AS truth,
+  CASE WHEN o_orderkey % 5 <> 0 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END END AS truth_gaps, CAST(NULL AS DOUBLE) AS nothing,
+  o_orderkey || '000000000000000000' AS long_number, CAST(o_orderkey % 90 * 100 AS DOUBLE) AS power FROM orders""",
     "csv_roundtrip": _QA_ALL, "jsonl_roundtrip": _QA_ALL, "checkpoint_resume": _QA_ALL,
 }

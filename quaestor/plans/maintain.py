@@ -29,9 +29,9 @@ def cleanup_dataset(spark: SparkSession, source: str, target: str, stage_dir: st
     return {"rows": size, **cl.cleanup_counters(cleaned).first().asDict()}
 
 
-def score_files(spark: SparkSession, dataset: str, predictions: str) -> DataFrame:
-    """All levels of scores for a dataset and a predictions file."""
-    return ev.all_levels(ev.collapsed_scores(ds.read_qa_pairs(spark, dataset), ds.read_predictions(spark, predictions)))
+def score_files(spark: SparkSession, dataset: str, predictions: str, infer: bool = False) -> DataFrame:
+    """All levels of scores for a dataset and a predictions file; ``infer`` reads predicted answers by the type of their column."""
+    return ev.all_levels(ev.collapsed_scores(ds.read_qa_pairs(spark, dataset), ds.read_predictions(spark, predictions, infer)))
 
 
 def match_counts(spark: SparkSession, dataset: str, predictions: str) -> tuple[int, int]:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from quaestor.schemas import PREDICTIONS, QA_PAIRS
 from quaestor.sources.filings import path_exists
@@ -33,12 +34,79 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, na_values=NA_
     return raw.select(*[cell(f) for f in schema.fields])
 
 
+# Cells that make a column of truth values.
+TRUE_CELLS, FALSE_CELLS = ("True", "TRUE", "true"), ("False", "FALSE", "false")
+WHOLE_CELL = r"^[ \t]*[+-]?[0-9]+[ \t]*$"
+NUMBER_CELL = r"(?i)^[ \t]*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity)[ \t]*$"
+
+
+def infer_types(raw: DataFrame, na_values=NA_VALUES) -> T.StructType:
+    """The narrowest type that all cells of each text column allow, from one aggregate over the table.
+
+    Whole numbers of 64 bits without missing cells are ``bigint``; numbers
+    are ``double``, also whole ones beside missing cells and columns without
+    any value; truth values without missing cells are ``boolean``; all else is
+    ``string``. Types form a lattice (nothing, whole, number, text), so
+    tables in any number of parts and orders give the same answer.
+    """
+    def facts(name: str) -> list[Column]:
+        text = F.col(f"`{name}`")
+        cell = F.when(~text.isin(*na_values), text)
+        digits = F.trim(cell)
+        whole = cell.rlike(WHOLE_CELL)
+        fits = whole & digits.try_cast("bigint").isNotNull()
+        number = cell.rlike(NUMBER_CELL) & (~whole | fits)
+        return [F.struct(F.count_if(cell.isNull()), F.count_if(cell.isNotNull()), F.count_if(fits), F.count_if(number),
+                         F.count_if(cell.isin(*TRUE_CELLS, *FALSE_CELLS))).alias(name)]
+
+    def kind(missing: int, cells: int, whole: int, numbers: int, truths: int) -> T.DataType:
+        if numbers == cells:
+            return T.LongType() if whole == cells and cells and not missing else T.DoubleType()
+        return T.BooleanType() if truths == cells and not missing else T.StringType()
+
+    row = raw.agg(*[c for name in raw.columns for c in facts(name)]).first()
+    return T.StructType([T.StructField(name, kind(*counts)) for name, counts in zip(raw.columns, row, strict=True)])
+
+
+def read_csv_inferred(spark: SparkSession, path: str, na_values=NA_VALUES) -> DataFrame:
+    """All columns of the file, with the types that its cells allow; see :func:`infer_types`."""
+    raw = spark.read.options(**_CSV, **_KEEP, inferSchema=False).csv(path)
+
+    def cell(field: T.StructField) -> Column:
+        text = F.col(f"`{field.name}`")
+        known = F.when(~text.isin(*na_values), text)
+        if isinstance(field.dataType, T.StringType):
+            return known.alias(field.name)
+        return F.trim(F.translate(known, "\t", " ")).cast(field.dataType).alias(field.name)
+    return raw.select(*[cell(f) for f in infer_types(raw, na_values).fields])
+
+
+def as_printed(df: DataFrame) -> DataFrame:
+    """All columns as texts: whole numbers plainly, other numbers with at least one decimal, truth values as words."""
+    @F.arrow_udf("string")
+    def number(values: pa.Array) -> pa.Array:
+        return pa.array([None if v is None else str(v) for v in values.to_pylist()], pa.string())
+
+    def text(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.DoubleType):
+            return number(value).alias(field.name)
+        if isinstance(field.dataType, T.BooleanType):
+            return F.initcap(value.cast("string")).alias(field.name)
+        return value.cast("string").alias(field.name)
+    return df.select(*[text(f) for f in df.schema.fields])
+
+
 def read_qa_pairs(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, QA_PAIRS)
 
 
-def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, PREDICTIONS)
+def read_predictions(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
+    """Predicted answers as their cells read, or with ``infer`` as the inferred type of their column prints."""
+    if not infer:
+        return read_csv(spark, path, PREDICTIONS)
+    printed = as_printed(read_csv_inferred(spark, path))
+    return printed.select(*[F.col(c) if c in printed.columns else F.lit(None).cast("string").alias(c) for c in PREDICTIONS.names])
 
 
 def check_target(spark: SparkSession, *paths: str, resume: bool = False) -> None:
