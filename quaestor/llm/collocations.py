@@ -33,6 +33,7 @@ LONGEST, LEAST, BEST = 5, 100, 2000
 UNKNOWN_LANG = "und"
 FILTER_BITS = 1 << 25  # size of the bit filter of one length
 HELD = 1 << 21  # hashes that a task gathers before it sums them up
+SPLITS = 8  # splits of the texts that one task counts together at most
 
 BREAK = np.zeros(256, bool)
 BREAK[[ord(c) for c in ".,;:!?\n\v\f\r"]] = True
@@ -196,11 +197,22 @@ def _filter(counts: DataFrame, least: int, bits: int) -> np.ndarray:
     return filled
 
 
+def _gathered(texts: DataFrame) -> DataFrame:
+    """Up to ``SPLITS`` splits of the texts in one task, as long as all cores have one.
+
+    Every task puts out each of its phrases once, so what is counted together
+    is shuffled once. Nothing moves: splits are read one after the other.
+    """
+    splits = texts.rdd.getNumPartitions()
+    tasks = max(texts.sparkSession.sparkContext.defaultParallelism, -(-splits // SPLITS))
+    return texts.coalesce(tasks) if tasks < splits else texts
+
+
 def frequent_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", longest: int = LONGEST, least: int = LEAST,
                      bits: int = FILTER_BITS) -> DataFrame:
     """``lang, words, a``, pinned: all phrases of up to ``longest`` words with ``a >= least`` occurrences, and per language
     a row without words for the number of all words."""
-    given = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
+    given = _gathered(docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")))
     filters: list[np.ndarray] = []
     for size in range(1, longest + 1):
         known = list(filters)
