@@ -29,11 +29,13 @@ Order values of any size work: nodes are numbered within their scope first.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quaestor.operators import tfidf
+from quaestor.operators.components import components
 from quaestor.operators.ordinals import with_ordinal
 from quaestor.options import Options
 from quaestor.schemas import DIFFICULTY_RANK
@@ -102,16 +104,35 @@ def _candidates(left: DataFrame, right: DataFrame, ranks: Column, threshold: flo
                    F.greatest(F.min("tail_i"), F.min("tail_j")).alias("_tail"),
                    F.greatest(F.max("end_tail_i"), F.max("end_tail_j")).alias("_end")))
     return (summed.where(F.col("_part_sum") + F.col("_tail") * F.col("_end") > threshold - 1e-9)
-            .select("scope", F.col("node_i").alias("i"), F.col("node_j").alias("j"), "text_id_i", "text_id_j"))
+            .select("scope", F.col("node_i").alias("i"), F.col("node_j").alias("j"), "text_id_i", "text_id_j", "_part_sum"))
 
 
-def _similar(candidates: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
+def _bounded(candidates: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+    """Candidates that the norms of both sides still allow, block by block of the vocabulary.
+
+    All terms that both have behind the end of the shorter prefix (in the
+    common order) lie in that text's rest, those before it are summed already.
+    In each block of terms the product of the rest's norm and the other text's
+    whole norm bounds what is left (Cauchy-Schwarz), and most candidates end
+    here, with a few hundred bytes looked up instead of two vectors.
+    """
+    pairs = candidates
+    for side in ("i", "j"):
+        pairs = pairs.join(sketches.select("scope", F.col("text_id").alias(f"text_id_{side}"),
+                                           *[F.col(c).alias(f"{c}_{side}") for c in ("end", "rest", "full")]), ["scope", f"text_id_{side}"])
+    first = F.col("end_i") <= F.col("end_j")
+    rest, full = F.when(first, F.col("rest_i")).otherwise(F.col("rest_j")), F.when(first, F.col("full_j")).otherwise(F.col("full_i"))
+    left = F.aggregate(F.zip_with(rest, full, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+    return pairs.where(F.col("_part_sum") + left > threshold - 1e-6).select("scope", "i", "j", "text_id_i", "text_id_j")
+
+
+def _similar(candidates: DataFrame, vectors: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
     """Pairs whose full inner product exceeds the threshold.
 
     A text has one vector, so a text of very many pairs leaves one side of
     each lookup to be split by adaptive execution.
     """
-    pairs = _pin(candidates, "candidates")
+    pairs = _pin(_bounded(candidates, sketches, threshold), "candidates")
     left = vectors.select("scope", F.col("text_id").alias("text_id_i"), F.col("vec").alias("_vi"))
     right = vectors.select("scope", F.col("text_id").alias("text_id_j"), F.col("vec").alias("_vj"))
     scored = (pairs.join(left, ["scope", "text_id_i"]).join(right, ["scope", "text_id_j"])
@@ -137,51 +158,102 @@ def _fold(edges: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"scope": edges["scope"].iloc[0], "node": [*roots, *gone], "root": [True] * len(roots) + [False] * len(gone)})
 
 
+def _informed_ends(edges: DataFrame, informed: DataFrame) -> DataFrame:
+    """Edges with flags of the ends that know everything ahead of them."""
+    knows = informed.withColumn("_informed", F.lit(True))
+    return (edges.join(knows.withColumnsRenamed({"node": "i", "_informed": "i_informed"}), ["scope", "i"], "left")
+            .join(knows.withColumnsRenamed({"node": "j", "_informed": "j_informed"}), ["scope", "j"], "left")
+            .fillna(False, ["i_informed", "j_informed"]))
+
+
+def _folded(flagged: DataFrame, label: str) -> DataFrame:
+    """``scope, node, root`` of the decided nodes of each part, one pass over its edges."""
+    kind = flagged.schema["i"].dataType.simpleString()
+    return _pin(flagged.groupBy("scope", "part").applyInPandas(_fold, f"scope string, node {kind}, root boolean"), label)
+
+
 def _settle(edges: DataFrame, informed: DataFrame, fold: int = FOLD) -> tuple[DataFrame, DataFrame]:
     """Roots and removed nodes that follow from the edges of one round.
 
     An informed node without an open edge towards it is a root and removes
-    its targets; removed nodes release theirs. Scopes of at most ``fold``
-    edges are decided in one pass over them, whatever the length of their
-    chains; larger ones in steps over the whole table.
+    its targets; removed nodes release theirs. Edges are decided part by part,
+    each in one pass in order, whatever the length of its chains: a scope of
+    at most ``fold`` edges is one part, a larger one falls into its connected
+    components. Components beyond ``fold`` go on in :func:`_settle_giant`.
     """
-    knows = informed.withColumn("_informed", F.lit(True))
-    sizes = edges.groupBy("scope").agg((F.count(F.lit(1)) <= fold).alias("_small"))
-    flagged = (edges.join(sizes, "scope")
-               .join(knows.withColumnsRenamed({"node": "i", "_informed": "i_informed"}), ["scope", "i"], "left")
-               .join(knows.withColumnsRenamed({"node": "j", "_informed": "j_informed"}), ["scope", "j"], "left")
-               .fillna(False, ["i_informed", "j_informed"]))
-    flagged = _pin(flagged, "linked")
-    ends = flagged.select("scope", F.explode(F.array("i", "j")).alias("node")).distinct()
+    scopes = _pin(edges.groupBy("scope").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > fold).select("scope"), "large")
+    kind = edges.schema["i"].dataType
+    whole = edges.withColumn("part", F.lit(None).cast(kind))
+    giant = None
+    if scopes.isEmpty():
+        ready = whole
+    else:
+        wide = edges.join(scopes, "scope", "left_semi")
+        placed = _pin(wide.join(components(wide).withColumnRenamed("node", "i"), ["scope", "i"]), "parts")
+        heavy = placed.groupBy("scope", "part").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > fold).select("scope", "part")
+        giant = placed.join(heavy, ["scope", "part"], "left_semi")
+        ready = whole.join(scopes, "scope", "left_anti").unionByName(placed.join(heavy, ["scope", "part"], "left_anti"))
+    ends = edges.select("scope", F.explode(F.array("i", "j")).alias("node")).distinct()
     alone = informed.join(ends, NODE, "left_anti")
-    kind = edges.schema["i"].dataType.simpleString()
-    decided = _pin(flagged.where("_small").groupBy("scope").applyInPandas(_fold, f"scope string, node {kind}, root boolean"), "folded")
+    decided = _folded(_informed_ends(ready, informed), "folded")
     roots = alone.unionByName(decided.where("root").select(*NODE))
     dead = decided.where("NOT root").select(*NODE)
-    large = flagged.where("NOT _small").select("scope", "i", "j")
-    if large.isEmpty():
+    if giant is None or giant.isEmpty():
         return roots, dead
-    more, gone = _settle_in_steps(large, informed.join(ends, NODE, "left_semi").join(large.select("scope").distinct(), "scope", "left_semi"))
+    inside = giant.select("scope", F.explode(F.array("i", "j")).alias("node")).distinct()
+    more, gone = _settle_giant(giant, informed.join(inside, NODE, "left_semi"), fold)
     return roots.unionByName(more), dead.unionByName(gone)
 
 
-def _settle_in_steps(edges: DataFrame, informed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The same for scopes of any size; one step for each link of the longest chain."""
-    roots, dead = informed.limit(0), informed.limit(0)
+def _removed_by(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    return (edges.join(roots.withColumnRenamed("node", "i"), ["scope", "i"], "left_semi")
+            .select("scope", F.col("j").alias("node"), F.lit(False).alias("root")).distinct())
+
+
+def _settle_giant(edges: DataFrame, informed: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]:
+    """The same for components of any size, in rounds of two steps.
+
+    A set-wise step finds all nodes that nothing blocks and what they remove,
+    which is what large groups of near copies need. Then the first nodes of
+    each component, as many as have about ``fold`` edges towards them, are
+    decided in one pass: nothing behind them matters for them. So a round
+    takes a long chain forward by ``fold`` links.
+    """
+    shares = [2.0 ** -k for k in range(63)]
+    found = []
+
+    def without(decided: DataFrame, edges: DataFrame) -> DataFrame:
+        gone = decided.where("NOT root").select(*NODE)
+        return (edges.join(gone.withColumnRenamed("node", "i"), ["scope", "i"], "left_anti")
+                .join(gone.withColumnRenamed("node", "j"), ["scope", "j"], "left_anti"))
+
     while True:
-        blocked = edges.select("scope", F.col("j").alias("node"))
-        new_roots = _pin(informed.join(blocked, NODE, "left_anti"), "roots")
-        roots = roots.unionByName(new_roots)
-        hit = edges.join(new_roots.withColumnRenamed("node", "i"), ["scope", "i"], "left_semi")
-        new_dead = _pin(hit.select("scope", F.col("j").alias("node")).distinct(), "dead")
-        if new_dead.isEmpty():
-            return roots, dead
-        dead = dead.unionByName(new_dead)
-        informed = informed.join(new_roots, NODE, "left_anti").join(new_dead, NODE, "left_anti")
-        released = edges.join(new_dead.withColumnRenamed("node", "i"), ["scope", "i"], "left_anti")
-        edges = _pin(released.join(new_dead.withColumnRenamed("node", "j"), ["scope", "j"], "left_anti"), "edges")
+        clear = informed.join(edges.select("scope", F.col("j").alias("node")), NODE, "left_anti").withColumn("root", F.lit(True))
+        decided = _pin(clear.unionByName(_removed_by(edges, clear.select(*NODE))), "clear")
+        found.append(decided)
+        informed = informed.join(decided, NODE, "left_anti")
+        edges = _pin(without(decided, edges), "giant-edges")
         if edges.isEmpty():
-            return roots.unionByName(informed), dead
+            found.append(informed.withColumn("root", F.lit(True)))
+            break
+        sizes = edges.groupBy("scope", "part").agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("j", shares).alias("_cuts"))
+        step = F.greatest(F.lit(0), F.ceil(F.log2(F.col("_n") / max(fold, 1)))).cast("int")
+        ahead = edges.join(sizes.select("scope", "part", F.get("_cuts", step).alias("_cut")), ["scope", "part"]).where("j <= _cut")
+        counted = ahead.groupBy("scope", "part").agg(F.max("_cut").alias("_cut"), F.count(F.lit(1)).alias("_n"))
+        cuts = _pin(counted.where(F.col("_n") <= 2 * fold).select("scope", "part", "_cut"), "giant-cuts")
+        first = edges.join(cuts, ["scope", "part"]).where("j <= _cut").drop("_cut")
+        folded = _folded(_informed_ends(first, informed), "giant-folded")
+        # Targets ahead of the cut are decided or wait for a node that knows too little in this round.
+        informed = informed.join(first.select("scope", F.col("j").alias("node")), NODE, "left_anti")
+        behind = edges.join(cuts, ["scope", "part"], "left").where("_cut IS NULL OR j > _cut").drop("_cut")
+        passed = folded.unionByName(_removed_by(behind, folded.where("root").select(*NODE)))
+        found.append(passed)
+        informed = informed.join(passed, NODE, "left_anti")
+        edges = _pin(without(passed, behind), "giant-edges")
+        if cuts.isEmpty() and decided.isEmpty():
+            break
+    every = reduce(DataFrame.unionByName, found)
+    return every.where("root").select(*NODE), every.where("NOT root").select(*NODE)
 
 
 def _heads(entries: DataFrame, wanted: int) -> DataFrame:
@@ -200,7 +272,7 @@ def _heads(entries: DataFrame, wanted: int) -> DataFrame:
     return entries.join(cut, [*BUCKET, "part"]).where(F.col("place") <= F.col("_cut")).drop("_cut")
 
 
-def _find_roots(entries: DataFrame, vectors: DataFrame, threshold: float, heads: int, fold: int) -> DataFrame:
+def _find_roots(entries: DataFrame, vectors: DataFrame, sketches: DataFrame, threshold: float, heads: int, fold: int) -> DataFrame:
     """All roots, found in rounds over the undecided nodes.
 
     The heads double with every round, so a bucket of many dissimilar nodes
@@ -211,7 +283,7 @@ def _find_roots(entries: DataFrame, vectors: DataFrame, threshold: float, heads:
         # While nothing is decided, places say which entries are the first.
         head = open_entries.where(F.col("place") < heads) if before is None else _pin(_heads(open_entries, heads), "heads")
         pairs = _candidates(head, open_entries, F.col("rank_i") >= F.col("rank_j"), threshold)
-        edges = _pin(_similar(pairs, vectors, threshold), "edges")
+        edges = _pin(_similar(pairs, vectors, sketches, threshold), "edges")
         seen = head.groupBy(*NODE).agg(F.count(F.lit(1)).alias("_seen"), F.first("buckets").alias("_all"))
         informed = _pin(seen.where(F.col("_seen") == F.col("_all")).select(*NODE), "informed")
         new_roots, dead = ((informed, informed.limit(0)) if edges.isEmpty()
@@ -246,6 +318,7 @@ def resolve(df: DataFrame, order: str = "ord", text: str = "question", difficult
     vocab = _pin(tfidf.vocabulary(counts, options.max_features), "vocabulary")
     weights = _pin(tfidf.weights(texts, counts, vocab), "weights")
     vectors = _pin(tfidf.vectors(weights), "vectors")
+    sketches = _pin(tfidf.sketches(weights, threshold), "sketches")
     index = tfidf.prefix_entries(weights, threshold)
     prefixes = index.groupBy("scope", "text_id").agg(F.count(F.lit(1)).alias("buckets"), F.min("tail").alias("end_tail"))
     nodes = (texts.join(prefixes, ["scope", "text_id"])
@@ -253,17 +326,17 @@ def resolve(df: DataFrame, order: str = "ord", text: str = "question", difficult
     nodes = _pin(with_ordinal(nodes, ["ord"], ["scope"], "node"), "nodes")
     placed = with_ordinal(nodes.drop("ord", "copies").join(index, ["scope", "text_id"]), ["node"], BUCKET, "place")
     entries = _pin(placed.withColumn("part", F.floor(F.col("place") / PART).cast("int")), "entries")
-    roots = _pin(_find_roots(entries, vectors, threshold, heads, fold), "roots")
+    roots = _pin(_find_roots(entries, vectors, sketches, threshold, heads, fold), "roots")
 
     flagged = _pin(entries.join(roots.withColumn("is_root", F.lit(True)), NODE, "left"), "flagged")
     root_entries = flagged.where("is_root")
     falling = _candidates(root_entries, flagged, F.col("rank_i") < F.col("rank_j"), threshold)
-    risen = _pin(_similar(falling, vectors, threshold), "risen")
+    risen = _pin(_similar(falling, vectors, sketches, threshold), "risen")
     removed = flagged.where("is_root IS NULL")
     if not all_removals:
         removed = _pin(removed.join(risen.select("scope", F.col("j").alias("node")), NODE, "left_semi"), "removed")
     removing = _candidates(root_entries, removed, F.col("rank_i") >= F.col("rank_j"), threshold)
-    removers = _similar(removing, vectors, threshold)
+    removers = _similar(removing, vectors, sketches, threshold)
     first = _pin(removers.groupBy("scope", "j").agg(
         F.min(F.struct("i", "similarity")).alias("_f")).select("scope", "_f.i", "j", "_f.similarity"), "removals")
     blockers = first.select("scope", "j", F.col("i").alias("_remover"))

@@ -13,6 +13,8 @@ from quaestor.functions import text as tx
 from quaestor.functions.binding import bind
 from quaestor.session import pin
 
+BLOCKS = 64  # blocks of the vocabulary that a text's norms are kept for
+
 # English stop words, dropped ahead of the two-word terms.
 STOP_WORDS = tuple("""
 a about above across after afterwards again against all almost alone along already also although always am among
@@ -120,6 +122,29 @@ def dot(left: Column, right: Column) -> Column:
     return F.aggregate(F.map_values(products), F.lit(0.0), lambda acc, v: acc + F.coalesce(v, F.lit(0.0)))
 
 
+def _in_prefix(threshold: float) -> Column:
+    return F.col("mass") - F.col("w") * F.col("w") < 1.0 - threshold * threshold + 1e-9
+
+
+def sketches(entries: DataFrame, threshold: float, blocks: int = BLOCKS) -> DataFrame:
+    """``scope, text_id, end, full, rest`` of every text, for bounds on inner products.
+
+    The vocabulary is dealt out to ``blocks``. ``full`` has the norm of the
+    text in each block, ``rest`` that of its terms behind its prefix, and
+    ``end`` is the place of the prefix's last term in the common order.
+    """
+    prefix, square = _in_prefix(threshold), F.col("w") * F.col("w")
+    parts = entries.groupBy("scope", "text_id", F.pmod("term_id", F.lit(blocks)).cast("int").alias("_b")).agg(
+        F.sum(square).alias("_full"), F.sum(F.when(~prefix, square).otherwise(0.0)).alias("_rest"),
+        F.max(F.when(prefix, F.struct("df", "term_id"))).alias("_end"))
+    found = parts.groupBy("scope", "text_id").agg(
+        F.max("_end").alias("end"), F.map_from_entries(F.collect_list(F.struct("_b", F.struct("_full", "_rest")))).alias("_m"))
+
+    def norms(name: str) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda b: F.sqrt(F.coalesce(F.try_element_at("_m", b)[name], F.lit(0.0))))
+    return found.select("scope", "text_id", "end", norms("_full").cast("array<float>").alias("full"), norms("_rest").cast("array<float>").alias("rest"))
+
+
 def prefix_entries(entries: DataFrame, threshold: float) -> DataFrame:
     """Index entries ``(scope, term_id, text_id, w, tail)`` of every vector's rarest terms.
 
@@ -128,7 +153,6 @@ def prefix_entries(entries: DataFrame, threshold: float) -> DataFrame:
     of its vector's mass (with the same term order everywhere). ``tail`` is
     the norm of what follows an entry.
     """
-    need = 1.0 - threshold * threshold + 1e-9
     tail = F.sqrt(F.greatest(F.lit(0.0), 1 - F.col("mass")))
-    return (entries.where(F.col("mass") - F.col("w") * F.col("w") < need)
+    return (entries.where(_in_prefix(threshold))
             .select("scope", "term_id", "text_id", "w", tail.alias("tail")))
