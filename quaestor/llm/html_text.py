@@ -36,8 +36,14 @@ NOISE_NAME = re.compile(
     r"menu|footer|masthead|site-header|page-header|widget|pagination|pager|skip-link|toolbar|login|signup)(?:$|[^a-z])")
 NOISE_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 
-TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|</[^>]*>", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+# A tag is read as browsers read it: quotes count only where a value begins, and one that never closes is part of a name.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
+_OTHER = r"<!--.*?(?:-->|\Z)|<[!?/][^>]*+>"
+START = re.compile(r"<[a-zA-Z/!?]")
+TAG = re.compile(rf"<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|=|[^\s/>=]++(?:\s*+=\s*+{_VALUE})?)*+)>|{_OTHER}", re.S)
+LOOSE_TAG = re.compile(rf"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|{_OTHER}", re.S)
+ATTRIBUTE = re.compile(r"""([^\s/>=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"'][^\s>]*+)))?""")
+TOLD = frozenset(("class", "id", "role", "hidden", "aria-hidden"))
 SPACE = re.compile(r"\s+")
 LONG_NUMBER = re.compile(r"&#[0-9]{9,};?")
 
@@ -48,8 +54,10 @@ def _noise(name: str, attributes: str, in_main: bool) -> bool:
     if name in NOISE and not (in_main and name == "header"):
         return True
     for key, *values in ATTRIBUTE.findall(attributes) if attributes else ():
-        value = next(filter(None, values), "").lower()
         key = key.lower()
+        if key not in TOLD:
+            continue
+        value = next(filter(None, values), "").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value in NOISE_ROLE:
             return True
         if key in ("class", "id") and name not in ("html", "body", "article", "main") and NOISE_NAME.search(value):
@@ -62,7 +70,9 @@ def blocks_of(html: str | None) -> list[str]:
 
     Text between block tags is one block; inline tags leave no mark. Unclosed
     elements end with the page, stray end tags are ignored, and an end tag
-    closes what is open inside. Character references are decoded, lone
+    closes what is open inside. If a page ends in the middle of quotes, tags
+    end at the next ``>`` from there on; a tag without any is cut off with the
+    page. The time taken is linear in the page. Character references are decoded, lone
     surrogates and nulls become U+FFFD, white space becomes one space.
     """
     html = html or ""
@@ -72,6 +82,7 @@ def blocks_of(html: str | None) -> list[str]:
     open_names: dict[str, int] = {}
     noise = main = 0
     at, end = 0, len(html)
+    tag, unclosed = TAG, set()
 
     def flush() -> None:
         if text:
@@ -82,13 +93,16 @@ def blocks_of(html: str | None) -> list[str]:
                 out.append((DROPPED if noise else ARTICLE if main else KEPT) + joined)
 
     while at < end:
-        m = TAG.search(html, at)
+        begin = START.search(html, at)
+        text.append(html[at:begin.start()] if begin else html[at:])
+        if not begin:
+            break
+        m = tag.match(html, begin.start())
+        if not m and tag is TAG:
+            tag = LOOSE_TAG
+            m = tag.match(html, begin.start())
         if not m:
-            tail = html[at:]
-            cut = re.search(r"<[a-zA-Z/!][^<]*$", tail)  # a tag that the page's end cuts off
-            text.append(tail[:cut.start()] if cut else tail)
             break
-        text.append(html[at:m.start()])
         at = m.end()
         if not m[2]:
             continue
@@ -111,7 +125,9 @@ def blocks_of(html: str | None) -> list[str]:
             continue
         if name in SKIPPED and name != "head":
             if not m[3].endswith("/"):
-                close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
+                close = None if name in unclosed else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
+                if not close:
+                    unclosed.add(name)
                 at = close.end() if close else end if name in RAW else at
             continue
         if name in BLOCK:

@@ -32,6 +32,22 @@ def test_blocks(html, want):
     assert text_of(html) == want
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<p>Don't <b title=x'>bold</b> it's</p>", "Don't bold it's"), ("<p data-x=it's>hello</p>", "hello"), ("<a href=x title=\"oops>link</a>", "link"),
+    ("<p title = 'a>b' class=ad>no</p><p data-y='class=ad'>yes</p>", "yes"), ("<p \"odd' =x>a</p>b", "a\nb"), ("<p title='a>b</p><i q=\"c>d", "b\nd"),
+    ("1 < 2 and <3 <b>x</b> </ >y<!doctype x>z<? q ?>", "1 < 2 and <3 x yz"), ("<p>a</p><p title='never", "a"), ("<svg>a<b>t</b>", "at")])
+def test_attributes(html, want):
+    assert text_of(html) == want
+
+
+@pytest.mark.parametrize("broken", ["<p title='", "<a \"", "<svg>", "<!", "<a b=\"'>", "</", "<p a='b\" c=\"d' ", "<a =", "<b x=\"> ' "])
+def test_linear_in_broken_tags(broken):
+    start = time.time()
+    blocks_of(broken * 100000)
+    blocks_of(broken * 100000 + ">")
+    assert time.time() - start < 10
+
+
 def test_linear_in_unclosed_elements():
     start = time.time()
     assert len(blocks_of("<div><span>x" * 100000)) == 100000
