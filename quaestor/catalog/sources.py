@@ -9,6 +9,7 @@ from quaestor.catalog.dataset import QA_COLS
 from quaestor.catalog.scoring import WS
 from quaestor.functions import edgar
 from quaestor.functions import text as tx
+from quaestor.operators import asof
 from quaestor.operators import html as hm
 from quaestor.operators import rates as ra
 from quaestor.schemas import QA_PAIRS
@@ -83,6 +84,16 @@ def _errors(spark, sf_dir):
     return src.table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("HTTP "), code.cast("string"), F.lit(" "), F.col("event_type")).alias("error"))
 
 
+def asof_orders(spark, sf_dir):
+    """The order in force at each event of its customer; orders are dealt over the month of the events by their keys."""
+    events = src.table(spark, sf_dir, "events").select("event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    orders = src.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("user_id"), "o_orderkey", "o_orderstatus", (
+        (F.lit(1704067200) + F.col("o_orderkey") * 7919 % 2592000) * 1000000).alias("since"))
+    found = asof.asof_join(events, orders, ["user_id"], "at", "since", ["o_orderkey"])
+    return found.select("event_id", "user_id", F.col("matched.o_orderkey").alias("order_key"), F.col("matched.o_orderstatus").alias("status"),
+                        (F.col("at") - F.col("matched.since")).alias("age"))
+
+
 def retryable_error(spark, sf_dir):
     return _errors(spark, sf_dir).select("event_id", tx.is_retryable(F.col("error"), "openrouter").alias("openrouter"),
                                          tx.is_retryable(F.col("error"), "gemini").alias("gemini"))
@@ -130,7 +141,7 @@ def checkpoint_resume(spark, sf_dir):
 QUERIES = {
     "cik_pad": cik_pad, "edgar_latest_filing": edgar_latest_filing, "cache_filename": cache_filename,
     "html_extract_text": html_extract_text, "table_to_markdown": table_to_markdown, "rate_window": rate_window,
-    "rate_window_per_client": rate_window_per_client, "retryable_error": retryable_error,
+    "rate_window_per_client": rate_window_per_client, "asof_orders": asof_orders, "retryable_error": retryable_error,
     "backoff_schedule": backoff_schedule, "csv_roundtrip": csv_roundtrip, "csv_inferred": csv_inferred, "jsonl_roundtrip": jsonl_roundtrip,
     "checkpoint_resume": checkpoint_resume,
 }
@@ -156,6 +167,9 @@ def _rate_sql(partition: str, micros: int) -> str:
 
 
 ORACLE = {
+    "asof_orders": """SELECT event_id, e.user_id, o_orderkey AS order_key, o_orderstatus AS status, epoch_us(ts) - since AS age
+FROM events e ASOF LEFT JOIN (SELECT o_custkey AS user_id, o_orderkey, o_orderstatus, (1704067200 + o_orderkey * 7919 % 2592000) * 1000000 AS since FROM orders) o
+  ON e.user_id = o.user_id AND epoch_us(e.ts) >= o.since""",
     "cik_pad": f"""SELECT o_orderkey, cik, {PAD.format('cik')} AS padded FROM (SELECT o_orderkey,
   CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN '000000' ELSE '12345678901' END || o_custkey AS cik FROM orders)""",
     "edgar_latest_filing": f"WITH {_HIT} SELECT o_orderkey, cik, name, accession, 'https://www.sec.gov/Archives/edgar/data/' || {PAD.format('cik')} || '/' || replace(accession, '-', '') || '/' || document AS url FROM v_found",
