@@ -8,6 +8,7 @@ from quaestor.catalog import inputs as src
 from quaestor.catalog import texts as tq
 from quaestor.catalog.scoring import CONFIDENCE_SQL
 from quaestor.functions import text as tx
+from quaestor.operators import batch_calls as bc
 from quaestor.operators import chunks as ch
 from quaestor.operators import cleanup as cl
 from quaestor.operators import generate as ge
@@ -103,6 +104,11 @@ def verify_batch_text(spark, sf_dir):
     return vf.batch_texts(_batched(spark, sf_dir))
 
 
+def verify_batch_calls(spark, sf_dir):
+    """The texts of verify_batch_text, put together by a table function with one partition per batch."""
+    return bc.call_batches(_batched(spark, sf_dir))
+
+
 def verify_join(spark, sf_dir):
     return _judged(spark, sf_dir).select("ord", "batch_id", "qa_index", "is_faithful", "is_answerable", "confidence", "copy")
 
@@ -225,7 +231,7 @@ QUERIES = {
     "length_stats": length_stats, "reasoning_coverage": reasoning_coverage, "report_samples": report_samples,
     "gen_distribution": gen_distribution, "distinct_sections": distinct_sections, "fake_calculation": fake_calculation,
     "fake_multi_step": fake_multi_step, "taxonomy_cleanup": taxonomy_cleanup, "cleanup_counters": cleanup_counters,
-    "verify_batches": verify_batches, "verify_batch_text": verify_batch_text, "verify_join": verify_join,
+    "verify_batches": verify_batches, "verify_batch_text": verify_batch_text, "verify_batch_calls": verify_batch_calls, "verify_join": verify_join,
     "verify_rejects": verify_rejects, "verify_accept": verify_accept, "verified_projection": verified_projection, "acceptance_rate": acceptance_rate,
     "rejection_reasons": rejection_reasons, "reject_preview": reject_preview, "missing_sections": missing_sections,
     "priority_topn": priority_topn, "missing_chunk_counts": missing_chunk_counts, "merge_supplement": merge_supplement,
@@ -323,3 +329,4 @@ FROM v_qa WHERE ord % 10 NOT IN (1, 2, 3, 4, 5, 6)"""),
     "parse_verification": src.with_ctes(src.QA_SQL, src.VERDICT_SQL, body="""SELECT ord, CAST(ord % 5 AS INTEGER) AS qa_index, is_faithful, is_answerable, confidence
 FROM v_verdict WHERE ord % 7 NOT IN (3, 4, 5)"""),
 }
+ORACLE["verify_batch_calls"] = ORACLE["verify_batch_text"]
