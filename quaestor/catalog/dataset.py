@@ -14,9 +14,12 @@ from quaestor.operators import cleanup as cl
 from quaestor.operators import generate as ge
 from quaestor.operators import report as rp
 from quaestor.operators import sections as se
+from quaestor.operators import summaries as sm
 from quaestor.operators import supplement as su
 from quaestor.operators import verify as vf
+from quaestor.session import pin
 
+QUANTILES = (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0)
 QA_COLS = ["ord", "question", "ground_truth_answer", "source_passage", "question_type", "difficulty_estimate",
            "section", "confidence_score", "reasoning_steps"]
 
@@ -44,6 +47,18 @@ def length_stats(spark, sf_dir):
     return stats.select(*[F.round(c, 6).alias(c) if c.endswith("avg") else F.col(c) for c in stats.columns])
 
 
+def length_quantiles(spark, sf_dir):
+    """Quantiles of text lengths per language from summaries per source, and whether their exact ranks are within bounds."""
+    docs = src.table(spark, sf_dir, "documents").select("lang", "source", "text")
+    stored = pin(sm.length_summaries(docs, "text", ["lang", "source"]), "summaries")
+    found = sm.quantiles(sm.merged(stored, ["lang"]), QUANTILES)
+    ranks = (docs.where("text IS NOT NULL").select("lang", F.length("text").alias("own")).groupBy("lang", "own").agg(F.count(F.lit(1)).alias("_c"))
+             .join(found.withColumnRenamed("lang", "_lang"), F.col("lang").eqNullSafe(F.col("_lang"))))
+    below, upto = (F.sum(F.when(c, F.col("_c")).otherwise(0)) / F.col("n") for c in (F.col("own") < F.col("length"), F.col("own") <= F.col("length")))
+    return ranks.groupBy("lang", "share", "n").agg(
+        ((below <= F.col("share") + sm.RANK_ERROR) & (upto >= F.col("share") - sm.RANK_ERROR)).alias("within_bounds"))
+
+
 def reasoning_coverage(spark, sf_dir):
     return rp.reasoning_coverage(src.qa_pairs(spark, sf_dir)).withColumn("pct", F.round("pct", 6))
 
@@ -228,7 +243,7 @@ def parse_verification(spark, sf_dir):
 
 QUERIES = {
     "dist_question_type": _dist("question_type"), "dist_section": _dist("section"), "dist_difficulty": dist_difficulty,
-    "length_stats": length_stats, "reasoning_coverage": reasoning_coverage, "report_samples": report_samples,
+    "length_stats": length_stats, "length_quantiles": length_quantiles, "reasoning_coverage": reasoning_coverage, "report_samples": report_samples,
     "gen_distribution": gen_distribution, "distinct_sections": distinct_sections, "fake_calculation": fake_calculation,
     "fake_multi_step": fake_multi_step, "taxonomy_cleanup": taxonomy_cleanup, "cleanup_counters": cleanup_counters,
     "verify_batches": verify_batches, "verify_batch_text": verify_batch_text, "verify_batch_calls": verify_batch_calls, "verify_join": verify_join,
@@ -329,4 +344,6 @@ FROM v_qa WHERE ord % 10 NOT IN (1, 2, 3, 4, 5, 6)"""),
     "parse_verification": src.with_ctes(src.QA_SQL, src.VERDICT_SQL, body="""SELECT ord, CAST(ord % 5 AS INTEGER) AS qa_index, is_faithful, is_answerable, confidence
 FROM v_verdict WHERE ord % 7 NOT IN (3, 4, 5)"""),
 }
+ORACLE["length_quantiles"] = f"""SELECT lang, share, count(*) AS n, true AS within_bounds
+FROM documents, (SELECT unnest([{', '.join(map(str, QUANTILES))}])::DOUBLE AS share) WHERE text IS NOT NULL GROUP BY 1, 2"""
 ORACLE["verify_batch_calls"] = ORACLE["verify_batch_text"]
