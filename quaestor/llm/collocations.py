@@ -32,7 +32,7 @@ from quaestor.session import use_checkpoints
 LONGEST, LEAST, BEST = 5, 100, 2000
 UNKNOWN_LANG = "und"
 FILTER_BITS = 1 << 25  # size of the bit filter of one length
-HELD = 1 << 21  # hashes that a task gathers before it sums them up
+HELD = 1 << 20  # hashes that a task gathers before it sums them up
 SPLITS = 8  # splits of the texts that one task counts together at most
 
 BREAK = np.zeros(256, bool)
@@ -155,7 +155,7 @@ def _count_phrases(batches: Iterator[pa.RecordBatch], filters: list[np.ndarray])
     totals: dict[str, int] = {}
 
     def out() -> pa.RecordBatch:
-        rows = [(lang, words, n) for (lang, *_), (n, words) in found.items()] + [(lang, [], n) for lang, n in totals.items()]
+        rows = [(lang, words.split(" "), n) for (lang, *_), (n, words) in found.items()] + [(lang, [], n) for lang, n in totals.items()]
         found.clear()
         totals.clear()
         return pa.record_batch({"lang": pa.array([r[0] for r in rows], pa.string()), "words": pa.array([r[1] for r in rows], pa.list_(pa.string())),
@@ -179,10 +179,10 @@ def _count_phrases(batches: Iterator[pa.RecordBatch], filters: list[np.ndarray])
                     key = (langs[doc[i]], size, int(hashes[i]), int(others[i]))
                     entry = found.get(key)
                     if entry is None:
-                        found[key] = [n, [raw[start[w]:end[w]].decode() for w in range(i, i + size)]]
+                        found[key] = [n, " ".join([raw[start[w]:end[w]].decode() for w in range(i, i + size)])]
                     else:
                         entry[0] += n
-            if len(found) > HELD // 4:
+            if len(found) > HELD // 2:
                 yield out()
     yield out()
 
