@@ -48,6 +48,7 @@ SPACE = re.compile(r"\s+")
 LONG_NUMBER = re.compile(r"&#[0-9]{9,};?")
 
 KEPT, ARTICLE, DROPPED = "k", "a", "d"
+RUNS = "host string, shard long, run long, n_pages long"
 
 
 def _noise(name: str, attributes: str, in_main: bool) -> bool:
@@ -257,22 +258,54 @@ def _blocks(pages: pa.Table) -> list[list[str]]:
     return [x.split("\n") if x else [] for x in pages["marked"].to_pylist()]
 
 
+def _own_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Main texts of pages of hosts without any run that matters."""
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for batch in batches:
+        yield pa.array([main_texts([x.split("\n") if x else []], none)[0] for x in batch.to_pylist()], pa.string())
+
+
 def _host_texts(pages: pa.Table) -> pa.Table:
     return pages.select(["page_id", "url"]).append_column("text", pa.array(main_texts(_blocks(pages)), pa.string()))
 
 
-def _shard_runs(pages: pa.Table) -> pa.Table:
-    """Each different run of a shard's pages with the number of pages that hold it."""
+def _counted_runs(pages: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the different runs of a shard's pages, and the number of pages that hold each."""
     words, tokens, owner, _ = _stream(_blocks(pages))
     starts, hashes = hashed_runs(words, tokens, owner)
     order = np.lexsort((owner[starts], hashes))
     hashes, page = hashes[order], owner[starts][order]
     new = np.ones(len(hashes), bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (page[1:] != page[:-1])
-    runs, numbers = np.unique(hashes[new], return_counts=True)
-    host, shard = pages["host"][0].as_py(), pages["shard"][0].as_py()
-    return pa.table({"host": pa.array([host] * len(runs), pa.string()), "shard": pa.array(np.full(len(runs), shard, np.int64)),
-                     "run": pa.array(runs), "n_pages": pa.array(numbers.astype(np.int64))})
+    return np.unique(hashes[new], return_counts=True)
+
+
+def _run_table(pages: pa.Table, runs: np.ndarray, numbers: np.ndarray, plain: bool = False) -> pa.Table:
+    """Rows of runs, and one without a run if ``plain``."""
+    host, shard, n = pages["host"][0].as_py(), pages["shard"][0].as_py(), len(runs) + plain
+    return pa.table({"host": pa.array([host] * n, pa.string()), "shard": pa.array(np.full(n, shard, np.int64)),
+                     "run": pa.array([*runs.tolist(), *[None] * plain], pa.int64()), "n_pages": pa.array([*numbers.tolist(), *[0] * plain], pa.int64())})
+
+
+def _all_runs(pages: pa.Table) -> pa.Table:
+    return _run_table(pages, *_counted_runs(pages))
+
+
+def _shard_runs(pages: pa.Table) -> pa.Table:
+    """The runs on ``COMMON_SHARE`` of the shard's pages, and whether some page has text but no article."""
+    runs, numbers = _counted_runs(pages)
+    common = numbers >= COMMON_SHARE * len(pages)
+    plain = any(any(b[0] == KEPT for b in page) and not any(b[0] == ARTICLE for b in page) for page in _blocks(pages))
+    return _run_table(pages, runs[common], numbers[common], plain)
+
+
+def _asked_runs(pages: pa.Table, asked: pa.Table) -> pa.Table:
+    """Those of the asked runs that a shard has."""
+    if not pages.num_rows:
+        return _run_table(pa.table({"host": [None], "shard": [0]}), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    runs, numbers = _counted_runs(pages)
+    wanted = np.isin(runs, asked["run"].to_numpy())
+    return _run_table(pages, runs[wanted], numbers[wanted])
 
 
 def _shard_texts(pages: pa.Table, found: pa.Table) -> pa.Table:
@@ -297,9 +330,11 @@ def extract(pages: DataFrame) -> DataFrame:
 
     A host of many pages is dealt out to shards of about 256 by a hash of the
     page, so no task grows with the host. Its runs are counted over all
-    shards: each shard emits the hashes of its runs with their numbers of
-    pages, these are summed by host and run, and the runs of two or more pages
-    go back to the shards that hold them. Null pages have an empty text;
+    shards. A run on half of the host's pages is on half of the pages of some
+    shard, so shards name those runs, and all shards count the named ones. Only
+    in a host with pages that have no article every run is counted. The sums
+    go back to the shards that hold the runs; pages of hosts without such runs
+    don't move again. Null pages have an empty text;
     null urls form a host of their own; repeated rows stay, each counting as a
     page.
     """
@@ -311,12 +346,26 @@ def extract(pages: DataFrame) -> DataFrame:
     small = marked.where(F.col("n") <= SHARD_PAGES).groupBy("host").applyInArrow(_host_texts, kinds)
     if sizes.where(F.col("n") > SHARD_PAGES).isEmpty():
         return small
-    large = pin(marked.where(F.col("n") > SHARD_PAGES), "html-large")
-    runs = pin(large.groupBy("host", "shard").applyInArrow(_shard_runs, "host string, shard long, run long, n_pages long"), "html-runs")
-    held = runs.groupBy("host", "run").agg(F.sum("n_pages").alias("held")).where("held > 1")
-    found = runs.select("host", "shard", "run").join(held, ["host", "run"])
-    parts = large.groupBy("host", "shard").cogroup(found.groupBy("host", "shard"))
-    return small.unionByName(parts.applyInArrow(_shard_texts, kinds))
+    large, same = marked.where(F.col("n") > SHARD_PAGES), F.col("host").eqNullSafe(F.col("_host"))
+    first = pin(large.groupBy("host", "shard").applyInArrow(_shard_runs, RUNS), "html-runs").withColumnRenamed("host", "_host")
+    plain = pin(first.where(F.col("run").isNull()).select("_host").distinct(), "html-plain")
+    named = pin(first.where(F.col("run").isNotNull()).select("_host", "run").distinct(), "html-named")
+    hosts = pin(named.select("_host").unionByName(plain).distinct(), "html-touched")
+    touched = pin(large.join(hosts, same, "left_semi"), "html-pages")
+    partly = touched.join(plain, same, "left_anti")
+    shards = partly.select("host", "shard").distinct()
+    asked = pin(shards.join(named, same).select("host", "shard", "run"), "html-asked")
+    answers = pin(partly.groupBy("host", "shard").cogroup(asked.groupBy("host", "shard")).applyInArrow(_asked_runs, RUNS), "html-answers")
+    every = pin(touched.join(plain, same, "left_semi").groupBy("host", "shard").applyInArrow(_all_runs, RUNS), "html-every")
+    counted = every.unionByName(answers)
+    held = (counted.groupBy("host", "run").agg(F.sum("n_pages").alias("held")).where("held > 1")
+            .withColumnsRenamed({"host": "_host", "run": "_run"}))
+    found = (counted.select("host", "shard", "run").join(held, F.col("host").eqNullSafe(F.col("_host")) & (F.col("run") == F.col("_run")))
+             .select("host", "shard", "run", "held"))
+    parts = touched.groupBy("host", "shard").cogroup(found.groupBy("host", "shard")).applyInArrow(_shard_texts, kinds)
+    alone = large.join(hosts, same, "left_anti")
+    plain_texts = alone.select("page_id", "url", arrow_udf(_own_texts, StringType())("marked").alias("text"))
+    return small.unionByName(plain_texts).unionByName(parts)
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
