@@ -14,6 +14,8 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField,
 from quaestor.llm.tables import free_name, pin, read_table, with_row_id
 
 ANCHOR_WORDS = 5
+CHARS_A_WORD = 4
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -81,17 +83,35 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def common_blocks(earlier: list[int], later: list[int], anchors: list[bool]) -> list[tuple[int, int]]:
-    """Runs (first, last) of ``later`` aligned with ``earlier`` line by line that hold an anchor line."""
-    blocks: list[list[int]] = []
-    before = None
-    for a, b in patience(earlier, later):
-        if before == (a - 1, b - 1):
-            blocks[-1][1] = b
-        else:
-            blocks.append([b, b])
-        before = (a, b)
-    return [(x, y) for x, y in blocks if any(anchors[x:y + 1])]
+def common_blocks(earlier: list[int], later: list[int], words: list[int]) -> list[tuple[int, int]]:
+    """Runs (first, last) of ``later`` that are aligned line by line with ``earlier`` and have five or more words.
+
+    What an alignment leaves is aligned again, so blocks that stand in another
+    order or more often than in ``earlier`` go as well; from time to time
+    ``earlier`` is taken twice as often, so the number of alignments follows
+    the logarithm of the number of copies. If an alignment brings short runs
+    only, their lines take no part in the next; ends when no line is left.
+    """
+    blocks: list[tuple[int, int]] = []
+    left = list(range(len(later)))
+    known = set(earlier)
+    times = 1
+    while left := [k for k in left if later[k] in known]:
+        runs: list[list[int]] = []
+        before = None
+        for a, b in patience(earlier * times, [later[k] for k in left]):
+            at = left[b]
+            if before == (a - 1, at - 1) and a % len(earlier):
+                runs[-1][1] = at
+            else:
+                runs.append([at, at])
+            before = (a, at)
+        long = [(x, y) for x, y in runs if sum(words[x:y + 1]) >= ANCHOR_WORDS]
+        blocks += long
+        gone = {k for x, y in long or runs for k in range(x, y + 1)}
+        left = [k for k in left if k not in gone]
+        times = min(2 * times, len(left))
+    return sorted(blocks)
 
 
 BLOCKS = ArrayType(StructType([StructField("first", IntegerType()), StructField("last", IntegerType())]))
@@ -99,9 +119,9 @@ BLOCKS = ArrayType(StructType([StructField("first", IntegerType()), StructField(
 
 def _aligned(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
     kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
-    for earlier, later, anchors in batches:
+    for earlier, later, words in batches:
         yield pa.array([[{"first": x, "last": y} for x, y in common_blocks(a.as_py(), b.as_py(), c.as_py())]
-                        for a, b, c in zip(earlier, later, anchors, strict=True)], kind)
+                        for a, b, c in zip(earlier, later, words, strict=True)], kind)
 
 
 def _kept(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -115,6 +135,16 @@ def _kept(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         yield pa.array(out, pa.list_(pa.bool_()))
 
 
+def _window(i: Column) -> Column:
+    """Hashes of the lines from place ``i`` on that have five words together; null if the text ends before."""
+    words: Column = F.lit(0)
+    found = []
+    for k in range(ANCHOR_WORDS):
+        words = words + F.coalesce(F.get("lines", i + k)["words"], F.lit(0))
+        found.append(F.when((words >= ANCHOR_WORDS) & (i + k < F.size("lines")), F.slice("lines", i + 1, F.lit(k + 1))))
+    return F.coalesce(*found)
+
+
 def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
@@ -123,23 +153,27 @@ def repeated_lines(rows: DataFrame) -> DataFrame:
     """``row_id, keep, n_partners`` for the rows of ``rows(row_id, doc_id, text)`` that lose lines.
 
     ``keep`` has a flag per line. Lines are compared without white space at
-    their ends; blank ones are no lines of the alignment. A line of at least
-    five words is an anchor: it leads each document that holds it to the first
-    holder in the order of doc_id, so a line in a third of all documents costs
-    one pair per document, and no frequency has to be cut off. Those pairs are
-    aligned by patience diff, in which the lines that are rare - once in either
-    document - steer. Aligned runs that hold an anchor go from the later
-    document, with the blank lines inside them.
+    their ends; blank ones are no lines of the alignment. A line and as many
+    of those behind it as it takes for five words are an anchor (of scripts
+    without spaces, four characters count as a word): it leads each document
+    that holds it to the first holder in the order of doc_id, so a passage in a
+    third of all documents costs one pair per document, and no frequency has to
+    be cut off. Those pairs are aligned by patience diff, in which the lines
+    that are rare - once in either document - steer. Aligned runs of five words
+    go from the later document, with the blank lines inside them.
     """
     trimmed = F.transform(_lines(F.coalesce("text", F.lit(""))), lambda x: F.trim(x, F.lit(BLANKS)))
     parts = F.transform(trimmed, lambda x, i: F.struct(
-        i.alias("pos"), F.regexp_count(x, F.lit(r"[^\x20\x09-\x0D]+")).alias("words"),
+        i.alias("pos"), (F.regexp_count(x, F.lit(r"[^\x20\x09-\x0D]+"))
+                         + (F.regexp_count(x, F.lit(UNSPACED)) / CHARS_A_WORD).cast("int")).alias("words"),
         F.xxhash64(x).alias("h1"), F.xxhash64(F.lit(1), x).alias("h2")))
     seqs = rows.select("row_id", "doc_id", parts.alias("all")).select(
         "row_id", "doc_id", F.size("all").alias("n"), F.filter("all", lambda x: x["words"] > 0).alias("lines"))
     seqs = pin(seqs.where(F.size("lines") > 0), "lines-sequences")
-    anchor = F.filter(F.transform("lines", lambda x, i: F.struct(
-        x["h1"].alias("h1"), x["h2"].alias("h2"), (x["words"] >= ANCHOR_WORDS).alias("anchor"), i.alias("at"))), lambda x: x["anchor"])
+    anchor = F.filter(F.transform(F.transform("lines", lambda _, i: F.struct(_window(i).alias("w"), i.alias("at"))), lambda x: F.struct(
+        F.when(x["w"].isNotNull(), F.xxhash64(F.transform(x["w"], lambda y: y["h1"]))).alias("h1"),
+        F.when(x["w"].isNotNull(), F.xxhash64(F.transform(x["w"], lambda y: y["h2"]))).alias("h2"), x["at"].alias("at"))),
+        lambda x: x["h1"].isNotNull())
     held = seqs.select("row_id", "doc_id", F.size("lines").alias("length"), F.explode(anchor).alias("x")).select(
         "row_id", "doc_id", "length", "x.h1", "x.h2", "x.at")
     held = held.groupBy("h1", "h2", "row_id", "doc_id", "length").agg(F.min("at").alias("at"))
@@ -156,9 +190,9 @@ def repeated_lines(rows: DataFrame) -> DataFrame:
     hashes = F.transform("lines", lambda x: x["h1"])
     part = F.slice("source", F.col("low") + 1, F.col("high") - F.col("low") + 1).alias("source")
     with_first = pairs.join(seqs.select(F.col("row_id").alias("earlier"), hashes.alias("source")), "earlier").select("row_id", part)
-    both = with_first.join(seqs.select("row_id", "n", hashes.alias("own"), F.transform("lines", lambda x: x["words"] >= ANCHOR_WORDS).alias("anchors"),
+    both = with_first.join(seqs.select("row_id", "n", hashes.alias("own"), F.transform("lines", lambda x: x["words"]).alias("words"),
                                        F.transform("lines", lambda x: x["pos"]).alias("places")), "row_id")
-    blocks = arrow_udf(_aligned, BLOCKS)("source", "own", "anchors")
+    blocks = arrow_udf(_aligned, BLOCKS)("source", "own", "words")
     spans = F.transform("blocks", lambda b: F.struct(F.get("places", b["first"]).alias("first"), F.get("places", b["last"]).alias("last")))
     found = both.withColumn("blocks", blocks).where(F.size("blocks") > 0).select("row_id", "n", spans.alias("spans"))
     found = found.groupBy("row_id", "n").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.count(F.lit(1)).alias("n_partners"))
