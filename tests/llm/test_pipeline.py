@@ -8,7 +8,7 @@ from quaestor.llm.mixing import oracle_sql
 from quaestor.llm.tables import pin, read_table
 from tests.conftest import SF_DIR
 from tests.llm.test_line_dedup import brute
-from tests.llm.test_simhash import plain_components, plain_fingerprint
+from tests.llm.test_ring import plain_roots, plain_set
 
 
 @pytest.fixture(scope="module")
@@ -44,11 +44,8 @@ def test_line_dedup_against_brute_force(steps):
 
 
 def test_near_dedup_against_all_pairs(steps):
-    fps = {k: plain_fingerprint(t) for k, t in zip(steps[2].doc_id, steps[2].text, strict=True)}
-    least = {}
-    for k, r in plain_components(fps, 2).items():
-        least[r] = min(least.get(r, k), k)
-    assert sorted(steps[3].doc_id) == sorted(least.values())
+    sets = {k: plain_set(t) for k, t in zip(steps[2].doc_id, steps[2].text, strict=True)}
+    assert sorted(steps[3].doc_id) == sorted(set(plain_roots(sets).values()))
 
 
 def test_decontamination_against_oracle(steps):
