@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quaestor.llm.decontaminate import drop_contaminated
 from quaestor.llm.line_dedup import drop_repeated_lines
 from quaestor.llm.mixing import mixed
-from quaestor.llm.simhash import drop_near_duplicates
+from quaestor.llm.ring import drop_similar
 from quaestor.llm.tables import pin, read_table
 from quaestor.llm.toxicity import drop_toxic
 
@@ -23,8 +23,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group with SimHash fingerprints within two bits."""
-    return drop_near_duplicates(docs)
+    """Keeps one document of each group linked by five-word similarity of 0.8 or more."""
+    return drop_similar(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
