@@ -15,7 +15,8 @@ from quaestor.llm.tables import free_name, pin, read_table, with_row_id
 
 ANCHOR_WORDS = 5
 CHARS_A_WORD = 4
-UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+# Thai and Lao, Burmese, Khmer, kana, Han: three bytes a character.
+UNSPACED = r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u9FFF\uF900-\uFAFF]"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -165,7 +166,8 @@ def repeated_lines(rows: DataFrame) -> DataFrame:
     trimmed = F.transform(_lines(F.coalesce("text", F.lit(""))), lambda x: F.trim(x, F.lit(BLANKS)))
     parts = F.transform(trimmed, lambda x, i: F.struct(
         i.alias("pos"), (F.regexp_count(x, F.lit(r"[^\x20\x09-\x0D]+"))
-                         + (F.regexp_count(x, F.lit(UNSPACED)) / CHARS_A_WORD).cast("int")).alias("words"),
+                         + F.when(F.octet_length(x) - F.length(x) >= 2 * CHARS_A_WORD, (F.regexp_count(x, F.lit(UNSPACED)) / CHARS_A_WORD).cast("int"))
+                         .otherwise(0)).alias("words"),
         F.xxhash64(x).alias("h1"), F.xxhash64(F.lit(1), x).alias("h2")))
     seqs = rows.select("row_id", "doc_id", parts.alias("all")).select(
         "row_id", "doc_id", F.size("all").alias("n"), F.filter("all", lambda x: x["words"] > 0).alias("lines"))
