@@ -18,6 +18,7 @@ from quaestor.sources import datasets as ds
 from quaestor.sources import filings as fl
 from quaestor.sources import stages as st
 
+PAGES_IN_A_TASK = 100_000  # built from orders, whose rows are a few bytes in their files
 QA_STORED = T.StructType([T.StructField("ord", T.LongType()), *QA_PAIRS.fields])
 
 
@@ -59,7 +60,7 @@ def html_extract_text(spark, sf_dir):
 
 def table_to_markdown(spark, sf_dir):
     """One page per order with a table that has a header, a spanning cell and an empty row."""
-    orders = src.heavy_table(spark, sf_dir, "orders", "o_orderkey")
+    orders = src.heavy_table(spark, sf_dir, "orders", "o_orderkey", PAGES_IN_A_TASK).select("o_orderkey", "o_orderstatus", "o_orderpriority")
     cell = lambda c: F.concat(F.lit("<td> "), F.col(c).cast("string"), F.lit(" </td>"))
     html = F.concat(
         F.lit('<html><body><p>Item</p><table><tr><th>Order</th><th colspan="2">Status &amp; priority</th></tr><tr>'),
