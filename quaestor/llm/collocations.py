@@ -33,6 +33,8 @@ LONGEST, LEAST, BEST = 5, 100, 2000
 UNKNOWN_LANG = "und"
 FILTER_BITS = 1 << 25  # size of the bit filter of one length
 HELD = 1 << 20  # hashes that a task gathers before it sums them up
+PHRASES = 1 << 18  # phrases that a task gathers with their words
+ROWS_OUT = 1 << 15  # rows of a batch with words
 SPLITS = 8  # splits of the texts that one task counts together at most
 
 BREAK = np.zeros(256, bool)
@@ -151,15 +153,19 @@ def _count_hashes(batches: Iterator[pa.RecordBatch], filters: list[np.ndarray],
 
 def _count_phrases(batches: Iterator[pa.RecordBatch], filters: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     """Phrases that pass the filter of their length, and as a phrase of no words the number of words."""
-    found: dict[tuple, list] = {}
+    counts: dict[int, int] = {}  # by both hashes, which depend on the language and on the number of words
+    phrases: dict[int, tuple[str, str]] = {}
     totals: dict[str, int] = {}
 
-    def out() -> pa.RecordBatch:
-        rows = [(lang, words.split(" "), n) for (lang, *_), (n, words) in found.items()] + [(lang, [], n) for lang, n in totals.items()]
-        found.clear()
+    def batch_of(langs: list[str], words: list[list[str]], n: list[int]) -> pa.RecordBatch:
+        return pa.record_batch({"lang": pa.array(langs, pa.string()), "words": pa.array(words, pa.list_(pa.string())), "a": pa.array(n, pa.int64())})
+
+    def out() -> Iterator[pa.RecordBatch]:
+        while counts:
+            part = [(*phrases.pop(key), n) for key, n in (counts.popitem() for _ in range(min(ROWS_OUT, len(counts))))]
+            yield batch_of([r[0] for r in part], [r[1].split(" ") for r in part], [r[2] for r in part])
+        yield batch_of(list(totals), [[] for _ in totals], list(totals.values()))
         totals.clear()
-        return pa.record_batch({"lang": pa.array([r[0] for r in rows], pa.string()), "words": pa.array([r[1] for r in rows], pa.list_(pa.string())),
-                                "a": pa.array([r[2] for r in rows], pa.int64())})
 
     for batch in batches:
         for langs, piece in _runs(batch):
@@ -176,15 +182,13 @@ def _count_phrases(batches: Iterator[pa.RecordBatch], filters: list[np.ndarray])
                 new = np.r_[True, (hashes[at[1:]] != hashes[at[:-1]]) | (others[at[1:]] != others[at[:-1]])][:len(at)]
                 begin = np.flatnonzero(new)
                 for i, n in zip(at[begin].tolist(), np.diff(np.r_[begin, len(at)]).tolist(), strict=True):
-                    key = (langs[doc[i]], size, int(hashes[i]), int(others[i]))
-                    entry = found.get(key)
-                    if entry is None:
-                        found[key] = [n, " ".join([raw[start[w]:end[w]].decode() for w in range(i, i + size)])]
-                    else:
-                        entry[0] += n
-            if len(found) > HELD // 2:
-                yield out()
-    yield out()
+                    key = int(hashes[i]) << 64 | int(others[i])
+                    if key not in counts:
+                        phrases[key] = langs[doc[i]], " ".join([raw[start[w]:end[w]].decode() for w in range(i, i + size)])
+                    counts[key] = counts.get(key, 0) + n
+            if len(counts) > PHRASES:
+                yield from out()
+    yield from out()
 
 
 def _filter(counts: DataFrame, least: int, bits: int) -> np.ndarray:

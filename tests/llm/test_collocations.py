@@ -94,3 +94,26 @@ def test_long_texts_are_cut_between_phrases(monkeypatch):
     whole = counts()
     monkeypatch.setattr(module, "BLOCK", 64)
     assert counts() == whole and sum(1 for _ in module._runs(batch)) > 20
+
+
+def test_phrases_come_in_small_batches_and_add_up(monkeypatch):
+    """What a task holds with its words is bounded, and so is each batch that it puts out."""
+    import numpy as np
+    import pyarrow as pa
+    from quaestor.llm import collocations as co
+
+    texts = [f"w{k % 9} x{k % 7} y{k % 5} z" for k in range(400)]
+    rows = pa.record_batch({"lang": pa.array(["en", None] * 200), "text": pa.array(texts)})
+    everything = [np.full(1 << 10, ~np.uint64(0))] * 3
+    want = {}
+    for batch in co._count_phrases(iter([rows]), everything):
+        for r in batch.to_pylist():
+            want[r["lang"], tuple(r["words"])] = want.get((r["lang"], tuple(r["words"])), 0) + r["a"]
+    monkeypatch.setattr(co, "PHRASES", 40)
+    monkeypatch.setattr(co, "ROWS_OUT", 16)
+    got, sizes = {}, []
+    for batch in co._count_phrases(iter([rows.slice(k, 50) for k in range(0, 400, 50)]), everything):
+        sizes.append(batch.num_rows)
+        for r in batch.to_pylist():
+            got[r["lang"], tuple(r["words"])] = got.get((r["lang"], tuple(r["words"])), 0) + r["a"]
+    assert got == want and max(sizes) <= 16 and got["en", ()] == 800 and got["und", ("z",)] == 200
