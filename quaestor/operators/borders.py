@@ -20,8 +20,13 @@ learned types that can decide anything as constant sets; a model beyond
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quaestor.functions.binding import bind
@@ -39,7 +44,10 @@ NUMBER_TYPE = "#"
 ABBREVIATION, COLLOCATION, STARTER = 0.3, 7.88, 30.0
 SURE = 0.99  # share of full stops behind an abbreviation
 
-GAP = rf"(?<=[.!?][{CLOSERS}]{{0,3}})[{SPACE}]+"
+# Where a gap begins; looks back from white space only.
+GAP = rf"(?=[{SPACE}])(?<=[.!?][{CLOSERS}]{{0,3}})"
+SPACES = "".join(c for c in map(chr, range(0x3001)) if re.match(f"[{SPACE}]", c))
+BATCH_ROWS = 2048
 IN_ROW = 5000
 SEPARATOR = "\x01"
 
@@ -58,37 +66,74 @@ def _core(token: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(token, f"^[{OPENERS}]+", ""), f"[{TAIL}]+$", "")
 
 
-def _shape(token: Column) -> Column:
+def _word(core: Column) -> Column:
+    """A core without its end marks."""
+    return F.regexp_replace(core, r"[.!?]+$", "")
+
+
+def _shape_of(core: Column, word: Column) -> Column:
     """Type, full stop, any end mark, and case (1 upper, -1 lower, 0 none) of the first letter."""
-    def of_core(core: Column) -> Column:
-        word = F.regexp_replace(core, r"[.!?]+$", "")
-        first = F.substring(word, 1, 1)
-        return F.struct(
-            F.when(word.rlike(NUMBER), NUMBER_TYPE).otherwise(F.lower(word)).alias("type"),
-            core.endswith(".").alias("stop"), core.rlike(r"[.!?]$").alias("mark"),
-            (F.when(first != F.lower(first), 1).when(first != F.upper(first), -1).otherwise(0)).alias("case"))
-    return bind(_core(token), of_core)
+    first = F.substring(word, 1, 1)
+    return F.struct(
+        F.when(word.rlike(NUMBER), NUMBER_TYPE).otherwise(F.lower(word)).alias("type"),
+        core.endswith(".").alias("stop"), core.rlike(r"[.!?]$").alias("mark"),
+        (F.when(first != F.lower(first), 1).when(first != F.upper(first), -1).otherwise(0)).alias("case"))
+
+
+def _shape(token: Column) -> Column:
+    """The shape of a token inside a row; see :func:`_with_shapes` for columns."""
+    return bind(_core(token), lambda core: bind(_word(core), lambda word: _shape_of(core, word)))
+
+
+def _with_shapes(df: DataFrame, *tokens: str) -> DataFrame:
+    """``df`` with ``core_`` and ``shape_`` of columns of tokens; each step is a column, so it is computed once and as compiled code."""
+    df = df.withColumns({f"core_{t}": _core(F.col(t)) for t in tokens}).withColumns({f"_word_{t}": _word(F.col(f"core_{t}")) for t in tokens})
+    return df.withColumns({f"shape_{t}": _shape_of(F.col(f"core_{t}"), F.col(f"_word_{t}")) for t in tokens}).drop(*[f"_word_{t}" for t in tokens])
+
+
+def _written_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``before, opens, after, n`` of the tokens of texts: ``before`` is the token ahead, if it ends with a mark."""
+    mark = f"[.!?][{TAIL}]*$"
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            plain = pc.replace_substring_regex(pc.fill_null(batch.column(0).slice(at, BATCH_ROWS), ""), f"[{SPACES}]+", " ")
+            lists = pc.split_pattern(plain, " ")
+            text, token = pc.list_parent_indices(lists), pc.list_flatten(lists)
+            kept = pc.not_equal(token, "")
+            text, coded = text.filter(kept).to_numpy(), token.filter(kept).dictionary_encode()
+            if not len(text):
+                continue
+            words, after = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+            marked = pc.match_substring_regex(words, mark).to_numpy(zero_copy_only=False)
+            before = np.concatenate(([-1], np.where(text[1:] == text[:-1], after[:-1], -1)))  # -1: none, a text's start
+            known = (before >= 0) & marked[before]
+            opens = known | (before < 0)
+            keys, n = np.unique((np.where(known, before, -1) * 2 + opens) * len(words) + after, return_counts=True)
+            left, after = np.divmod(keys, len(words))
+            left, opens = np.divmod(left, 2)
+            yield pa.RecordBatch.from_arrays(
+                [words.take(pa.array(left, mask=left < 0)), pa.array(opens == 1), words.take(pa.array(after)), pa.array(n)], ["before", "opens", "after", "n"])
 
 
 def token_counts(texts: DataFrame, text: str = "text") -> DataFrame:
     """``first, type, n, n_stops, n_lower, n_upper, n_inner``, pinned.
 
     ``first`` is the type before, where that carries a full stop, else null.
-    ``n_inner`` counts capital forms that don't open a sentence.
+    ``n_inner`` counts capital forms that don't open a sentence. Tokens are
+    counted as they are written first, with the one before only where that has
+    an end mark; so shapes are found once per different token.
     """
-    tokens = F.filter(F.split(F.col(text), f"[{SPACE}]+"), lambda t: t != "")
+    written = (texts.select(text).mapInArrow(_written_counts, "before string, opens boolean, after string, n long")
+               .groupBy("before", "opens", "after").agg(F.sum("n").alias("n")))
+    shaped = _with_shapes(written, "before", "after").select(
+        F.when(F.col("shape_before.stop"), F.col("shape_before.type")).alias("first"), "shape_after.*", "opens", "n")
 
-    def rows(shapes: Column) -> Column:
-        def row(s: Column, i: Column) -> Column:
-            before = F.get(shapes, i - 1)
-            return F.struct(F.when(before["stop"], before["type"]).alias("first"), s.alias("own"),
-                            F.coalesce(before["mark"], F.lit(True)).alias("opens"))
-        return F.transform(shapes, row)
-    exploded = texts.select(F.explode(bind(F.transform(tokens, _shape), rows)).alias("t")).select("t.first", "t.own.*", "t.opens")
-    number = F.lit(1)
-    return pin(exploded.where("type != ''").groupBy("first", "type").agg(
-        F.count(number).alias("n"), F.count_if("stop").alias("n_stops"), F.count_if(F.col("case") == -1).alias("n_lower"),
-        F.count_if(F.col("case") == 1).alias("n_upper"), F.count_if((F.col("case") == 1) & ~F.col("opens")).alias("n_inner")), "border-counts")
+    def total(condition: Column) -> Column:
+        return F.sum(F.when(condition, F.col("n")).otherwise(0))
+    upper = F.col("case") == 1
+    return pin(shaped.where("type != ''").groupBy("first", "type").agg(
+        F.sum("n").alias("n"), total(F.col("stop")).alias("n_stops"), total(F.col("case") == -1).alias("n_lower"),
+        total(upper).alias("n_upper"), total(upper & ~F.col("opens")).alias("n_inner")), "border-counts")
 
 
 def _log_binomial(k: Column, n: Column, p: Column) -> Column:
@@ -148,13 +193,30 @@ def train(texts: DataFrame, text: str = "text") -> Borders:
     return Borders(abbreviations, collocations, starters, decisive)
 
 
+def _sides(pieces: Column) -> Column:
+    """The ends of the pieces on both sides of each gap, from and up to a plain space; see :func:`_tokens`."""
+    def side(i: Column) -> Column:
+        return F.struct(i.cast("int").alias("i"), F.substring_index(F.get(pieces, i - 1), " ", -1).alias("before"),
+                        F.substring_index(F.ltrim(F.get(pieces, i), F.lit(SPACES)), " ", 1).alias("after"))
+    none = F.array().cast("array<struct<i:int,before:string,after:string>>")
+    return F.when(F.size(pieces) > 1, F.transform(F.sequence(F.lit(1), F.size(pieces) - 1), side)).otherwise(none)
+
+
+def _tokens(before: Column, after: Column) -> tuple[Column, Column]:
+    """The last token of the end of a piece and the first of the next piece's beginning."""
+    return F.regexp_replace(before, f"(?s)^.*[{SPACE}]", ""), F.regexp_replace(after, f"(?s)[{SPACE}].*$", "")
+
+
+def _dots(core: Column) -> Column:
+    return F.regexp_extract(core, r"\.\.+$", 0)
+
+
 def _places(pieces: Column) -> Column:
-    """The tokens on both sides of each gap between pieces."""
-    last = rf"[^{SPACE}]+$"
-    return F.transform(F.sequence(F.lit(1), F.size(pieces) - 1), lambda i: F.struct(
-        i.cast("int").alias("i"), _shape(F.regexp_extract(F.get(pieces, i - 1), last, 0)).alias("before"),
-        F.regexp_extract(_core(F.regexp_extract(F.get(pieces, i - 1), last, 0)), r"\.\.+$", 0).alias("dots"),
-        _shape(F.regexp_extract(F.get(pieces, i), rf"^[^{SPACE}]+", 0)).alias("after")))
+    """The shapes on both sides of each gap between pieces."""
+    def place(side: Column) -> Column:
+        before, after = _tokens(side["before"], side["after"])
+        return bind(before, lambda b: F.struct(side["i"].alias("i"), _shape(b).alias("before"), _dots(_core(b)).alias("dots"), _shape(after).alias("after")))
+    return F.transform(_sides(pieces), place)
 
 
 def _ends(place: Column, abbreviation: Column, collocation: Column, starter: Column, decisive: Column) -> Column:
@@ -171,18 +233,18 @@ def _ends(place: Column, abbreviation: Column, collocation: Column, starter: Col
             .otherwise(F.lit(True)))
 
 
-def _cut(pieces: Column, gaps: Column, ends: Column) -> Column:
-    """Sentences and the white space between them, from the pieces and the numbers of those that open one."""
-    def build(starts: Column, spaces: Column) -> Column:
-        size = F.size(pieces)
+def _cut(pieces: Column, ends: Column, with_gaps: bool) -> Column:
+    """Sentences and, if asked for, the white space between them, from the pieces (with the gap ahead) and the numbers of
+    those that open a sentence."""
+    def sentence(s: Column, end: Column) -> Column:
+        whole = F.when(end - s == 1, F.get(pieces, s)).otherwise(F.array_join(F.slice(pieces, s + 1, end - s), ""))
+        return F.when(s == 0, whole).otherwise(F.ltrim(whole, F.lit(SPACES)))
 
-        def sentence(s: Column, k: Column) -> Column:
-            end = F.coalesce(F.get(starts, k + 1), size)
-            inner = F.zip_with(F.slice(pieces, s + 1, end - s - 1), F.slice(spaces, s + 1, end - s - 1), lambda p, g: F.concat(p, g))
-            return F.concat(F.array_join(inner, ""), F.get(pieces, end - 1))
-        return F.struct(F.transform(starts, sentence).alias("sentences"),
-                        F.transform(F.filter(starts, lambda s: s > 0), lambda s: F.get(spaces, s - 1)).alias("gaps"))
-    return bind(gaps, lambda spaces: bind(F.concat(F.array(F.lit(0)), ends), lambda starts: build(starts, spaces)))
+    def gap(s: Column) -> Column:
+        return bind(F.get(pieces, s), lambda p: F.substring(p, F.lit(1), F.length(p) - F.length(F.ltrim(p, F.lit(SPACES)))))
+    cut = bind(F.concat(F.array(F.lit(0)), ends), lambda starts: F.transform(
+        starts, lambda s, k: sentence(s, F.coalesce(F.get(starts, k + 1), F.size(pieces))))).alias("sentences")
+    return F.struct(cut, F.transform(ends, gap).alias("gaps")) if with_gaps else F.struct(cut)
 
 
 def _sets(model: Borders, limit: int) -> list[list[str]] | None:
@@ -193,14 +255,15 @@ def _sets(model: Borders, limit: int) -> list[list[str]] | None:
     return None if any(len(f) > limit for f in found) else found
 
 
-def with_sentences(texts: DataFrame, model: Borders, text: str = "text", sentences: str = "sentences", gaps: str = "gaps",
+def with_sentences(texts: DataFrame, model: Borders, text: str = "text", sentences: str = "sentences", gaps: str | None = "gaps",
                    in_row: int = IN_ROW) -> DataFrame:
     """``texts`` with arrays of their sentences and of the white space between them.
 
-    A null text gives nulls. ``in_row`` is the size up to which the learned
+    A null text gives nulls. Without a name for ``gaps`` they are left out. ``in_row`` is the size up to which the learned
     tables become constants of the plan.
     """
-    pieces, spaces = F.split(F.col(text), GAP), F.regexp_extract_all(F.col(text), F.lit(GAP), F.lit(0))
+    pieces = F.split(F.col(text), GAP)
+    shown = {sentences: F.col("_cut.sentences")} | ({gaps: F.col("_cut.gaps")} if gaps else {})
     sets = _sets(model, in_row)
     if sets is not None:
         abbreviations, collocations, starters, decisive = sets
@@ -211,14 +274,14 @@ def with_sentences(texts: DataFrame, model: Borders, text: str = "text", sentenc
                          place["after"]["type"].isin(starters), place["after"]["type"].isin(decisive))
 
         def whole(p: Column) -> Column:
-            opened = F.transform(F.filter(_places(p), ends), lambda x: x["i"])
-            return bind(F.when(F.size(p) > 1, opened).otherwise(F.array().cast("array<int>")), lambda e: _cut(p, spaces, e))
-        return texts.withColumn("_cut", F.when(F.col(text).isNotNull(), bind(pieces, whole))).withColumns(
-            {sentences: F.col("_cut.sentences"), gaps: F.col("_cut.gaps")}).drop("_cut")
+            return bind(F.transform(F.filter(_places(p), ends), lambda x: x["i"]), lambda e: _cut(p, e, bool(gaps)))
+        return texts.withColumn("_cut", F.when(F.col(text).isNotNull(), bind(pieces, whole))).withColumns(shown).drop("_cut")
     kept = pin(texts.withColumn("_row", F.monotonically_increasing_id()), "border-texts")
-    doubts = (kept.select("_row", pieces.alias("_pieces")).where(F.size("_pieces") > 1)
-              .select("_row", F.explode(bind(F.col("_pieces"), _places)).alias("place"))
-              .withColumns({"first": F.col("place.before.type"), "second": F.col("place.after.type")}))
+    before, after = _tokens(F.col("before"), F.col("after"))
+    sides = kept.select("_row", F.inline(bind(pieces, _sides))).withColumns({"before": before, "after": after})
+    doubts = _with_shapes(sides, "before", "after").select("_row", F.struct(
+        "i", F.col("shape_before").alias("before"), _dots(F.col("core_before")).alias("dots"), F.col("shape_after").alias("after")).alias("place")
+    ).withColumns({"first": F.col("place.before.type"), "second": F.col("place.after.type")})
     yes = F.lit(True)
     known = (doubts.join(model.abbreviations.select(F.col("type").alias("first"), yes.alias("_a")), "first", "left")
              .join(model.collocations.select("first", "second", yes.alias("_c")), ["first", "second"], "left")
@@ -229,8 +292,8 @@ def with_sentences(texts: DataFrame, model: Borders, text: str = "text", sentenc
              .groupBy("_row").agg(F.sort_array(F.collect_list("place.i")).alias("_opened")))
     opened = F.coalesce("_opened", F.array().cast("array<int>"))
     cut = kept.join(ended, "_row", "left").withColumn(
-        "_cut", F.when(F.col(text).isNotNull(), bind(pieces, lambda p: _cut(p, spaces, opened))))
-    return cut.withColumns({sentences: F.col("_cut.sentences"), gaps: F.col("_cut.gaps")}).drop("_cut", "_row", "_opened")
+        "_cut", F.when(F.col(text).isNotNull(), bind(pieces, lambda p: _cut(p, opened, bool(gaps)))))
+    return cut.withColumns(shown).drop("_cut", "_row", "_opened")
 
 
 def model_rows(model: Borders) -> DataFrame:

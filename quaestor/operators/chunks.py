@@ -70,10 +70,10 @@ def _pack(lengths: Column, text_length: Column, size: int, overlap_tokens: int)
     return F.aggregate(lengths, zero, step, finish)
 
 
-def _with_sentences(texts: DataFrame, text: str, borders: Borders | None) -> DataFrame:
-    """Arrays ``_sentences`` and ``_gaps``, by learned borders or by the plain pattern."""
+def _with_sentences(texts: DataFrame, text: str, borders: Borders | None, gaps: str | None = "_gaps") -> DataFrame:
+    """Arrays ``_sentences`` and ``_gaps``, by learned borders (without the latter if not named) or by the plain pattern."""
     if borders is not None:
-        return with_sentences(texts, borders, text, "_sentences", "_gaps")
+        return with_sentences(texts, borders, text, "_sentences", gaps)
     return texts.withColumns({"_sentences": tx.split_sentences(F.col(text)), "_gaps": tx.sentence_gaps(F.col(text))})
 
 
@@ -106,7 +106,7 @@ def chunk_sections(sections: DataFrame, options: Options = Options(), borders: B
 
 def sentences(texts: DataFrame, text_col: str = "full_text", borders: Borders | None = None) -> DataFrame:
     """One row per sentence."""
-    return _with_sentences(texts, text_col, borders).select("doc_id", F.posexplode("_sentences").alias("pos", "sentence"))
+    return _with_sentences(texts, text_col, borders, None).select("doc_id", F.posexplode("_sentences").alias("pos", "sentence"))
 
 
 def chunk_stats(chunks: DataFrame) -> DataFrame:

@@ -86,3 +86,27 @@ def test_chunks_can_end_at_learned_borders(spark, taught):
     plain = {c.text[-4:] for c in ch.chunk_sections(sections, options).collect()}
     assert plain & {"Inc.", " No.", " Mr."}
     assert sections.select(tx.split_sentences(sections.full_text)).count() == 1
+
+
+@pytest.mark.parametrize("in_row", [bd.IN_ROW, 0])
+def test_sentences_alone_at_odd_white_space(spark, taught, in_row):
+    model = taught[1]
+    text = " Acme Inc. sold\nparts.　See\tNo.\u00855 in it.\n\n\"Why?\"  Sales fell! "
+    frame = spark.createDataFrame([(1, text), (2, None), (3, " "), (4, "")], "doc_id long, text string")
+    both = {r.doc_id: (r.sentences, r.gaps) for r in bd.with_sentences(frame, model, in_row=in_row).collect()}
+    assert both[1] == ([" Acme Inc. sold\nparts.", "See\tNo.\u00855 in it.", "\"Why?\"", "Sales fell!", ""], ["　", "\n\n", "  ", " "])
+    assert both[2] == (None, None) and both[3] == ([" "], []) and both[4] == ([""], [])
+    alone = bd.with_sentences(frame, model, gaps=None, in_row=in_row)
+    assert alone.columns == ["doc_id", "text", "sentences"]
+    assert {r.doc_id: r.sentences for r in alone.collect()} == {k: s for k, (s, _) in both.items()}
+
+
+def test_tokens_are_counted_as_written_before_shapes(spark):
+    frame = spark.createDataFrame([(" A b. \"C\" (d!) E b. C",), (None,), ("",), ("b. C",)], "text string")
+    counts = bd.token_counts(frame)
+    got = {(r["first"], r.type): (r.n, r.n_stops, r.n_lower, r.n_upper, r.n_inner) for r in counts.collect()}
+    assert got == {(None, "a"): (1, 0, 0, 1, 0), (None, "b"): (3, 3, 3, 0, 0), ("b", "c"): (3, 0, 0, 3, 0), (None, "d"): (1, 0, 1, 0, 0), (None, "e"): (1, 0, 0, 1, 0)}
+    written = next(bd._written_counts(frame.repartition(1).toArrow().to_batches()))
+    assert sorted(zip(*written.to_pydict().values(), strict=True), key=str) == sorted([
+        (None, True, "A", 1), (None, False, "b.", 2), (None, True, "b.", 1), ("b.", True, "\"C\"", 1), (None, False, "(d!)", 1),
+        ("(d!)", True, "E", 1), ("b.", True, "C", 2)], key=str)
