@@ -22,7 +22,7 @@ OFFSETS = (-2, -1, 1, 2)
 WIDTH = 24
 ROUNDS = 1  # over all texts
 BATCH = 2048
-CHUNK = 8192
+CHUNK = 2048
 RATE = 0.05
 BLOCKS = 32  # parts in which parameters are averaged
 
@@ -71,50 +71,71 @@ class Network:
             total += self.embed[around[:, k]] * self.place[k]
         return np.tanh(total, out=total)
 
+    def _by_class(self, h: np.ndarray, top: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]], np.ndarray]:
+        """Order by class, hidden rows in it, class and span of each class that occurs, and logits inside the classes."""
+        order = np.argsort(top.astype(np.uint16) if self.classes < 1 << 16 else top, kind="stable")
+        h, bounds = h[order], np.searchsorted(top[order], np.arange(self.classes + 1)).tolist()
+        spans = [(c, bounds[c], bounds[c + 1]) for c in range(self.classes) if bounds[c] < bounds[c + 1]]
+        logits = np.empty((len(h), self.classes), np.float32)
+        for c, low, high in spans:
+            part = np.matmul(h[low:high], self.word[c], out=logits[low:high])
+            part += self.word_bias[c]
+        return order, h, spans, logits
+
     def log_probability(self, around: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Of each word, given the words around it."""
         h = self.hidden(around)
         top, inner = np.divmod(word, self.classes)
         logits = h @ self.top + self.top_bias
         out = logits[np.arange(len(word)), top] - _log_sum(logits)
-        order = np.argsort(top, kind="stable")
-        bounds = np.searchsorted(top[order], np.arange(self.classes + 1))
-        for c in range(self.classes):
-            mine = order[bounds[c]:bounds[c + 1]]
-            if len(mine):
-                logits = h[mine] @ self.word[c] + self.word_bias[c]
-                out[mine] += logits[np.arange(len(mine)), inner[mine]] - _log_sum(logits)
+        order, _, _, logits = self._by_class(h, top)
+        out[order] += logits[np.arange(len(word)), inner[order]] - _log_sum(logits)
         return out.astype(np.float64)
 
     def learn(self, around: np.ndarray, word: np.ndarray, squares: Network) -> None:
-        """One Adagrad step on a batch; ``squares`` gathers the squared gradients."""
+        """One Adagrad step on a batch; ``squares`` gathers the squared gradients.
+
+        Only the embeddings and classes of the batch have gradients, so only they are touched.
+        """
         n = len(word)
-        gradient = Network(np.zeros_like(self.flat))
+
+        def step(name: str, at, gradient: np.ndarray) -> None:
+            gradient = gradient / np.float32(n)
+            square = getattr(squares, name)[at] + gradient * gradient
+            getattr(squares, name)[at] = square
+            getattr(self, name)[at] -= np.float32(RATE) * gradient / (np.sqrt(square) + np.float32(1e-5))
         h = self.hidden(around)
         top, inner = np.divmod(word, self.classes)
         p = _softmax(h @ self.top + self.top_bias)
         p[np.arange(n), top] -= 1
-        gradient.top[:], gradient.top_bias[:] = h.T @ p, p.sum(axis=0)
         back = p @ self.top.T
-        order = np.argsort(top, kind="stable")
-        bounds = np.searchsorted(top[order], np.arange(self.classes + 1))
-        for c in range(self.classes):
-            mine = order[bounds[c]:bounds[c + 1]]
-            if len(mine):
-                p = _softmax(h[mine] @ self.word[c] + self.word_bias[c])
-                p[np.arange(len(mine)), inner[mine]] -= 1
-                gradient.word[c], gradient.word_bias[c] = h[mine].T @ p, p.sum(axis=0)
-                back[mine] += p @ self.word[c].T
+        step("top", ..., h.T @ p)
+        step("top_bias", ..., p.sum(axis=0))
+        order, own, spans, p = self._by_class(h, top)
+        p = _softmax(p)
+        p[np.arange(n), inner[order]] -= 1
+        ahead, room = np.empty_like(own), np.empty((2, WIDTH, self.classes), np.float32)
+        bias = np.add.reduceat(p, [low for _, low, _ in spans], axis=0)
+        for c, low, high in spans:  # one class at a time, so that its parameters stay in the cache
+            np.matmul(p[low:high], self.word[c].T, out=ahead[low:high])
+            gradient, work = np.matmul(own[low:high].T, p[low:high], out=room[0]), room[1]
+            gradient /= n
+            squares.word[c] += np.multiply(gradient, gradient, out=work)
+            np.sqrt(squares.word[c], out=work)
+            work += 1e-5
+            gradient *= RATE
+            self.word[c] -= np.divide(gradient, work, out=work)
+        back[order] += ahead
+        step("word_bias", np.array([c for c, _, _ in spans]), bias)
         back *= 1 - h * h
-        gradient.bias[:] = back.sum(axis=0)
-        flat_embed = gradient.embed.reshape(-1)
-        for k in range(len(OFFSETS)):
-            gradient.place[k] = (back * self.embed[around[:, k]]).sum(axis=0)
-            at = np.where(around[:, k] < 0, len(self.embed) - 1, around[:, k])[:, None] * WIDTH + np.arange(WIDTH)
-            np.add.at(flat_embed, at.ravel(), (back * self.place[k]).ravel())
-        gradient.flat /= n
-        squares.flat += gradient.flat ** 2
-        self.flat -= RATE * gradient.flat / (np.sqrt(squares.flat) + 1e-5)
+        flat = np.where(around < 0, len(self.embed) - 1, around).ravel()
+        by_place = np.stack([(back * self.embed[around[:, k]]).sum(axis=0) for k in range(len(OFFSETS))])
+        order = np.argsort(flat, kind="stable")
+        first = np.flatnonzero(np.diff(flat[order], prepend=-1))
+        each = (back[:, None, :] * self.place).reshape(-1, WIDTH)
+        step("embed", flat[order[first]], np.add.reduceat(each[order], first, axis=0))
+        step("place", ..., by_place)
+        step("bias", ..., back.sum(axis=0))
 
 
 def _log_sum(logits: np.ndarray) -> np.ndarray:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -44,6 +45,21 @@ def test_gradient_against_differences():
         assert np.sign(slope) == np.sign(moved[at]) and abs(abs(slope) - np.sqrt(squares.flat[at])) < 0.1 * abs(slope) + 1e-4
 
 
+def test_a_step_works_on_the_parameters_of_its_batch_only():
+    rng = np.random.default_rng(5)
+    net = Network.initial(rng.integers(1, 100, 200 ** 2).astype(float))
+    squares, before = Network(np.zeros_like(net.flat)), Network(net.flat.copy())
+    around, word = rng.integers(PAD, 300, (50, len(OFFSETS))), rng.integers(0, 600, 50)
+    tracemalloc.start()
+    net.learn(around, word, squares)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < net.flat.nbytes / 4
+    seen = sorted(set(np.where(around < 0, 200 ** 2, around).ravel().tolist()))
+    assert sorted(np.flatnonzero((net.embed != before.embed).any(axis=1)).tolist()) == seen
+    assert np.flatnonzero((net.word != before.word).any(axis=(1, 2))).tolist() == sorted(set((word // 200).tolist()))
+
+
 def test_windows_stay_in_their_text():
     assert windows(np.array([0, 0, 0, 1]), np.array([5, 6, 7, 8])).tolist() == [
         [PAD, PAD, 6, 7], [PAD, 5, 7, PAD], [5, 6, PAD, PAD], [PAD, PAD, PAD, PAD]]
