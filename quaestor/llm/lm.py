@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import accumulate
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -19,16 +22,83 @@ VOCABULARY = CLASSES * CLASSES
 GROWTH = 16  # the network knows so many words times the root of the number of different words
 UNKNOWN, PAD = 0, -1
 OFFSETS = (-2, -1, 1, 2)
+REACH = 2
+RUN = 32  # words that follow each other, in a batch of runs
 WIDTH = 24
+SHALLOW = 32  # decisions taken for all words of a batch at once
+LONG = 32
 ROUNDS = 1  # over all texts
 BATCH = 2048
-CHUNK = 2048
-RATE = 0.05
+CHUNK = 8192
+RATE = 0.2
 BLOCKS = 32  # parts in which parameters are averaged
 
 
+class Tree(NamedTuple):
+    """Decisions that lead to each word, fixed by the number of classes alone.
+
+    A decision splits a range of classes, or of the words of one class, in two. ``shallow`` decisions are those that
+    most words pass, if words are as frequent as their rank says; all that stand above a shallow one are shallow.
+    """
+    shallow: np.ndarray  # decisions
+    sides: np.ndarray  # of each word at the shallow decisions: 1 right, -1 left, 0 not passed
+    deep: np.ndarray  # further decisions of each word by depth, -1 beyond the last
+    deep_sides: np.ndarray
+    length: np.ndarray  # number of further decisions of each word
+    rank: np.ndarray  # place of each word if those with most further decisions come first
+
+    @staticmethod
+    @lru_cache(maxsize=2)
+    def of(classes: int) -> Tree:
+        """A decision has the number of the class at which it splits, or that of the word plus ``classes``."""
+        weight = 1 / (np.arange(classes * classes) + 3.0)
+        weight[UNKNOWN] = weight.sum() / 4
+        within, words = np.arange(classes * classes) // classes, np.arange(classes * classes)
+        top = _splits(weight.reshape(classes, classes).sum(axis=1), np.zeros(classes, np.int64), np.full(classes, classes))
+        own = _splits(weight, within * classes, (within + 1) * classes)
+        path = np.concatenate([top[:, within], np.where(own < 0, -1, own + classes)])
+        side = np.where(np.concatenate([top[:, within] <= within, own <= words]), 1, -1).astype(np.int8)
+        side[path < 0] = 0
+        mass = np.bincount(path[path >= 0], np.broadcast_to(weight, path.shape)[path >= 0], minlength=classes * (classes + 1))
+        shallow = np.sort(np.argsort(-mass, kind="stable")[:SHALLOW])
+        column = np.full(len(mass) + 1, -1)
+        column[shallow] = np.arange(len(shallow))
+        column = column[path]
+        sides = np.zeros((classes * classes, len(shallow)), np.int8)
+        at, word = np.nonzero(column >= 0)
+        sides[word, column[at, word]] = side[at, word]
+        deep = (path >= 0) & (column < 0)
+        order = np.argsort(~deep, axis=0, kind="stable")[:int(deep.sum(axis=0).max())]
+        chosen = np.take_along_axis(deep, order, axis=0)
+        length = deep.sum(axis=0)
+        return Tree(shallow, sides, np.where(chosen, np.take_along_axis(path, order, axis=0), -1).astype(np.int32),
+                    np.take_along_axis(side, order, axis=0), length, np.argsort(np.argsort(-length, kind="stable")))
+
+    def decisions(self, word: np.ndarray) -> tuple[list[tuple[int, int, int]], np.ndarray, np.ndarray]:
+        """Further decisions of words in the order of their rank, by depth, and the sides taken.
+
+        For each depth the number of words that take one, which are the first, and the span of their decisions.
+        """
+        counts = np.searchsorted(-self.length[word], -np.arange(len(self.deep)), "left").tolist()
+        ends = [0, *accumulate(counts)]
+        own = [word[:n] for n in counts]
+        node = [deep.take(w) for deep, w in zip(self.deep, own, strict=True)] or [np.zeros(0, np.int32)]
+        sides = [deep.take(w) for deep, w in zip(self.deep_sides, own, strict=True)] or [np.zeros(0, np.int8)]
+        return list(zip(counts, ends, ends[1:])), np.concatenate(node), np.concatenate(sides)
+
+
+def _splits(weight: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """By depth the places at which the range of each entry is split into halves of like weight; -1 beyond the last."""
+    total, entry, found = np.concatenate(([0.0], np.cumsum(weight))), np.arange(len(weight)), []
+    while (open_ := high - low > 1).any():
+        middle = np.clip(np.searchsorted(total, (total[low] + total[high]) / 2), low + 1, high - 1)
+        found.append(np.where(open_, middle, -1))
+        low, high = np.where(open_ & (entry >= middle), middle, low), np.where(open_ & (entry < middle), middle, high)
+    return np.stack(found)
+
+
 class Network:
-    """Embeddings of the words around a place, scaled by place, give a hidden layer; a class and a word in it are predicted."""
+    """Embeddings of the words around a place, scaled by place, give a hidden layer; it takes the decisions that lead to a word."""
 
     def __init__(self, flat: np.ndarray):
         self.flat = flat
@@ -39,12 +109,14 @@ class Network:
             size = math.prod(shape)
             setattr(self, name, flat[at:at + size].reshape(shape))
             at += size
+        self.word = self.output[c:].reshape(c, c, WIDTH)
 
     @staticmethod
     def shapes(classes: int) -> dict[str, tuple[int, ...]]:
-        """The last row of ``embed`` is that of ``PAD``."""
-        return {"embed": (classes * classes + 1, WIDTH), "place": (len(OFFSETS), WIDTH), "bias": (WIDTH,), "top": (WIDTH, classes),
-                "top_bias": (classes,), "word": (classes, WIDTH, classes), "word_bias": (classes, classes)}
+        """The last row of ``embed`` is that of ``PAD``; ``output`` has the decisions between classes, then those of each class."""
+        decisions = classes * (classes + 1)
+        return {"embed": (classes * classes + 1, WIDTH), "place": (len(OFFSETS), WIDTH), "bias": (WIDTH,), "output": (decisions, WIDTH),
+                "output_bias": (decisions,)}
 
     @classmethod
     def size(cls, classes: int) -> int:
@@ -55,97 +127,177 @@ class Network:
         """Small random weights; the biases hold the counts of the vocabulary, so it starts as a unigram model."""
         rng = np.random.default_rng(7)
         classes = math.isqrt(len(counts))
-        net = cls(np.zeros(cls.size(classes), np.float32))
+        net, tree = cls(np.zeros(cls.size(classes), np.float32)), Tree.of(classes)
         net.embed[:] = rng.normal(0, 0.3, net.embed.shape)
         net.place[:] = 1 + rng.normal(0, 0.3, net.place.shape)
-        net.top[:] = rng.normal(0, 0.1, net.top.shape)
-        net.word[:] = rng.normal(0, 0.1, net.word.shape)
-        smoothed = (counts + 0.5).reshape(classes, classes)
-        net.top_bias[:] = np.log(smoothed.sum(axis=1) / smoothed.sum())
-        net.word_bias[:] = np.log(smoothed / smoothed.sum(axis=1, keepdims=True))
+        net.output[:] = rng.normal(0, 0.1, net.output.shape)
+        smoothed = counts + 0.5
+        left, right = np.zeros(len(net.output)), np.zeros(len(net.output))
+        for side, into in ((-1, left), (1, right)):
+            into[tree.shallow] = smoothed @ (tree.sides == side)
+            at, word = np.nonzero((tree.deep >= 0) & (tree.deep_sides == side))
+            into += np.bincount(tree.deep[at, word], smoothed[word], minlength=len(into))
+        used = left > 0
+        net.output_bias[used] = np.log(right[used] / left[used])
         return net
 
-    def hidden(self, around: np.ndarray) -> np.ndarray:
-        total = np.broadcast_to(self.bias, (len(around), WIDTH)).copy()
-        for k in range(len(OFFSETS)):
-            total += self.embed[around[:, k]] * self.place[k]
-        return np.tanh(total, out=total)
-
-    def _by_class(self, h: np.ndarray, top: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]], np.ndarray]:
-        """Order by class, hidden rows in it, class and span of each class that occurs, and logits inside the classes."""
-        order = np.argsort(top.astype(np.uint16) if self.classes < 1 << 16 else top, kind="stable")
-        h, bounds = h[order], np.searchsorted(top[order], np.arange(self.classes + 1)).tolist()
-        spans = [(c, bounds[c], bounds[c + 1]) for c in range(self.classes) if bounds[c] < bounds[c + 1]]
-        logits = np.empty((len(h), self.classes), np.float32)
-        for c, low, high in spans:
-            part = np.matmul(h[low:high], self.word[c], out=logits[low:high])
-            part += self.word_bias[c]
-        return order, h, spans, logits
+    def _hidden(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A row per run: the embeddings of its ids one after the other, and the hidden layer of its places but the first and last ``REACH``."""
+        embedded = self.embed.take(runs, axis=0).reshape(len(runs), -1)  # PAD is -1, the last row
+        length = runs.shape[1] - 2 * REACH
+        total = np.tile(self.bias, (len(runs), length))
+        for here, place in zip(_shifts(length), self.place, strict=True):
+            total += embedded[:, here] * np.tile(place, length)
+        return embedded, np.tanh(total, out=total)
+
+    def log_probability_of_runs(self, runs: np.ndarray) -> np.ndarray:
+        """Of each word of the runs in their order, given the ids around it; ``PAD`` and the first and last ``REACH`` ids are no words."""
+        tree = Tree.of(self.classes)
+        word = runs[:, REACH:-REACH].ravel()
+        real = np.flatnonzero(word >= 0)
+        order = _order(tree.rank.take(word[real]), self.classes ** 2)
+        word, h = word[real[order]], self._hidden(runs)[1].reshape(-1, WIDTH).take(real[order], axis=0)
+        sides = tree.sides.take(word, axis=0).astype(np.float32)
+        logits = h @ self.output[tree.shallow].T
+        logits += self.output_bias[tree.shallow]
+        logits *= sides
+        loss = -np.minimum(logits, 0).sum(axis=1)
+        part = np.exp(-np.abs(logits, out=logits), out=logits)
+        part *= np.abs(sides, out=sides)
+        part += 1
+        loss += np.log(part.prod(axis=1))
+        spans, node, sides = tree.decisions(word)
+        logits = np.einsum("ij,ij->i", _repeated(h, spans), self.output.take(node, axis=0))
+        logits += self.output_bias.take(node)
+        logits *= sides
+        more = np.log(1 + np.exp(-np.abs(logits))) - np.minimum(logits, 0)
+        for count, low, high in spans:
+            loss[:count] += more[low:high]
+        out = np.empty(len(word))
+        out[order] = -loss
+        return out
 
     def log_probability(self, around: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Of each word, given the words around it."""
-        h = self.hidden(around)
-        top, inner = np.divmod(word, self.classes)
-        logits = h @ self.top + self.top_bias
-        out = logits[np.arange(len(word)), top] - _log_sum(logits)
-        order, _, _, logits = self._by_class(h, top)
-        out[order] += logits[np.arange(len(word)), inner[order]] - _log_sum(logits)
-        return out.astype(np.float64)
+        return self.log_probability_of_runs(_short_runs(around, word))
 
     def learn(self, around: np.ndarray, word: np.ndarray, squares: Network) -> None:
-        """One Adagrad step on a batch; ``squares`` gathers the squared gradients.
+        """One step on words, given the words around each."""
+        self.learn_runs(_short_runs(around, word), squares)
+
+    def learn_runs(self, runs: np.ndarray, squares: Network) -> None:
+        """One Adagrad step on the words of some runs; ``squares`` gathers the squared gradients.
 
-        Only the embeddings and classes of the batch have gradients, so only they are touched.
+        Only the embeddings and decisions of the batch have gradients, so only they are touched. Words are put in order of
+        their rank, so that those that take a decision of some depth are the first.
         """
-        n = len(word)
+        tree = Tree.of(self.classes)
+        word = runs[:, REACH:-REACH].ravel()
+        real = np.flatnonzero(word >= 0)
+        real = real[_order(tree.rank.take(word[real]), self.classes ** 2)]
+        word, n = word[real], len(real)
+        if not n:
+            return
 
         def step(name: str, at, gradient: np.ndarray) -> None:
-            gradient = gradient / np.float32(n)
-            square = getattr(squares, name)[at] + gradient * gradient
-            getattr(squares, name)[at] = square
-            getattr(self, name)[at] -= np.float32(RATE) * gradient / (np.sqrt(square) + np.float32(1e-5))
-        h = self.hidden(around)
-        top, inner = np.divmod(word, self.classes)
-        p = _softmax(h @ self.top + self.top_bias)
-        p[np.arange(n), top] -= 1
-        back = p @ self.top.T
-        step("top", ..., h.T @ p)
-        step("top_bias", ..., p.sum(axis=0))
-        order, own, spans, p = self._by_class(h, top)
-        p = _softmax(p)
-        p[np.arange(n), inner[order]] -= 1
-        ahead, room = np.empty_like(own), np.empty((2, WIDTH, self.classes), np.float32)
-        bias = np.add.reduceat(p, [low for _, low, _ in spans], axis=0)
-        for c, low, high in spans:  # one class at a time, so that its parameters stay in the cache
-            np.matmul(p[low:high], self.word[c].T, out=ahead[low:high])
-            gradient, work = np.matmul(own[low:high].T, p[low:high], out=room[0]), room[1]
-            gradient /= n
-            squares.word[c] += np.multiply(gradient, gradient, out=work)
-            np.sqrt(squares.word[c], out=work)
-            work += 1e-5
-            gradient *= RATE
-            self.word[c] -= np.divide(gradient, work, out=work)
-        back[order] += ahead
-        step("word_bias", np.array([c for c, _, _ in spans]), bias)
+            gradient /= np.float32(n)
+            values, square = getattr(self, name), getattr(squares, name)
+            total = square.take(at, axis=0)
+            total += gradient * gradient
+            square[at] = total
+            np.sqrt(total, out=total)
+            total += np.float32(1e-5)
+            gradient *= np.float32(RATE)
+            gradient /= total
+            values[at] = np.subtract(values.take(at, axis=0), gradient, out=gradient)
+        embedded, hidden = self._hidden(runs)
+        h = hidden.reshape(-1, WIDTH).take(real, axis=0)
+        shallow = self.output[tree.shallow]
+        logits = h @ shallow.T
+        logits += self.output_bias[tree.shallow]
+        miss = _slope(logits, tree.sides.take(word, axis=0).astype(np.float32))
+        back = miss @ shallow
+        gradients, biases, nodes = [miss.T @ h], [miss.sum(axis=0)], [tree.shallow]
+        spans, node, sides = tree.decisions(word)
+        if len(node):
+            own, weights = _repeated(h, spans), self.output.take(node, axis=0)
+            logits = np.einsum("ij,ij->i", own, weights)
+            logits += self.output_bias.take(node)
+            miss = _slope(logits, sides.astype(np.float32))
+            weights *= miss[:, None]
+            for count, low, high in spans:
+                back[:count] += weights[low:high]
+            order = _order(node, len(self.output))
+            node, miss, own = node[order], miss[order], own.take(order, axis=0, out=weights)
+            own *= miss[:, None]
+            first, total = _sums(own, node)
+            gradients.append(total)
+            biases.append(np.bincount(node, miss)[node[first]].astype(np.float32))
+            nodes.append(node[first])
+        nodes = np.concatenate(nodes)
+        step("output", nodes, np.concatenate(gradients))
+        step("output_bias", nodes, np.concatenate(biases))
         back *= 1 - h * h
-        flat = np.where(around < 0, len(self.embed) - 1, around).ravel()
-        by_place = np.stack([(back * self.embed[around[:, k]]).sum(axis=0) for k in range(len(OFFSETS))])
-        order = np.argsort(flat, kind="stable")
-        first = np.flatnonzero(np.diff(flat[order], prepend=-1))
-        each = (back[:, None, :] * self.place).reshape(-1, WIDTH)
-        step("embed", flat[order[first]], np.add.reduceat(each[order], first, axis=0))
-        step("place", ..., by_place)
-        step("bias", ..., back.sum(axis=0))
+        hidden[:] = 0
+        hidden.reshape(-1, WIDTH)[real] = back
+        length = runs.shape[1] - 2 * REACH
+        around, by_place = np.zeros_like(embedded), []
+        for here, place in zip(_shifts(length), self.place, strict=True):
+            around[:, here] += hidden * np.tile(place, length)
+            by_place.append((embedded[:, here] * hidden).sum(axis=0).reshape(length, WIDTH).sum(axis=0))
+        flat = np.where(runs < 0, len(self.embed) - 1, runs).ravel()
+        order = _order(flat, len(self.embed))
+        first, total = _sums(around.reshape(-1, WIDTH).take(order, axis=0), flat[order])
+        step("embed", flat[order[first]], total)
+        step("place", np.arange(len(OFFSETS)), np.stack(by_place))
+        step("bias", np.arange(WIDTH), back.sum(axis=0))
+
+
+def _shifts(length: int) -> list[slice]:
+    """Columns of the embeddings by offset from each place."""
+    return [slice((REACH + by) * WIDTH, (REACH + by + length) * WIDTH) for by in OFFSETS]
+
 
+def _repeated(h: np.ndarray, spans: list[tuple[int, int, int]]) -> np.ndarray:
+    return np.concatenate([h[:count] for count, _, _ in spans] or [h[:0]])
 
-def _log_sum(logits: np.ndarray) -> np.ndarray:
-    top = logits.max(axis=1)
-    return top + np.log(np.exp(logits - top[:, None]).sum(axis=1))
 
+def _order(ids: np.ndarray, below: int) -> np.ndarray:
+    return np.argsort(ids.astype(np.uint16), kind="stable") if below <= 1 << 16 else np.argsort(ids.astype(np.int32))
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    p = np.exp(logits - logits.max(axis=1, keepdims=True))
-    return p / p.sum(axis=1, keepdims=True)
+
+def _short_runs(around: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return np.column_stack((around[:, :REACH], word, around[:, REACH:]))
+
+
+def _slope(logits: np.ndarray, sides: np.ndarray) -> np.ndarray:
+    """Derivative, by the logits, of minus the logarithm of the probability of the sides taken; 0 where none is."""
+    logits *= sides
+    part = np.exp(np.minimum(logits, 80, out=logits), out=logits)
+    part += 1
+    np.divide(sides, part, out=part)
+    return np.negative(part, out=part)
+
+
+def _sums(values: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place of each run of equal keys, longest runs first, and the sums of their rows.
+
+    Runs of at most ``LONG`` rows are summed all at once, row by row.
+    """
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    count = np.diff(first, append=len(keys))
+    order = np.argsort((LONG + 1 - np.minimum(count, LONG + 1)).astype(np.uint8), kind="stable")
+    first, count = first[order], count[order]
+    ends = np.searchsorted(-np.minimum(count, LONG + 1), -np.arange(1, LONG + 1), "left").tolist()
+    long = ends.pop()
+    total = values.take(first, axis=0)
+    for k in range(long):
+        values[first[k]:first[k] + count[k]].sum(axis=0, out=total[k])
+    for k, end in enumerate(ends, 1):
+        if end <= long:
+            break
+        total[long:end] += values.take(first[long:end] + k, axis=0)
+    return first, total
 
 
 def word_hashes(piece: Piece) -> tuple[np.ndarray, np.ndarray]:
@@ -168,6 +320,21 @@ class Vocabulary:
         return np.where(self.hashes[at] == hashes, self.ids[at], UNKNOWN)
 
 
+def stream(doc: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Ids in their order with ``REACH`` times ``PAD`` before, between and after texts."""
+    at = np.arange(REACH, len(ids) + REACH) + REACH * np.cumsum(np.diff(doc, prepend=doc[:1]) != 0)
+    out = np.full(int(at[-1]) + 1 + REACH if len(at) else 2 * REACH, PAD, np.int64)
+    out[at] = ids
+    return out
+
+
+def runs(ids: np.ndarray, length: int) -> np.ndarray:
+    """Runs of so many places of a stream, each with ``REACH`` ids more on both sides."""
+    count = max(1, -(-(len(ids) - 2 * REACH) // length))
+    ids = np.concatenate((ids, np.full(count * length + 2 * REACH - len(ids), PAD)))
+    return np.lib.stride_tricks.sliding_window_view(ids, length + 2 * REACH)[::length]
+
+
 def windows(doc: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Ids around each word; ``PAD`` beyond its text."""
     out = np.full((len(ids), len(OFFSETS)), PAD, np.int64)
@@ -216,12 +383,11 @@ def _trainer(words: Vocabulary, start: np.ndarray, seed: int):
             task = batch.column(1)[0].as_py() if batch.num_rows else task
             for piece in pieces(batch.column(0)):
                 doc, h = word_hashes(piece)
-                ids = words.lookup(h)
-                around, order = windows(doc, ids), rng.permutation(len(ids))
-                for k in range(0, len(order), BATCH):
-                    part = order[k:k + BATCH]
-                    net.learn(around[part], ids[part], squares)
-                seen += len(ids)
+                parts = runs(stream(doc, words.lookup(h)), RUN)
+                order = rng.permutation(len(parts))
+                for k in range(0, len(order), BATCH // RUN):
+                    net.learn_runs(parts[order[k:k + BATCH // RUN]], squares)
+                seen += len(h)
         if seen:
             parts = [p.astype(np.float32).tobytes() for p in np.array_split(net.flat, BLOCKS)]
             yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array([task] * BLOCKS, pa.int32()),
@@ -277,8 +443,7 @@ def pseudo_likelihood(text: Column, words: Vocabulary, net: Network) -> Column:
             for piece in pieces(batch):
                 doc, h = word_hashes(piece)
                 ids = words.lookup(h)
-                around = windows(doc, ids)
-                scores = [net.log_probability(around[k:k + CHUNK], ids[k:k + CHUNK]) for k in range(0, len(ids), CHUNK)]
+                scores = [net.log_probability_of_runs(part[None]) for part in runs(stream(doc, ids), CHUNK)]
                 own = slice(piece.first, piece.first + piece.count)
                 number[own] = np.bincount(doc, minlength=piece.count)
                 total[own] = np.bincount(doc, np.concatenate(scores), minlength=piece.count) if scores else 0

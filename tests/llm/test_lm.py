@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 
+from quaestor.llm import lm
 from quaestor.llm.lm import (CLASSES, OFFSETS, PAD, UNKNOWN, VOCABULARY, Network, op7_lm_score, pseudo_likelihood, score_documents, train,
                              vocabulary, windows, word_hashes)
 from quaestor.llm.tables import read_table
@@ -142,3 +143,84 @@ def test_copies_of_any_one_text_train_the_network(spark):
         words, net = train(docs)
         assert not np.array_equal(net.flat, Network.initial(vocabulary(docs)[1]).flat)
         assert docs.select(pseudo_likelihood(F.col("text"), words, net).alias("s")).agg(F.avg(F.expr("s.log_likelihood / s.n_tokens"))).first()[0] > -1
+
+
+def test_work_on_a_word_does_not_grow_with_the_vocabulary():
+    """Sixteen times the words may cost four more decisions a word, not four times the outputs."""
+    def peaks(classes):
+        rng = np.random.default_rng(3)
+        size = classes ** 2
+        net = Network.initial(size / np.arange(1, size + 1))
+        squares = Network(np.full_like(net.flat, 1e-6))
+        share = 1 / np.arange(1, size + 1)
+        around, word = (rng.choice(size, n, p=share / share.sum()) for n in ((2048, len(OFFSETS)), 2048))
+        found = []
+        for work in (lambda: net.log_probability(around, word), lambda: net.learn(around, word, squares)):
+            tracemalloc.start()
+            work()
+            found.append(tracemalloc.get_traced_memory()[1])
+            tracemalloc.stop()
+        return found
+    small, large = peaks(64), peaks(256)
+    assert large[0] < 2 * small[0] and large[1] < 2 * small[1]
+
+
+def plain_log_probability(net, around, word):
+    """One word by plain recursion over ranges of classes, then of the words of the class."""
+    c = net.classes
+    weight = 1 / (np.arange(c * c) + 3.0)
+    weight[UNKNOWN] = weight.sum() / 4
+    h = np.tanh(net.bias + sum(net.embed[a] * p for a, p in zip(around, net.place, strict=True)))
+
+    def walk(low, high, step, goal, first):
+        if high - low == 1:
+            return 0.0
+        total = lambda a, b: weight[a * step:b * step].sum()
+        middle = next(m for m in range(low + 1, high) if m == high - 1 or total(low, m) >= total(m, high))
+        logit = float(h @ net.output[first + middle] + net.output_bias[first + middle])
+        right = goal >= middle
+        return -np.log1p(np.exp(-logit if right else logit)) + walk(*((middle, high) if right else (low, middle)), step, goal, first)
+    k = word // c
+    return walk(0, c, c, k, 0) + walk(k * c, (k + 1) * c, 1, word, c)
+
+
+def test_probabilities_against_plain_recursion():
+    net, rng = random_net(), np.random.default_rng(4)
+    net.output += rng.normal(0, 0.5, net.output.shape).astype(np.float32)
+    word = np.concatenate(([UNKNOWN, 1, 63, 64, VOCABULARY - 1], rng.integers(0, VOCABULARY, 40)))
+    around = rng.integers(PAD, VOCABULARY, (len(word), len(OFFSETS)))
+    got = net.log_probability(around, word)
+    assert np.allclose(got, [plain_log_probability(net, a, w) for a, w in zip(around, word, strict=True)], atol=1e-4)
+
+
+def test_runs_are_scored_and_learned_as_their_words():
+    rng = np.random.default_rng(6)
+    doc = np.repeat(np.arange(9), [1, 40, 0, 3, 100, 2, 70, 31, 1])
+    ids = rng.integers(0, 500, len(doc))
+    one, two = random_net(), random_net()
+    parts = lm.runs(lm.stream(doc, ids), 32)
+    around = windows(doc, ids)
+    got = np.concatenate([one.log_probability_of_runs(p[None]) for p in parts])
+    assert np.allclose(got, one.log_probability(around, ids), atol=1e-5)
+    squares = [Network(np.full_like(one.flat, 1e-6)) for _ in range(2)]
+    one.learn_runs(parts, squares[0])
+    two.learn(around, ids, squares[1])
+    assert np.allclose(squares[0].flat, squares[1].flat, rtol=1e-3, atol=1e-8) and np.allclose(one.flat, two.flat, atol=2e-3)
+
+
+def test_texts_without_words_are_learned_from_and_scored():
+    net = random_net()
+    before = net.flat.copy()
+    parts = lm.runs(lm.stream(np.zeros(0, np.int64), np.zeros(0, np.int64)), 32)
+    net.learn_runs(parts, Network(np.zeros_like(net.flat)))
+    assert len(net.log_probability_of_runs(parts)) == 0 and np.array_equal(net.flat, before)
+
+
+def test_sums_of_long_and_short_runs():
+    rng = np.random.default_rng(7)
+    for sizes in ([1], [1, 1, 2], [lm.LONG, lm.LONG + 1, 1, 3 * lm.LONG, lm.LONG - 1, 2], [500]):
+        keys = np.repeat(np.arange(len(sizes)) * 3, sizes)
+        values = rng.normal(size=(len(keys), 5))
+        first, total = lm._sums(values, keys)
+        assert sorted(keys[first].tolist()) == sorted(set(keys.tolist()))
+        assert np.allclose(total, [values[keys == k].sum(axis=0) for k in keys[first]])
