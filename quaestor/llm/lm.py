@@ -26,11 +26,12 @@ REACH = 2
 RUN = 32  # words that follow each other, in a batch of runs
 WIDTH = 24
 SHALLOW = 32  # decisions taken for all words of a batch at once
-LONG = 32
+LONG = 64
 ROUNDS = 1  # over all texts
-BATCH = 2048
-CHUNK = 8192
+BATCH = 4096
+CHUNK = 4096
 RATE = 0.2
+START = 1e-8  # of the squared gradients
 BLOCKS = 32  # parts in which parameters are averaged
 
 
@@ -146,8 +147,9 @@ class Network:
         embedded = self.embed.take(runs, axis=0).reshape(len(runs), -1)  # PAD is -1, the last row
         length = runs.shape[1] - 2 * REACH
         total = np.tile(self.bias, (len(runs), length))
+        work = np.empty_like(total)
         for here, place in zip(_shifts(length), self.place, strict=True):
-            total += embedded[:, here] * np.tile(place, length)
+            total += np.multiply(embedded[:, here], np.tile(place, length), out=work)
         return embedded, np.tanh(total, out=total)
 
     def log_probability_of_runs(self, runs: np.ndarray) -> np.ndarray:
@@ -228,7 +230,8 @@ class Network:
             for count, low, high in spans:
                 back[:count] += weights[low:high]
             order = _order(node, len(self.output))
-            node, miss, own = node[order], miss[order], own.take(order, axis=0, out=weights)
+            node, miss = node.take(order), miss.take(order)
+            own = own.take(order, axis=0, out=weights, mode="clip")
             own *= miss[:, None]
             first, total = _sums(own, node)
             gradients.append(total)
@@ -242,9 +245,10 @@ class Network:
         hidden.reshape(-1, WIDTH)[real] = back
         length = runs.shape[1] - 2 * REACH
         around, by_place = np.zeros_like(embedded), []
+        work = np.empty_like(hidden)
         for here, place in zip(_shifts(length), self.place, strict=True):
-            around[:, here] += hidden * np.tile(place, length)
-            by_place.append((embedded[:, here] * hidden).sum(axis=0).reshape(length, WIDTH).sum(axis=0))
+            around[:, here] += np.multiply(hidden, np.tile(place, length), out=work)
+            by_place.append(np.multiply(embedded[:, here], hidden, out=work).sum(axis=0).reshape(length, WIDTH).sum(axis=0))
         flat = np.where(runs < 0, len(self.embed) - 1, runs).ravel()
         order = _order(flat, len(self.embed))
         first, total = _sums(around.reshape(-1, WIDTH).take(order, axis=0), flat[order])
@@ -284,7 +288,7 @@ def _sums(values: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
     Runs of at most ``LONG`` rows are summed all at once, row by row.
     """
-    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    first = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1))
     count = np.diff(first, append=len(keys))
     order = np.argsort((LONG + 1 - np.minimum(count, LONG + 1)).astype(np.uint8), kind="stable")
     first, count = first[order], count[order]
@@ -312,12 +316,19 @@ class Vocabulary:
     def __init__(self, hashes: np.ndarray, rare: float = 0):
         order = np.argsort(hashes)
         self.hashes, self.ids, self.rare = hashes[order], order + UNKNOWN + 1, rare
+        self.mask = np.uint64((16 << len(hashes).bit_length()) - 1)
+        slot = (self.hashes & self.mask).astype(np.int64)
+        self.slots = np.full(int(self.mask) + 1, -1, np.int32)  # place of the only hash with these last bits, -1 for none, -2 for several
+        self.slots[slot] = np.where(np.bincount(slot, minlength=len(self.slots))[slot] > 1, -2, np.arange(len(slot)))
 
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.hashes):
             return np.full(len(hashes), UNKNOWN)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.ids[at], UNKNOWN)
+        at = self.slots.take((hashes & self.mask).astype(np.int64))
+        several = np.flatnonzero(at == -2)
+        at[several] = np.searchsorted(self.hashes, hashes[several])
+        at = np.clip(at, 0, len(self.hashes) - 1)
+        return np.where(self.hashes.take(at) == hashes, self.ids.take(at), UNKNOWN)
 
 
 def stream(doc: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -376,7 +387,7 @@ def vocabulary(docs: DataFrame, counted: DataFrame | None = None) -> tuple[Vocab
 
 def _trainer(words: Vocabulary, start: np.ndarray, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, squares = Network(start.copy()), Network(np.full_like(start, 1e-6))
+        net, squares = Network(start.copy()), Network(np.full_like(start, START))
         seen, task = 0, 0
         rng = np.random.default_rng(seed)
         for batch in batches:

@@ -224,3 +224,13 @@ def test_sums_of_long_and_short_runs():
         first, total = lm._sums(values, keys)
         assert sorted(keys[first].tolist()) == sorted(set(keys.tolist()))
         assert np.allclose(total, [values[keys == k].sum(axis=0) for k in keys[first]])
+
+
+def test_words_are_looked_up_among_hashes_with_the_same_last_bits():
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 3, 5000):
+        known = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        known = rng.permutation(np.unique(np.concatenate((known, known[::3] ^ np.uint64(1 << 50)))))
+        ids = {h: k + 1 for k, h in enumerate(known.tolist())}
+        asked = np.concatenate((known, known ^ np.uint64(1 << 51), rng.integers(0, 1 << 63, 100).astype(np.uint64)))
+        assert lm.Vocabulary(known).lookup(asked).tolist() == [ids.get(h, UNKNOWN) for h in asked.tolist()]
