@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import accumulate
 from typing import NamedTuple
 
@@ -52,28 +52,30 @@ class Tree(NamedTuple):
     @lru_cache(maxsize=2)
     def of(classes: int) -> Tree:
         """A decision has the number of the class at which it splits, or that of the word plus ``classes``."""
-        weight = 1 / (np.arange(classes * classes) + 3.0)
+        words = np.arange(classes * classes, dtype=np.int32)
+        within, weight = words // classes, 1 / (words + 3.0)
         weight[UNKNOWN] = weight.sum() / 4
-        within, words = np.arange(classes * classes) // classes, np.arange(classes * classes)
-        top = _splits(weight.reshape(classes, classes).sum(axis=1), np.zeros(classes, np.int64), np.full(classes, classes))
-        own = _splits(weight, within * classes, (within + 1) * classes)
-        path = np.concatenate([top[:, within], np.where(own < 0, -1, own + classes)])
-        side = np.where(np.concatenate([top[:, within] <= within, own <= words]), 1, -1).astype(np.int8)
-        side[path < 0] = 0
-        mass = np.bincount(path[path >= 0], np.broadcast_to(weight, path.shape)[path >= 0], minlength=classes * (classes + 1))
+        top = _splits(weight.reshape(classes, classes).sum(axis=1), np.zeros(classes, np.int32), np.full(classes, classes, np.int32))
+        path = [(t[within], t[within] <= within) for t in top]
+        path += [(np.where(t < 0, -1, t + classes), t <= words) for t in _splits(weight, within * classes, (within + 1) * classes)]
+        mass = sum(np.bincount(node + 1, weight, classes * (classes + 1) + 1)[1:] for node, _ in path)
         shallow = np.sort(np.argsort(-mass, kind="stable")[:SHALLOW])
-        column = np.full(len(mass) + 1, -1)
+        column = np.full(len(mass) + 1, -1, np.int32)  # the last is that of -1
         column[shallow] = np.arange(len(shallow))
-        column = column[path]
-        sides = np.zeros((classes * classes, len(shallow)), np.int8)
-        at, word = np.nonzero(column >= 0)
-        sides[word, column[at, word]] = side[at, word]
-        deep = (path >= 0) & (column < 0)
-        order = np.argsort(~deep, axis=0, kind="stable")[:int(deep.sum(axis=0).max())]
-        chosen = np.take_along_axis(deep, order, axis=0)
-        length = deep.sum(axis=0)
-        return Tree(shallow, sides, np.where(chosen, np.take_along_axis(path, order, axis=0), -1).astype(np.int32),
-                    np.take_along_axis(side, order, axis=0), length, np.argsort(np.argsort(-length, kind="stable")))
+        sides, length = np.zeros((len(words), len(shallow)), np.int8), np.zeros(len(words), np.int32)
+        deep = np.full((len(path), len(words)), -1, np.int32)
+        deep_sides = np.zeros(deep.shape, np.int8)
+        for node, right in path:
+            at = column[node]
+            here = np.flatnonzero(at >= 0)
+            sides[here, at[here]] = np.where(right[here], 1, -1)
+            here = np.flatnonzero((node >= 0) & (at < 0))
+            deep[length[here], here] = node[here]
+            deep_sides[length[here], here] = np.where(right[here], 1, -1)
+            length[here] += 1
+        depth = int(length.max())
+        return Tree(shallow, sides, deep[:depth].copy(), deep_sides[:depth].copy(), length,
+                    np.argsort(np.argsort(-length, kind="stable")).astype(np.int32))
 
     def decisions(self, word: np.ndarray) -> tuple[list[tuple[int, int, int]], np.ndarray, np.ndarray]:
         """Further decisions of words in the order of their rank, by depth, and the sides taken.
@@ -83,19 +85,19 @@ class Tree(NamedTuple):
         counts = np.searchsorted(-self.length[word], -np.arange(len(self.deep)), "left").tolist()
         ends = [0, *accumulate(counts)]
         own = [word[:n] for n in counts]
-        node = [deep.take(w) for deep, w in zip(self.deep, own, strict=True)] or [np.zeros(0, np.int32)]
-        sides = [deep.take(w) for deep, w in zip(self.deep_sides, own, strict=True)] or [np.zeros(0, np.int8)]
+        node = [deep.take(w) for deep, w in zip(self.deep, own, strict=True)]
+        sides = [deep.take(w) for deep, w in zip(self.deep_sides, own, strict=True)]
         return list(zip(counts, ends, ends[1:])), np.concatenate(node), np.concatenate(sides)
 
 
-def _splits(weight: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+def _splits(weight: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[np.ndarray]:
     """By depth the places at which the range of each entry is split into halves of like weight; -1 beyond the last."""
-    total, entry, found = np.concatenate(([0.0], np.cumsum(weight))), np.arange(len(weight)), []
+    total, entry, found = np.concatenate(([0.0], np.cumsum(weight))), np.arange(len(weight), dtype=np.int32), []
     while (open_ := high - low > 1).any():
-        middle = np.clip(np.searchsorted(total, (total[low] + total[high]) / 2), low + 1, high - 1)
+        middle = np.clip(np.searchsorted(total, (total[low] + total[high]) / 2).astype(np.int32), low + 1, high - 1)
         found.append(np.where(open_, middle, -1))
         low, high = np.where(open_ & (entry >= middle), middle, low), np.where(open_ & (entry < middle), middle, high)
-    return np.stack(found)
+    return found
 
 
 class Network:
@@ -135,9 +137,10 @@ class Network:
         smoothed = counts + 0.5
         left, right = np.zeros(len(net.output)), np.zeros(len(net.output))
         for side, into in ((-1, left), (1, right)):
-            into[tree.shallow] = smoothed @ (tree.sides == side)
-            at, word = np.nonzero((tree.deep >= 0) & (tree.deep_sides == side))
-            into += np.bincount(tree.deep[at, word], smoothed[word], minlength=len(into))
+            into[tree.shallow] = [smoothed[tree.sides[:, k] == side].sum() for k in range(len(tree.shallow))]
+            for node, sides in zip(tree.deep, tree.deep_sides, strict=True):
+                here = sides == side
+                into += np.bincount(node[here], smoothed[here], minlength=len(into))
         used = left > 0
         net.output_bias[used] = np.log(right[used] / left[used])
         return net
@@ -163,7 +166,7 @@ class Network:
         logits = h @ self.output[tree.shallow].T
         logits += self.output_bias[tree.shallow]
         logits *= sides
-        loss = -np.minimum(logits, 0).sum(axis=1)
+        loss = np.minimum(logits, 0) @ np.full(logits.shape[1], -1, np.float32)
         part = np.exp(-np.abs(logits, out=logits), out=logits)
         part *= np.abs(sides, out=sides)
         part += 1
@@ -219,7 +222,7 @@ class Network:
         logits += self.output_bias[tree.shallow]
         miss = _slope(logits, tree.sides.take(word, axis=0).astype(np.float32))
         back = miss @ shallow
-        gradients, biases, nodes = [miss.T @ h], [miss.sum(axis=0)], [tree.shallow]
+        gradients, biases, nodes = [miss.T @ h], [_total(miss)], [tree.shallow]
         spans, node, sides = tree.decisions(word)
         if len(node):
             own, weights = _repeated(h, spans), self.output.take(node, axis=0)
@@ -230,13 +233,11 @@ class Network:
             for count, low, high in spans:
                 back[:count] += weights[low:high]
             order = _order(node, len(self.output))
-            node, miss = node.take(order), miss.take(order)
-            own = own.take(order, axis=0, out=weights, mode="clip")
             own *= miss[:, None]
-            first, total = _sums(own, node)
+            found, total = _sums(own, order, node)
             gradients.append(total)
-            biases.append(np.bincount(node, miss)[node[first]].astype(np.float32))
-            nodes.append(node[first])
+            biases.append(np.bincount(node, miss)[found].astype(np.float32))
+            nodes.append(found)
         nodes = np.concatenate(nodes)
         step("output", nodes, np.concatenate(gradients))
         step("output_bias", nodes, np.concatenate(biases))
@@ -248,13 +249,12 @@ class Network:
         work = np.empty_like(hidden)
         for here, place in zip(_shifts(length), self.place, strict=True):
             around[:, here] += np.multiply(hidden, np.tile(place, length), out=work)
-            by_place.append(np.multiply(embedded[:, here], hidden, out=work).sum(axis=0).reshape(length, WIDTH).sum(axis=0))
+            by_place.append(_total(np.multiply(embedded[:, here], hidden, out=work).reshape(-1, WIDTH)))
         flat = np.where(runs < 0, len(self.embed) - 1, runs).ravel()
         order = _order(flat, len(self.embed))
-        first, total = _sums(around.reshape(-1, WIDTH).take(order, axis=0), flat[order])
-        step("embed", flat[order[first]], total)
+        step("embed", *_sums(around.reshape(-1, WIDTH), order, flat))
         step("place", np.arange(len(OFFSETS)), np.stack(by_place))
-        step("bias", np.arange(WIDTH), back.sum(axis=0))
+        step("bias", np.arange(WIDTH), _total(back))
 
 
 def _shifts(length: int) -> list[slice]:
@@ -263,7 +263,7 @@ def _shifts(length: int) -> list[slice]:
 
 
 def _repeated(h: np.ndarray, spans: list[tuple[int, int, int]]) -> np.ndarray:
-    return np.concatenate([h[:count] for count, _, _ in spans] or [h[:0]])
+    return np.concatenate([h[:count] for count, _, _ in spans])
 
 
 def _order(ids: np.ndarray, below: int) -> np.ndarray:
@@ -283,25 +283,32 @@ def _slope(logits: np.ndarray, sides: np.ndarray) -> np.ndarray:
     return np.negative(part, out=part)
 
 
-def _sums(values: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First place of each run of equal keys, longest runs first, and the sums of their rows.
+def _total(rows: np.ndarray) -> np.ndarray:
+    """Their sum, as a product, which is faster than ``sum`` for few columns."""
+    return np.ones(len(rows), rows.dtype) @ rows
 
-    Runs of at most ``LONG`` rows are summed all at once, row by row.
+
+def _sums(values: np.ndarray, order: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys, most frequent first, and the sums of their rows; ``order`` sorts the keys.
+
+    Keys of at most ``LONG`` rows are summed all at once, row by row.
     """
+    keys = keys.take(order)
     first = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1))
-    count = np.diff(first, append=len(keys))
-    order = np.argsort((LONG + 1 - np.minimum(count, LONG + 1)).astype(np.uint8), kind="stable")
-    first, count = first[order], count[order]
-    ends = np.searchsorted(-np.minimum(count, LONG + 1), -np.arange(1, LONG + 1), "left").tolist()
+    count = np.minimum(np.diff(first, append=len(keys)), LONG + 1)
+    by_count = np.argsort((LONG + 1 - count).astype(np.uint8), kind="stable")
+    last = np.append(first[1:], len(keys))
+    first, last = first[by_count], last[by_count]
+    ends = np.searchsorted(-count[by_count], -np.arange(1, LONG + 1), "left").tolist()
     long = ends.pop()
-    total = values.take(first, axis=0)
+    total = values.take(order.take(first), axis=0)
     for k in range(long):
-        values[first[k]:first[k] + count[k]].sum(axis=0, out=total[k])
+        total[k] = _total(values.take(order[first[k]:last[k]], axis=0))
     for k, end in enumerate(ends, 1):
         if end <= long:
             break
-        total[long:end] += values.take(first[long:end] + k, axis=0)
-    return first, total
+        total[long:end] += values.take(order.take(first[long:end] + k), axis=0)
+    return keys[first], total
 
 
 def word_hashes(piece: Piece) -> tuple[np.ndarray, np.ndarray]:
@@ -317,9 +324,14 @@ class Vocabulary:
         order = np.argsort(hashes)
         self.hashes, self.ids, self.rare = hashes[order], order + UNKNOWN + 1, rare
         self.mask = np.uint64((16 << len(hashes).bit_length()) - 1)
+
+    @cached_property
+    def slots(self) -> np.ndarray:
+        """Place of the only hash with some last bits, -1 for none, -2 for several; made where it is used and not sent."""
         slot = (self.hashes & self.mask).astype(np.int64)
-        self.slots = np.full(int(self.mask) + 1, -1, np.int32)  # place of the only hash with these last bits, -1 for none, -2 for several
-        self.slots[slot] = np.where(np.bincount(slot, minlength=len(self.slots))[slot] > 1, -2, np.arange(len(slot)))
+        slots = np.full(int(self.mask) + 1, -1, np.int32)
+        slots[slot] = np.where(np.bincount(slot, minlength=len(slots))[slot] > 1, -2, np.arange(len(slot)))
+        return slots
 
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.hashes):
