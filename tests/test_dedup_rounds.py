@@ -69,14 +69,33 @@ def test_a_round_is_one_write(spark, monkeypatch):
 
 def test_sketches_bound_every_product():
     rng = np.random.default_rng(5)
-    size = rng.integers(1, 60, 50)
+    size = rng.integers(1, 2 * passes.LONG, 50)
     term = np.concatenate([np.sort(rng.choice(3000, n, replace=False)) for n in size])
     block = passes.Block.made(np.arange(50), np.zeros(50, int), size, term, rng.random(len(term)) + 0.1)
     dense = np.zeros((50, 3000))
     dense[np.repeat(np.arange(50), size), term] = block.w
-    true, bound = dense @ dense.T, block.sketches @ block.sketches.T
-    assert (bound >= true - passes.SLACK / 2).all()
-    assert (bound > true + 0.01).any() and block.sketches.shape[1] < 3000
+    assert [kind for kind, _ in block.by_length(np.arange(50))] == [False, True]
+    for wide, rows in ((False, np.arange(50)), (True, np.flatnonzero(size > passes.LONG))):
+        sketches, own = block.sketches(rows, wide), dense[rows]
+        true, bound = own @ own.T, sketches @ sketches.T
+        assert (bound >= true - passes.SLACK / 2).all() and (bound > true + 0.01).any()
+
+
+def test_pairs_of_short_and_long_vectors(monkeypatch):
+    monkeypatch.setattr(passes, "LONG", 9)
+    monkeypatch.setattr(passes, "ROWS", 7)
+    rng = np.random.default_rng(6)
+    stems = [rng.choice(200, n, replace=False) for n in (7, 9, 10, 30, 31)]
+    terms = [np.setdiff1d(stems[k % 5], stems[k % 5][: k % 2]) for k in rng.integers(0, 10, 60)]
+    size = np.array([len(t) for t in terms])
+    block = passes.Block.made(np.arange(60), np.zeros(60, int), size, np.concatenate(terms), np.ones(int(size.sum())))
+    dense = np.zeros((60, 200))
+    dense[np.repeat(np.arange(60), size), block.term] = block.w
+    rows, others = np.arange(0, 60, 2), np.arange(5, 60)
+    i, j, s = passes.similar(block, rows, block, others, 0.85)
+    want = [(a, b) for a in range(len(rows)) for b in range(len(others)) if rows[a] < others[b] and dense[rows[a]] @ dense[others[b]] > 0.85]
+    assert list(zip(i.tolist(), j.tolist())) == want and len(set(size > 9)) == 2
+    assert np.allclose(s, [dense[rows[a]] @ dense[others[b]] for a, b in want])
 
 
 def test_words_are_those_of_the_expression(spark):
