@@ -129,3 +129,18 @@ def test_counts_of_many_texts_with_large_terms():
     assert list(zip(*(x.tolist() for x in wordlists.counted(text, term)))) == want
     far = [x.tolist() for x in wordlists.counted(text, term << 59)]
     assert [(t, k >> 59, n) for t, k, n in zip(*far)] == want
+
+
+@pytest.mark.parametrize("kind", [np.uint16, np.uint32])
+def test_vectors_as_bytes(kind):
+    """Small vocabularies take two bytes a term; blocks are read from slices and several chunks as well."""
+    size, place = np.array([2, 3, 1, 4]), np.array([0, 5, 1, 2, 9, 3, 0, 1, 2, 8])
+    tf, idf = np.arange(1, 11), np.linspace(1, 3, 10)
+    table = pa.table({"node": [3, 1, 2, 0], "rank": pa.array([0, 1, 2, 3], pa.int32()),
+                      "terms": wordlists.packed(place, size, kind), "tfs": wordlists.packed(tf, size, np.uint32)})
+    whole = passes.Block.packed(table, idf)
+    assert whole.node.tolist() == [0, 1, 2, 3] and whole.size.tolist() == [4, 3, 1, 2] and whole.term.tolist() == [0, 1, 2, 8, 1, 2, 9, 3, 0, 5]
+    x = (tf * idf[place])[-4:]
+    assert np.allclose(whole.w[:4], x / np.sqrt((x * x).sum()))
+    parts = pa.concat_tables([table.slice(1, 2), table.slice(3)])
+    assert passes.Block.packed(parts, idf).term.tolist() == whole.term.tolist()[:8] and len(passes.Block.packed(table.slice(0, 0), idf)) == 0
